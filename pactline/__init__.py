@@ -30,6 +30,7 @@ from pactline.operators.quality_rules import (
     null_counts,
     null_findings,
 )
+from pactline.operators.routing import route_records, union_sources
 from pactline.operators.schema_rules import (
     numbered_violations,
     schema_summary,

@@ -5,7 +5,7 @@ These findings stand beside the contract report and never count in it.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -73,7 +73,7 @@ def rename_candidates(
         gone = F.array_compact(
             F.array(*(F.when(types[f.name].isNull(), f.name) for f in c.fields))
         )
-        unknown = F.map_filter(whole, lambda k, _, c=c: ~k.isin(c.field_names))
+        unknown = F.map_filter(whole, _not_in(c.field_names))
         typed = F.transform(
             F.map_entries(unknown),
             lambda e: F.struct(
@@ -189,6 +189,10 @@ def accepted_types(f: Field) -> list[str]:
     return list(ACCEPTED_TYPES.get(f.type, ()))
 
 
+def _not_in(names: list[str]) -> Callable[[Column, Column], Column]:
+    return lambda key, _: ~key.isin(names)
+
+
 def _bad_name(f: Field) -> str | None:
     if f.type in NUMERIC:
         return "negative"
