@@ -32,10 +32,10 @@ from pactline.operators.quality_rules import (
 )
 from pactline.operators.routing import route_records, union_sources
 from pactline.operators.schema_rules import (
+    kind_counts,
     numbered_violations,
     schema_summary,
     schema_violations,
-    type_counts,
 )
 from pactline.operators.sla import (
     approx_lag_percentiles,

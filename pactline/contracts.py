@@ -18,18 +18,6 @@ from pactline.errors import ContractError
 
 DEFAULT_DEFINITIONS = Path(__file__).with_name("definitions")
 
-# Contract type -> names of the observed types it accepts.
-# A contract type that is not listed accepts everything.
-ACCEPTED_TYPES: dict[str, tuple[str, ...]] = {
-    "string": ("str",),
-    "integer": ("int",),
-    "float": ("float", "int"),
-    "boolean": ("bool",),
-    "timestamp": ("str", "datetime"),
-    "object": ("dict",),
-    "array": ("list",),
-}
-
 # Spark types used when a contract serves as a read schema.
 READ_TYPES: dict[str, T.DataType] = {
     "string": T.StringType(),

@@ -47,27 +47,6 @@ def member_path(name: str) -> str:
     return f'$[0]["{quoted}"]'
 
 
-def type_name(schema: Column) -> Column:
-    """Name of the JSON type behind ``schema_of_variant``; NULL where absent.
-
-    Numbers written with a fraction arrive as DECIMAL with the shortest scale,
-    so scale 0 is a whole number only where it is too long for BIGINT.
-    """
-    long_integer = (
-        schema.startswith("DECIMAL(") & schema.endswith(",0)") & (F.length(schema) == 13)
-    ) & (F.substring(schema, 9, 2) >= "19")
-    return (
-        F.when(schema.isNull(), F.lit(None).cast("string"))
-        .when(schema == "STRING", "str")
-        .when((schema == "BIGINT") | long_integer, "int")
-        .when(schema == "VOID", "null")
-        .when(schema == "BOOLEAN", "bool")
-        .when(schema.startswith("OBJECT"), "dict")
-        .when(schema.startswith("ARRAY"), "list")
-        .otherwise("float")
-    )
-
-
 def short_key(text: Column) -> Column:
     """A key of bounded length that is equal exactly where ``text`` is equal."""
     return F.when(F.length(text) > LONG_VALUE, F.concat(F.lit("h:"), F.sha2(text, 256))).otherwise(

@@ -10,10 +10,10 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pactline.contracts import ACCEPTED_TYPES, Contract, Field, as_contracts
-from pactline.functions.values import type_name
-from pactline.operators.schema_rules import counted_types, membership
-from pactline.records import DOCUMENT, LINE, Records
+from pactline.contracts import Contract, Field, as_contracts
+from pactline.functions import kinds
+from pactline.operators.schema_rules import kind_counts
+from pactline.records import DOCUMENT, LINE, Records, falls_under, unfold
 
 NUMERIC = ("integer", "float")
 
@@ -25,26 +25,16 @@ def unexpected_fields(
     chosen = as_contracts(contracts)
     if records.typed:
         return _unexpected_columns(records, chosen, route)
-    df, types = records.with_types([])
-    df = df.withColumns(membership(records, chosen, types, route))
-    keys = F.json_object_keys(LINE)
-    rows = F.array_compact(
-        F.array(
-            *(
-                F.when(
-                    F.col(f"_in_{i}"),
-                    F.struct(
-                        F.lit(c.dataset).alias("dataset"),
-                        F.array_except(keys, _texts(c.field_names)).alias("unknown"),
-                    ),
-                )
-                for i, c in enumerate(chosen)
-            )
-        )
-    )
+    df, _ = records.with_kinds([], chosen)
+    df = df.withColumn("_keys", F.json_object_keys(LINE))
+    rows = []
+    for c in chosen:
+        unknown = F.array_except("_keys", _texts(c.field_names))
+        found = F.struct(F.lit(c.dataset).alias("dataset"), unknown.alias("unknown"))
+        rows.append(F.when(falls_under(c, route), found))
     # Records fold into one row per set of unknown keys before these unfold.
     return (
-        df.select(F.inline(rows))
+        unfold(df, rows)
         .where(F.size("unknown") > 0)
         .groupBy("dataset", "unknown")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -65,28 +55,28 @@ def rename_candidates(
     if records.typed:
         raise ValueError("rename candidates need raw records, whose keys can vary")
     chosen = as_contracts(contracts)
-    df, types = records.with_types([n for c in chosen for n in c.field_names])
-    df = df.withColumns(membership(records, chosen, types, route))
+    df, seen = records.with_kinds([n for c in chosen for n in c.field_names], chosen)
     whole = F.try_variant_get(F.col(DOCUMENT), "$[0]", "map<string,variant>")
     rows = []
     for i, c in enumerate(chosen):
         gone = F.array_compact(
-            F.array(*(F.when(types[f.name].isNull(), f.name) for f in c.fields))
+            F.array(*(F.when(seen[f.name].isNull(), f.name) for f in c.fields))
         )
         unknown = F.map_filter(whole, _not_in(c.field_names))
         typed = F.transform(
             F.map_entries(unknown),
             lambda e: F.struct(
-                e["key"].alias("key"), type_name(F.schema_of_variant(e["value"])).alias("kind")
+                e["key"].alias("key"),
+                kinds.kind_of(F.schema_of_variant(e["value"])).alias("kind"),
             ),
         )
         # Only records that miss a field pay for looking at their unknown keys.
         found = F.struct(
             F.lit(i).alias("contract"), gone.alias("gone"), F.array_sort(typed).alias("unknown")
         )
-        rows.append(F.when(F.col(f"_in_{i}") & (F.size(gone) > 0), found))
+        rows.append(F.when(falls_under(c, route) & (F.size(gone) > 0), found))
     drifted = (
-        df.select(F.inline(F.array_compact(F.array(*rows))))
+        unfold(df, rows)
         .where(F.size("unknown") > 0)
         .groupBy("contract", "gone", "unknown")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -96,7 +86,7 @@ def rename_candidates(
             part
             for i, c in enumerate(chosen)
             for f in c.fields
-            for part in (F.lit(f"{i}.{f.name}"), _texts(accepted_types(f)))
+            for part in (F.lit(f"{i}.{f.name}"), _texts(list(kinds.ACCEPTED.get(f.type, ()))))
         )
     )
     dataset = F.element_at(_texts([c.dataset for c in chosen]), F.col("contract") + 1)
@@ -118,21 +108,21 @@ def type_profile(
 ) -> DataFrame:
     """Records per dataset, field and observed type (``absent`` and ``null`` too)."""
     chosen = as_contracts(contracts)
-    counts, types = counted_types(records, chosen, route)
+    counts, seen = kind_counts(records, chosen)
     rows = [
         F.when(
-            F.col(f"_in_{i}"),
+            falls_under(c, route),
             F.struct(
                 F.lit(c.dataset).alias("dataset"),
                 F.lit(f.name).alias("field"),
-                F.coalesce(types[f.name], F.lit("absent")).alias("observed_type"),
+                F.coalesce(kinds.kind_name(seen[f.name]), F.lit("absent")).alias("observed_type"),
             ),
         )
-        for i, c in enumerate(chosen)
+        for c in chosen
         for f in c.fields
     ]
     return (
-        counts.select("records", F.inline(F.array_compact(F.array(*rows))))
+        unfold(counts, rows, "records")
         .groupBy("dataset", "field", "observed_type")
         .agg(F.sum("records").alias("records"))
     )
@@ -164,14 +154,13 @@ def bad_values(
     per task.
     """
     chosen = as_contracts(contracts)
-    fields = [(i, c, f) for i, c in enumerate(chosen) for f in c.fields if _bad_name(f)]
+    fields = [(c, f) for c in chosen for f in c.fields if _bad_name(f)]
     if not fields:
         raise ValueError("no contract field is a number or a text")
-    df, types = records.with_types([f.name for _, _, f in fields])
-    df = df.withColumns(membership(records, chosen, types, route))
+    df, seen = records.with_kinds([f.name for _, f in fields], chosen)
     totals = [
-        F.count_if(F.col(f"_in_{i}") & _is_bad(records, f, types[f.name])).alias(f"_bad_{n}")
-        for n, (i, _, f) in enumerate(fields)
+        F.count_if(falls_under(c, route) & _is_bad(records, f, seen[f.name])).alias(f"_bad_{n}")
+        for n, (c, f) in enumerate(fields)
     ]
     rows = [
         F.struct(
@@ -180,15 +169,11 @@ def bad_values(
             F.lit(_bad_name(f)).alias("check"),
             F.col(f"_bad_{n}").alias("records"),
         )
-        for n, (_, c, f) in enumerate(fields)
+        for n, (c, f) in enumerate(fields)
     ]
     return df.agg(*totals).select(F.inline(F.array(*rows)))
 
 
-def accepted_types(f: Field) -> list[str]:
-    return list(ACCEPTED_TYPES.get(f.type, ()))
-
-
 def _not_in(names: list[str]) -> Callable[[Column, Column], Column]:
     return lambda key, _: ~key.isin(names)
 
@@ -201,16 +186,17 @@ def _bad_name(f: Field) -> str | None:
 
 def _is_bad(records: Records, f: Field, kind: Column) -> Column:
     if f.type in NUMERIC:
-        bad = kind.isin("int", "float") & (records.number(f.name) < 0)
+        bad = kind.isin(*kinds.NUMBERS) & (records.number(f.name) < 0)
     else:
-        bad = (kind == "str") & (F.btrim(records.text(f.name)) == "")
+        bad = (kind == kinds.TEXT) & (F.btrim(records.text(f.name)) == "")
     return F.coalesce(bad, F.lit(False))
 
 
 def _unexpected_columns(records: Records, chosen: list[Contract], route: bool) -> DataFrame:
-    df, types = records.with_types([])
-    flags = membership(records, chosen, types, route)
-    counted = df.withColumns(flags).agg(*(F.count_if(F.col(name)).alias(name) for name in flags))
+    df, _ = records.with_kinds([], chosen)
+    counted = df.agg(
+        *(F.count_if(falls_under(c, route)).alias(f"_in_{i}") for i, c in enumerate(chosen))
+    )
     rows = [
         F.struct(
             F.lit(c.dataset).alias("dataset"),

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from pactline.contracts import Contract, as_contracts
 from pactline.functions.values import short_key
-from pactline.records import Records
+from pactline.records import Records, column, falls_under, unfold
 from pactline.session import BROADCAST_ROWS, materialize
 
 
@@ -39,22 +39,19 @@ def duplicate_keys(
     rules = unique_rules(chosen)
     if records.order_by is None:
         raise ValueError("a no-duplicates rule needs records with order_by")
-    df, types = records.with_types([field for *_, field in rules])
-    seen = F.col(f"`{records.order_by}`")
+    df, found = records.with_kinds([field for *_, field in rules], chosen)
+    seen = column(records.order_by)
     keyed = [
         F.struct(
             F.lit(n).alias("rule_id"),
-            F.when(
-                records.belongs_to(c, types) if route else records.is_record(),
-                records.key(field, types),
-            ).alias("key"),
+            F.when(falls_under(c, route), records.key(field, found[field])).alias("key"),
         )
         for n, c, _, field in rules
     ]
     # Blank the rules that do not apply before they become rows.
-    kept = F.array_compact(F.array(*(F.when(k["key"].isNotNull(), k) for k in keyed)))
+    kept = [F.when(k["key"].isNotNull(), k) for k in keyed]
     return (
-        df.select(seen.alias("first_seen"), F.inline(kept))
+        unfold(df, kept, seen.alias("first_seen"))
         .groupBy("rule_id", "key")
         .agg(F.count(F.lit(1)).alias("copies"), F.min("first_seen").alias("first_seen"))
         .where("copies > 1")
@@ -86,18 +83,11 @@ def duplicate_samples(
     )
     # At most `size` rows per rule of the contracts, so a broadcast is safe;
     # the values are looked up again by place, which keeps them out of the shuffle.
-    seen = F.col(f"`{records.order_by}`")
-    hits = records.df.join(F.broadcast(first), seen == F.col("first_seen"))
-    named = Records(
-        hits,
-        records.order_by,
-        records.typed,
-        records.source_field,
-        (*records.passthrough, "rule_id", "rank"),
-    )
-    df, types = named.with_types([field for *_, field in rules])
+    hits = records.df.join(F.broadcast(first), column(records.order_by) == F.col("first_seen"))
+    named = records.over(hits, "rule_id", "rank")
+    df, found = named.with_kinds([field for *_, field in rules], [])
     shown = F.coalesce(
-        *(F.when(F.col("rule_id") == n, named.shown(f, types)) for n, _, _, f in rules)
+        *(F.when(F.col("rule_id") == n, named.shown(f, found[f])) for n, _, _, f in rules)
     )
     listed = F.array_sort(F.collect_list(F.struct("rank", shown.alias("shown"))))
     text = F.concat(F.lit("["), F.array_join(listed["shown"], ", "), F.lit("]"))
@@ -139,7 +129,7 @@ def row_digest(df: DataFrame, columns: Sequence[str]) -> Column:
     """SHA-256 over the named columns, with a length before each value."""
     parts = []
     for name in columns:
-        value = F.col(f"`{name}`")
+        value = column(name)
         plain = isinstance(df.schema[name].dataType, T.AtomicType)
         text = value.cast("string") if plain else F.to_json(F.struct(value))
         parts += [F.coalesce(F.length(text).cast("string"), F.lit("-")), F.lit(":")]
@@ -172,14 +162,14 @@ def keep_first(df: DataFrame, columns: Sequence[str], order_by: str) -> DataFram
         .select("_digest", "_first"),
         "repeated-rows",
     )
-    order = F.col(f"`{order_by}`")
+    order = column(order_by)
     if count <= BROADCAST_ROWS:
         # Few repeated rows: each task drops its own later copies, no shuffle.
         marked = df.withColumn("_digest", row_digest(df, columns)).join(
             F.broadcast(repeated), "_digest", "left"
         )
         first = F.col("_first").isNull() | (order == F.col("_first"))
-        return marked.where(first).select(*(F.col(f"`{c}`") for c in df.columns))
+        return marked.where(first).select(*map(column, df.columns))
     # Many: meet the first rows by their unique place, which has no hot key.
     firsts = rows_by_digest.agg(F.min("_order").alias("_first"))
     return df.join(firsts, order == F.col("_first"), "left_semi")

@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pactline.contracts import Contract, Rule, as_contracts
+from pactline.functions.kinds import is_empty
 from pactline.operators.duplicates import duplicate_samples
-from pactline.operators.schema_rules import broken_rule, counted_types
-from pactline.records import Records
+from pactline.operators.schema_rules import kind_counts, with_rules
+from pactline.records import STATE, Records
 
 # The largest lag seen, in milliseconds: one number, or one per dataset.
 Lag = float | int | Mapping[str, float | int] | None
@@ -30,29 +31,26 @@ def contract_totals(
     also ``bad_lines`` and ``other_lines`` (JSON, but no object).
     """
     chosen = as_contracts(contracts)
-    counts, types = counted_types(records, chosen, route)
+    counts, found = kind_counts(records, chosen)
+
+    counts, _ = with_rules(counts, chosen, found, route)
 
     def total(condition: Column, name: str) -> Column:
         hit = F.when(condition, F.col("records")).otherwise(F.lit(0))
         return F.coalesce(F.sum(hit), F.lit(0)).alias(name)
 
     sums = [
-        total(F.col("_state") == "bad", "bad_lines"),
-        total(F.col("_state") == "other", "other_lines"),
+        total(F.col(STATE) == "bad", "bad_lines"),
+        total(F.col(STATE) == "other", "other_lines"),
     ]
     for i, c in enumerate(chosen):
         inside = F.col(f"_in_{i}")
-        broken = sum(
-            (F.when(broken_rule(f, types[f.name]).isNotNull(), 1).otherwise(0) for f in c.fields),
-            F.lit(0),
-        )
-        per_shape = F.when(inside, broken * F.col("records")).otherwise(F.lit(0))
+        rules = [F.col(f"_rule_{i}_{j}").isNotNull().cast("int") for j in range(len(c.fields))]
+        broken = F.sum(F.col("records") * sum(rules, F.lit(0)))
         sums.append(total(inside, f"records_{i}"))
-        sums.append(F.coalesce(F.sum(per_shape), F.lit(0)).alias(f"broken_{i}"))
+        sums.append(F.coalesce(broken, F.lit(0)).cast("bigint").alias(f"broken_{i}"))
         for j, rule in enumerate(c.rules):
-            kind = types[rule.field]
-            empty = kind.isNull() | (kind == "null")
-            sums.append(total(inside & empty, f"nulls_{i}_{j}"))
+            sums.append(total(inside & is_empty(found[rule.field]), f"nulls_{i}_{j}"))
     return counts.agg(*sums)
 
 

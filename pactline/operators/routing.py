@@ -9,8 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pactline.contracts import Contract, as_contracts
-from pactline.operators.schema_rules import membership
-from pactline.records import Records
+from pactline.records import LINE, Records, column, falls_under, unfold
 
 
 def route_records(records: Records, contracts: Contract | Iterable[Contract]) -> DataFrame:
@@ -20,15 +19,11 @@ def route_records(records: Records, contracts: Contract | Iterable[Contract]) ->
     a source system only. One projection, whatever the number of contracts.
     """
     chosen = as_contracts(contracts)
-    df, types = records.with_types([])
-    df = df.withColumns(membership(records, chosen, types, True))
-    held = [
-        F.when(F.col(f"_in_{i}"), F.struct(F.lit(c.dataset).alias("dataset")))
-        for i, c in enumerate(chosen)
-    ]
-    keep = [F.col(f"`{name}`") for name in records.passthrough]
-    line = [] if records.typed else [F.col("_line").alias("value")]
-    return df.select(*keep, *line, F.inline(F.array_compact(F.array(*held))))
+    df, _ = records.with_kinds([], chosen)
+    held = [F.when(falls_under(c), F.struct(F.lit(c.dataset).alias("dataset"))) for c in chosen]
+    keep = [column(name) for name in records.passthrough]
+    line = [] if records.typed else [F.col(LINE).alias("value")]
+    return unfold(df, held, *keep, *line)
 
 
 def union_sources(*sources: DataFrame) -> DataFrame:

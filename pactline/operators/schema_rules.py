@@ -11,54 +11,61 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pactline.contracts import ACCEPTED_TYPES, Contract, Field, as_contracts
-from pactline.records import Records
+from pactline.contracts import Contract, Field, as_contracts
+from pactline.functions.kinds import ACCEPTED, NULL, kind_name
+from pactline.records import SOURCE, STATE, Records, column, falls_under, unfold
+
+ABSENT = "---"
+
 
 def broken_rule(f: Field, kind: Column) -> Column:
     """Name of the rule a field breaks, NULL where it breaks none."""
     broken = F.when(kind.isNull(), "missing_field")
     if not f.nullable:
-        broken = broken.when(kind == "null", "nullability")
-    if f.type in ACCEPTED_TYPES:
-        wrong = ~kind.isin("null", *ACCEPTED_TYPES[f.type])
-        broken = broken.when(wrong, "type_mismatch")
+        broken = broken.when(kind == NULL, "nullability")
+    if f.type in ACCEPTED:
+        broken = broken.when(~kind.isin(NULL, *ACCEPTED[f.type]), "type_mismatch")
     return broken
 
 
-def violation(dataset: str, position: int, f: Field, kind: Column) -> Column:
-    """The broken rule of a field as a struct, NULL where it breaks none."""
-    rule = broken_rule(f, kind)
+def with_rules(
+    df: DataFrame, contracts: list[Contract], found: dict[str, Column], route: bool = True
+) -> tuple[DataFrame, list[list[Column]]]:
+    """Add the broken rule of every contract field as a column.
+
+    Also returned is, per contract, one violation struct or NULL per field, in
+    contract field order. The rules are columns of their own because the
+    structs use them several times: nested in place, the conditions multiply.
+    """
+    inside = {f"_in_{i}": falls_under(c, route) for i, c in enumerate(contracts)}
+    rules = {
+        f"_rule_{i}_{j}": F.when(F.col(f"_in_{i}"), broken_rule(f, found[f.name]))
+        for i, c in enumerate(contracts)
+        for j, f in enumerate(c.fields)
+    }
+    structs = [
+        [
+            violation(c.dataset, j, f, F.col(f"_rule_{i}_{j}"), found[f.name])
+            for j, f in enumerate(c.fields)
+        ]
+        for i, c in enumerate(contracts)
+    ]
+    return df.withColumns(inside).withColumns(rules), structs
+
+
+def violation(dataset: str, position: int, f: Field, rule: Column, kind: Column) -> Column:
+    """A broken rule as a struct, NULL where it is NULL."""
     found = F.struct(
         F.lit(dataset).alias("dataset"),
         F.lit(position).alias("position"),
         F.lit(f.name).alias("field"),
         rule.alias("rule"),
         F.when(rule == "nullability", "non-null").otherwise(f.type).alias("expected"),
-        F.when(rule == "missing_field", "").otherwise(kind).alias("observed"),
+        F.coalesce(kind_name(kind), F.lit("")).alias("observed"),
     )
     return F.when(rule.isNotNull(), found)
 
 
-def violations_of(
-    contract: Contract, types: dict[str, Column], belongs: Column | None = None
-) -> list[Column]:
-    """One struct or NULL per contract field, in contract field order."""
-    found = [
-        violation(contract.dataset, i, f, types[f.name]) for i, f in enumerate(contract.fields)
-    ]
-    return found if belongs is None else [F.when(belongs, v) for v in found]
-
-
-def membership(
-    records: Records, contracts: list[Contract], types: dict[str, Column], route: bool
-) -> dict[str, Column]:
-    """One flag per contract: does the record fall under it?"""
-    return {
-        f"_in_{i}": records.belongs_to(c, types) if route else records.is_record()
-        for i, c in enumerate(contracts)
-    }
-
-
 def schema_violations(
     records: Records, contracts: Contract | Iterable[Contract], route: bool = True
 ) -> DataFrame:
@@ -68,15 +75,15 @@ def schema_violations(
     every record is held against every contract.
     """
     chosen = as_contracts(contracts)
-    df, types = records.with_types([n for c in chosen for n in c.field_names])
-    df = df.withColumns(membership(records, chosen, types, route))
-    rows = [v for i, c in enumerate(chosen) for v in violations_of(c, types, F.col(f"_in_{i}"))]
-    keep = [F.col(f"`{name}`") for name in records.passthrough]
-    # inline lets only the violations through; sound records end here.
-    found = df.select(*keep, F.inline(F.array_compact(F.array(*rows))))
+    df, found = records.with_kinds([n for c in chosen for n in c.field_names], chosen)
+    df, violations = with_rules(df, chosen, found, route)
+    rows = [v for of_contract in violations for v in of_contract]
+    keep = [column(name) for name in records.passthrough]
+    # Only violations come through; sound records end here.
+    broken = unfold(df, rows, *keep)
     if records.order_by is None:
-        return found
-    return found.withColumn("message", _message(F.col(f"`{records.order_by}`").cast("string")))
+        return broken
+    return broken.withColumn("message", _message(column(records.order_by).cast("string")))
 
 
 def numbered_violations(records: Records, contract: Contract, route: bool = True) -> DataFrame:
@@ -86,13 +93,11 @@ def numbered_violations(records: Records, contract: Contract, route: bool = True
     their file block and blocks are offset by a running count, so no task
     orders more than one block, or one row per block.
     """
-    df, types = records.with_types(contract.field_names)
-    df = df.withColumns(membership(records, [contract], types, route))
-    found = F.array_compact(F.array(*violations_of(contract, types)))
-    file, block, row = (F.col(f"{records.order_by}.{part}") for part in ("file", "block", "row"))
-    kept = df.where("_in_0").select(
-        file.alias("file"), block.alias("block"), row.alias("row"), found.alias("found")
-    )
+    df, found = records.with_kinds(contract.field_names, [contract])
+    df, violations = with_rules(df, [contract], found, route)
+    broken = F.array_compact(F.array(*violations[0])).alias("broken")
+    record = F.when(F.col("_in_0"), F.struct(column(records.order_by).alias("place"), broken))
+    kept = unfold(df, [record]).select("place.*", "broken")
     in_block = Window.partitionBy("file", "block").orderBy("row")
     earlier = Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -102,34 +107,39 @@ def numbered_violations(records: Records, contract: Contract, route: bool = True
     )
     return (
         kept.withColumn("place", F.row_number().over(in_block) - 1)
-        .where(F.size("found") > 0)
+        .where(F.size("broken") > 0)
         .join(offsets, ["file", "block"])
-        .select((F.col("offset") + F.col("place")).alias("record_index"), F.inline("found"))
+        .select((F.col("offset") + F.col("place")).alias("record_index"), F.inline("broken"))
         .withColumn("message", _message(F.col("record_index").cast("string")))
     )
 
 
-def type_counts(
-    records: Records, contracts: Contract | Iterable[Contract], route: bool = True
-) -> DataFrame:
-    """How many records show each combination of observed types.
+def kind_counts(
+    records: Records, contracts: Contract | Iterable[Contract]
+) -> tuple[DataFrame, dict[str, Column]]:
+    """How many records show each combination of field kinds.
 
     The whole input folds into a few rows inside the map tasks (a combination
-    is a handful of short names), whatever the size of a source. Every count a
-    contract needs about presence, nulls and types follows from this table, so
-    the lines are read and parsed once for all contracts and rules.
+    is one short text), whatever the size of a source. Every count a contract
+    needs about presence, nulls and types follows from this table, so the
+    lines are read and parsed once for all contracts and rules.
 
-    Columns: ``_sources`` (one flag per contract), ``_state`` for raw lines,
-    one ``_type_i`` per checked field, ``records``. Also returned is the map
-    from field name to its type column.
+    Columns: the line state, the source, ``records`` and one kind column per
+    checked field; also returned is which column holds which field.
     """
     chosen = as_contracts(contracts)
-    df, types = records.with_types([n for c in chosen for n in c.checked_fields])
-    belongs = membership(records, chosen, types, route)
-    used = [types[n] for n in dict.fromkeys(n for c in chosen for n in c.checked_fields)]
-    state = (F.lit("object") if records.typed else F.col("_state")).alias("_state")
-    grouped = df.groupBy(state, *(v.alias(k) for k, v in belongs.items()), *used)
-    return grouped.agg(F.count(F.lit(1)).alias("records"))
+    names = list(dict.fromkeys(n for c in chosen for n in c.checked_fields))
+    df, found = records.with_kinds(names, chosen)
+    shape = F.concat(*(F.coalesce(found[n], F.lit(ABSENT)) for n in names))
+    counts = df.groupBy(STATE, SOURCE, shape.alias("_kinds")).agg(
+        F.count(F.lit(1)).alias("records")
+    )
+    parts = {
+        f"_kind_{i}": F.nullif(F.substring("_kinds", 3 * i + 1, 3), F.lit(ABSENT))
+        for i in range(len(names))
+    }
+    split = counts.select(STATE, SOURCE, "records", *(v.alias(k) for k, v in parts.items()))
+    return split, {n: F.col(f"_kind_{i}") for i, n in enumerate(names)}
 
 
 def schema_summary(
@@ -137,26 +147,16 @@ def schema_summary(
 ) -> DataFrame:
     """Violations per dataset, field, rule and observed type."""
     chosen = as_contracts(contracts)
-    counts, types = counted_types(records, chosen, route)
-    rows = [v for i, c in enumerate(chosen) for v in violations_of(c, types, F.col(f"_in_{i}"))]
+    counts, found = kind_counts(records, chosen)
+    counts, violations = with_rules(counts, chosen, found, route)
+    rows = [v for of_contract in violations for v in of_contract]
     return (
-        counts.select("records", F.inline(F.array_compact(F.array(*rows))))
+        unfold(counts, rows, "records")
         .groupBy("dataset", "position", "field", "rule", "expected", "observed")
         .agg(F.sum("records").alias("violations"))
     )
 
 
-def counted_types(
-    records: Records, contracts: list[Contract], route: bool
-) -> tuple[DataFrame, dict[str, Column]]:
-    """:func:`type_counts` and the column that holds each field's type."""
-    names = list(
-        dict.fromkeys([*(n for c in contracts for n in c.checked_fields), records.source_field])
-    )
-    columns = {name: F.col(f"_type_{i}") for i, name in enumerate(names)}
-    return type_counts(records, contracts, route), columns
-
-
 def _message(place: Column) -> Column:
     texts = {
         "missing_field": "Record %s is missing field %s",

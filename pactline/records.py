@@ -1,23 +1,22 @@
 """Records under check: raw JSON lines or the rows of a typed DataFrame.
 
-Both lanes give every operator the same three expressions per field: the name
-of its observed type (NULL = absent, ``null`` = null), an equality key and a
-printable form.
+Both lanes give every operator the same expressions per field: the kind of its
+value (NULL = absent), an equality key and a printable form.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Iterable
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pactline.contracts import Contract
-from pactline.functions import values
+from pactline.functions import kinds, values
 
-LINE, DOCUMENT, STATE = "_line", "_document", "_state"
+LINE, DOCUMENT, STATE, SOURCE = "_line", "_document", "_state", "_source"
 
 
 @dataclass(frozen=True)
@@ -35,42 +34,43 @@ class Records:
     passthrough: tuple[str, ...] = ()
     lines: DataFrame | None = None
 
-    def with_types(self, names: Sequence[str]) -> tuple[DataFrame, dict[str, Column]]:
-        """The parsed rows with one observed-type column per named field."""
-        wanted = list(dict.fromkeys([*names, self.source_field]))
-        columns = {name: f"_type_{i}" for i, name in enumerate(wanted)}
-        if self.typed:
-            types = {alias: self._typed_name(name) for name, alias in columns.items()}
-            return self.df.withColumns(types), _columns(columns)
-        # Two steps, so that each path is looked up once and only then named.
-        schemas = {
-            alias: F.schema_of_variant(values.member(F.col(DOCUMENT), name))
-            for name, alias in columns.items()
-        }
-        parsed = self.parsed().withColumns(schemas)
-        named = {alias: values.type_name(F.col(alias)) for alias in columns.values()}
-        return parsed.withColumns(named), _columns(columns)
+    def over(self, df: DataFrame, *more: str) -> Records:
+        """The same view on other rows with the same columns, and ``more``."""
+        return replace(self, df=df, passthrough=(*self.passthrough, *more))
 
     def parsed(self) -> DataFrame:
-        """Raw lines with the parsed document and a state per line."""
+        """Rows with a state; raw lines also with their parsed document."""
         if self.typed:
-            return self.df
+            return self.df.withColumn(STATE, F.lit("object"))
         parsed = self.df.withColumn(DOCUMENT, values.parse_document(F.col(LINE)))
         return parsed.withColumn(STATE, line_state())
 
-    def is_record(self) -> Column:
-        return F.lit(True) if self.typed else F.col(STATE) == "object"
-
-    def source(self, types: dict[str, Column]) -> Column:
-        """The record's source where it is a text, else NULL."""
-        return F.when(types[self.source_field] == "str", self.text(self.source_field))
-
-    def belongs_to(self, contract: Contract, types: dict[str, Column]) -> Column:
-        """Whether a record falls under a contract, judged by its source."""
-        if contract.source_system is None:
-            return self.is_record()
-        same = self.source(types) == contract.source_system
-        return self.is_record() & F.coalesce(same, F.lit(False))
+    def with_kinds(
+        self, names: Iterable[str], contracts: list[Contract]
+    ) -> tuple[DataFrame, dict[str, Column]]:
+        """Parsed rows with the source and one kind column per named field.
+
+        The source is kept only where a contract asks for it, so it takes few
+        values whatever the data holds.
+        """
+        systems = sorted({c.source_system for c in contracts if c.source_system is not None})
+        wanted = list(dict.fromkeys(names))
+        looked_up = [*wanted, self.source_field] if systems else wanted
+        columns = {name: f"_kind_{i}" for i, name in enumerate(dict.fromkeys(looked_up))}
+        df = self.parsed()
+        if self.typed:
+            df = df.withColumns({c: self._typed_kind(name) for name, c in columns.items()})
+        elif columns:
+            # Two steps, so that each path is looked up once and only then named.
+            schemas = {
+                c: F.schema_of_variant(values.member(F.col(DOCUMENT), name))
+                for name, c in columns.items()
+            }
+            df = df.withColumns(schemas).withColumns(
+                {c: kinds.kind_of(F.col(c)) for c in columns.values()}
+            )
+        found = {name: F.col(c) for name, c in columns.items()}
+        return df.withColumn(SOURCE, self._known_source(systems, found)), found
 
     def text(self, name: str) -> Column:
         """A field as text; NULL where a typed table lacks it."""
@@ -79,31 +79,38 @@ class Records:
     def number(self, name: str) -> Column:
         return self._value(name, "double")
 
-    def key(self, name: str, types: dict[str, Column]) -> Column:
+    def key(self, name: str, kind: Column) -> Column:
         """Equality key of a value, with a mark for its family; NULL for null."""
-        kind = types[name]
         text, number = self.text(name), self.number(name)
         numeric = (
-            F.when(kind == "int", text)
-            .when(kind == "bool", F.when(text == "true", "1").otherwise("0"))
-            .when((kind == "float") & ~F.isnan(number), values.number_key(number))
+            F.when(kind == kinds.WHOLE, text)
+            .when(kind == kinds.FLAG, F.when(text == "true", "1").otherwise("0"))
+            .when(~F.isnan(number), values.number_key(number))
         )
+        nested = (*kinds.NESTED, kinds.TIME, kinds.DATE, kinds.OTHER)
         return values.short_key(
-            F.when(kind == "str", F.concat(F.lit("s:"), text))
-            .when(kind.isin("int", "bool", "float"), F.concat(F.lit("n:"), numeric))
-            .when(kind.isin("dict", "list", "datetime", "date"), F.concat(F.lit("j:"), self._json(name)))
+            F.when(kind == kinds.TEXT, F.concat(F.lit("s:"), text))
+            .when(kind.isin(*kinds.NUMBERS, kinds.FLAG), F.concat(F.lit("n:"), numeric))
+            .when(kind.isin(*nested), F.concat(F.lit("j:"), self._json(name)))
         )
 
-    def shown(self, name: str, types: dict[str, Column]) -> Column:
+    def shown(self, name: str, kind: Column) -> Column:
         """A value as reports print it."""
-        kind, text = types[name], self.text(name)
+        text = self.text(name)
         return (
-            F.when(kind == "str", values.quoted(text))
-            .when(kind == "bool", F.initcap(text))
-            .when(kind.isin("dict", "list"), self._json(name))
+            F.when(kind == kinds.TEXT, values.quoted(text))
+            .when(kind == kinds.FLAG, F.initcap(text))
+            .when(kind.isin(*kinds.NESTED), self._json(name))
             .otherwise(text)
         )
 
+    def _known_source(self, systems: list[str], found: dict[str, Column]) -> Column:
+        if not systems:
+            return F.lit(None).cast("string")
+        text = self.text(self.source_field)
+        known = (found[self.source_field] == kinds.TEXT) & text.isin(systems)
+        return F.when(known, text)
+
     def _value(self, name: str, kind: str) -> Column:
         if not self.typed:
             return F.try_variant_get(F.col(DOCUMENT), values.member_path(name), kind)
@@ -111,29 +118,41 @@ class Records:
             return F.lit(None).cast(kind)
         dtype = self.df.schema[name].dataType
         if isinstance(dtype, (T.StructType, T.MapType, T.ArrayType, T.VariantType)):
-            return F.to_json(_col(name)) if kind == "string" else F.lit(None).cast(kind)
+            return F.to_json(column(name)) if kind == "string" else F.lit(None).cast(kind)
         if kind == "double" and not isinstance(dtype, T.NumericType):
             return F.lit(None).cast(kind)
-        return _col(name).cast(kind)
+        return column(name).cast(kind)
 
     def _json(self, name: str) -> Column:
         if self.typed:
             return self.text(name)
         return F.to_json(values.member(F.col(DOCUMENT), name))
 
-    def _typed_name(self, name: str) -> Column:
+    def _typed_kind(self, name: str) -> Column:
         if name not in self.df.columns:
             return F.lit(None).cast("string")
-        return F.when(_col(name).isNull(), "null").otherwise(
-            spark_type_name(self.df.schema[name].dataType)
-        )
+        kind = kinds.spark_kind(self.df.schema[name].dataType)
+        return F.when(column(name).isNull(), kinds.NULL).otherwise(kind)
+
+
+def falls_under(contract: Contract, route: bool = True) -> Column:
+    """Whether a row of :meth:`Records.with_kinds` falls under a contract.
+
+    With ``route``, a contract with a source system takes only the records
+    whose source is that text; absent, null and other sources do not match.
+    """
+    record = F.col(STATE) == "object"
+    if not route or contract.source_system is None:
+        return record
+    return record & F.col(SOURCE).eqNullSafe(contract.source_system)
 
 
 def line_state() -> Column:
-    """``bad`` (not JSON), ``object`` or ``other`` for a parsed line."""
+    """``blank``, ``bad`` (not JSON), ``object`` or ``other`` for a parsed line."""
     line = F.col(LINE)
     return (
-        F.when(~values.is_well_formed(F.col(DOCUMENT), line), "bad")
+        F.when(line == "", "blank")
+        .when(~values.is_well_formed(F.col(DOCUMENT), line), "bad")
         .when(line.startswith("{"), "object")
         .otherwise("other")
     )
@@ -142,13 +161,13 @@ def line_state() -> Column:
 def raw_records(
     df: DataFrame, line: str = "value", order_by: str | None = None, source_field: str = "source"
 ) -> Records:
-    """Records from a column of JSON text; blank lines are left out."""
+    """Records from a column of JSON text; blank lines are no records."""
     # Read when the plan is optimized: a repeated JSON key keeps its last value.
     df.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     kept = [c for c in df.columns if c != line]
-    stripped = df.select(*map(_col, kept), values.strip(_col(line)).alias(LINE))
+    stripped = df.select(*map(column, kept), values.strip(column(line)).alias(LINE))
     return Records(
-        stripped.where(F.col(LINE) != ""),
+        stripped,
         order_by=order_by,
         source_field=source_field,
         passthrough=tuple(kept),
@@ -163,32 +182,21 @@ def typed_records(
     return Records(df, order_by, True, source_field, tuple(df.columns))
 
 
-def spark_type_name(dtype: T.DataType) -> str:
-    """Observed-type name of a Spark column type."""
-    if isinstance(dtype, T.IntegralType):
-        return "int"
-    if isinstance(dtype, T.DecimalType):
-        return "int" if dtype.scale == 0 else "float"
-    if isinstance(dtype, T.NumericType):
-        return "float"
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return "datetime"
-    # Spark type -> observed-type name.
-    names = {
-        T.StringType: "str",
-        T.BooleanType: "bool",
-        T.StructType: "dict",
-        T.MapType: "dict",
-        T.VariantType: "dict",
-        T.ArrayType: "list",
-        T.DateType: "date",
-    }
-    return names.get(type(dtype), dtype.typeName())
-
-
-def _col(name: str) -> Column:
-    return F.col("`" + name.replace("`", "``") + "`")
+def unfold(df: DataFrame, rows: list[Column], *keep: Column | str) -> DataFrame:
+    """One output row per struct of ``rows`` that is not NULL, beside ``keep``.
+
+    The array is a column of its own, because what stands inside a generator
+    is interpreted wherever Spark does not compile the whole stage. The outer
+    form keeps Catalyst from adding a filter on the array's size, which it
+    would push below the projections and so parse every line twice.
+    """
+    found = F.array_compact(F.array(*rows)).alias("_rows")
+    kept = df.select(*keep, found)
+    others = [column(c) for c in kept.columns if c != "_rows"]
+    one = kept.select(*others, F.explode_outer("_rows").alias("_row"))
+    return one.where(F.col("_row").isNotNull()).select(*others, "_row.*")
 
 
-def _columns(aliases: dict[str, str]) -> dict[str, Column]:
-    return {name: F.col(alias) for name, alias in aliases.items()}
+def column(name: str) -> Column:
+    """A column by its exact name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")

@@ -15,6 +15,9 @@ _SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Beyond this size the JVM does not compile a method; Spark then generates
+    # smaller ones, which keeps wide contracts fast.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # A JSON key written twice keeps its last value.
     "spark.sql.variant.allowDuplicateKeys": "true",
 }

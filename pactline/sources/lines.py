@@ -40,7 +40,7 @@ def scan_counts(df: DataFrame, line: str = "value") -> DataFrame:
     states = (
         df.select(strip(F.col(line)).alias(LINE))
         .withColumn(DOCUMENT, parse_document(F.col(LINE)))
-        .groupBy(F.when(F.col(LINE) == "", "blank").otherwise(line_state()).alias(STATE))
+        .groupBy(line_state().alias(STATE))
         .agg(F.count(F.lit(1)).alias("n"))
     )
     named = {"blank": "blank", "bad": "invalid", "object": "objects", "other": "other_json"}
@@ -58,7 +58,7 @@ def valid_lines(records: Records) -> DataFrame:
 
 def bad_lines(records: Records) -> DataFrame:
     """Lines that are not JSON, or hold JSON that is no object."""
-    return records.parsed().where(F.col(STATE) != "object")
+    return records.parsed().where(F.col(STATE).isin("bad", "other"))
 
 
 def first_bad_line(records: Records) -> str:

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pactline.contracts import Contract, as_contracts
-from pactline.operators.schema_rules import membership, violations_of
+from pactline.operators.schema_rules import with_rules
 from pactline.plans.report import contract_report, enforce
-from pactline.records import LINE, raw_records
+from pactline.records import LINE, STATE, raw_records
 
 SEQUENCE = "_sequence"
 
@@ -59,27 +59,27 @@ def split_records(df: DataFrame, contracts: list[Contract]) -> DataFrame:
     one of them.
     """
     records = raw_records(df, order_by=SEQUENCE)
-    parsed, types = records.with_types([n for c in contracts for n in c.field_names])
-    parsed = parsed.withColumns(membership(records, contracts, types, True))
+    parsed, found = records.with_kinds([n for c in contracts for n in c.field_names], contracts)
+    parsed, violations = with_rules(parsed, contracts, found)
     held = [
         F.when(
             F.col(f"_in_{i}"),
             F.struct(
                 F.lit(c.dataset).alias("dataset"),
-                F.array_compact(F.array(*violations_of(c, types))).alias("violations"),
+                F.array_compact(F.array(*violations[i])).alias("violations"),
             ),
         )
         for i, c in enumerate(contracts)
     ]
     # posexplode_outer keeps lines that no contract holds, as one row of nulls.
-    rows = parsed.select(
+    rows = parsed.where(F.col(LINE) != "").select(
         F.col(LINE).alias("value"),
         SEQUENCE,
-        F.col("_state"),
+        STATE,
         F.posexplode_outer(F.array_compact(F.array(*held))).alias("place", "held"),
     )
     status = (
-        F.when(F.col("_state") != "object", "quarantine")
+        F.when(F.col(STATE) != "object", "quarantine")
         .when(F.col("held").isNull(), "unmatched")
         .when(F.size("held.violations") > 0, "quarantine")
         .otherwise("valid")

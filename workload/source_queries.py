@@ -47,9 +47,9 @@ def envelope_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         "value", F.when(F.col("event_id") % 9 > 0, F.col("value"))
     )
     lines = envelope.unwrap(envelope.wrap_rows(events))
-    types = p.type_counts(p.raw_records(lines), EVENT_ROWS)
-    return types.groupBy(F.col("_type_1").alias("value_type")).agg(
-        F.sum("records").alias("records")
+    profile = p.type_profile(p.raw_records(lines), EVENT_ROWS)
+    return profile.where("field = 'value'").select(
+        F.col("observed_type").alias("value_type"), "records"
     )
 
 
