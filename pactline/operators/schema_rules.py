@@ -53,6 +53,12 @@ def with_rules(
     return df.withColumns(inside).withColumns(rules), structs
 
 
+def any_rule(contracts: list[Contract]) -> Column:
+    """Whether a row of :func:`with_rules` breaks any rule."""
+    rules = [f"_rule_{i}_{j}" for i, c in enumerate(contracts) for j in range(len(c.fields))]
+    return F.coalesce(*rules).isNotNull()
+
+
 def violation(dataset: str, position: int, f: Field, rule: Column, kind: Column) -> Column:
     """A broken rule as a struct, NULL where it is NULL."""
     found = F.struct(
@@ -80,7 +86,7 @@ def schema_violations(
     rows = [v for of_contract in violations for v in of_contract]
     keep = [column(name) for name in records.passthrough]
     # Only violations come through; sound records end here.
-    broken = unfold(df, rows, *keep)
+    broken = unfold(df, rows, *keep, only=any_rule(chosen))
     if records.order_by is None:
         return broken
     return broken.withColumn("message", _message(column(records.order_by).cast("string")))

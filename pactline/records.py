@@ -182,16 +182,19 @@ def typed_records(
     return Records(df, order_by, True, source_field, tuple(df.columns))
 
 
-def unfold(df: DataFrame, rows: list[Column], *keep: Column | str) -> DataFrame:
+def unfold(
+    df: DataFrame, rows: list[Column], *keep: Column | str, only: Column | None = None
+) -> DataFrame:
     """One output row per struct of ``rows`` that is not NULL, beside ``keep``.
 
     The array is a column of its own, because what stands inside a generator
     is interpreted wherever Spark does not compile the whole stage. The outer
     form keeps Catalyst from adding a filter on the array's size, which it
-    would push below the projections and so parse every line twice.
+    would push below the projections and so parse every line twice. Rows for
+    which ``only`` is false build no array at all.
     """
-    found = F.array_compact(F.array(*rows)).alias("_rows")
-    kept = df.select(*keep, found)
+    found = F.array_compact(F.array(*rows))
+    kept = df.select(*keep, (found if only is None else F.when(only, found)).alias("_rows"))
     others = [column(c) for c in kept.columns if c != "_rows"]
     one = kept.select(*others, F.explode_outer("_rows").alias("_row"))
     return one.where(F.col("_row").isNotNull()).select(*others, "_row.*")
