@@ -53,8 +53,9 @@ from pactline.operators.sla import (
 from pactline.plans.ingest import ingest_batch, ingest_log
 from pactline.plans.report import contract_findings, contract_report, enforce
 from pactline.records import Records, raw_records, typed_records
-from pactline.session import configure, materialize, shared_folder
+from pactline.session import configure, materialize, shared_folder, spread
 from pactline.sinks.bronze import BronzeSink, enrich, write_bronze
+from pactline.sinks.reports import emit_metrics, emit_report
 from pactline.sources.inferred import infer_schema, read_with_schema
 from pactline.sources.lines import read_jsonl, read_lines, require_valid, scan_counts
 from pactline.streaming.bronze import bronze_stream

@@ -18,6 +18,10 @@ _SETTINGS = {
     # Beyond this size the JVM does not compile a method; Spark then generates
     # smaller ones, which keeps wide contracts fast.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Streaming state on local disk instead of the executors' heap.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
     # A JSON key written twice keeps its last value.
     "spark.sql.variant.allowDuplicateKeys": "true",
 }
@@ -58,6 +62,16 @@ def materialize(df: DataFrame, label: str) -> tuple[DataFrame, int]:
     return df.sparkSession.read.schema(df.schema).parquet(path), seen.get.get("rows", 0)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Share out a source that has far fewer splits than there are cores.
+
+    A single small or unsplittable file would otherwise be parsed by one task.
+    A source with enough splits is left as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() * 4 <= cores else df
+
+
 def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
     """Mark a counted side for broadcast when its row count allows it."""
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df

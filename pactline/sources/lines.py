@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pactline.errors import InputError
 from pactline.functions.values import parse_document, strip
 from pactline.records import DOCUMENT, LINE, STATE, Records, line_state, raw_records
+from pactline.session import spread
 
 PLACE = "_place"
 
@@ -32,7 +33,8 @@ def read_jsonl(
     spark: SparkSession, path: str | Sequence[str], source_field: str = "source"
 ) -> Records:
     """Records of JSON-lines files, in file order."""
-    return raw_records(read_lines(spark, path), order_by=PLACE, source_field=source_field)
+    lines = spread(read_lines(spark, path))
+    return raw_records(lines, order_by=PLACE, source_field=source_field)
 
 
 def scan_counts(df: DataFrame, line: str = "value") -> DataFrame:

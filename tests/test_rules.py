@@ -42,6 +42,14 @@ def test_drifted_mixed_file(spark, contracts, jsonl):
         p.enforce(report)
 
 
+def test_report_is_emitted_as_json(spark, contracts, jsonl, tmp_path):
+    report = p.contract_report(p.read_jsonl(spark, jsonl(drifted())), contracts.values())
+    p.emit_report(report, str(tmp_path / "reports"))
+    said = spark.read.json(str(tmp_path / "reports"))
+    assert rows(said, "report.dataset", "report.total_violations") == [
+        ("cdr_events", 4), ("device_metrics", 3)]
+
+
 def test_record_numbers_count_matched_records(spark, contracts, jsonl):
     mixed = drifted()
     records = p.read_jsonl(spark, jsonl([*mixed[12:], *mixed[:12]]))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from pactline.contracts import Contract, Field, Rule
 from pactline.records import Records, raw_records
+from pactline.session import spread
 
 # One JSON line per event; assembled as text, because only text can tell an
 # absent field from a null one.
@@ -112,7 +113,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def dirty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``n`` (row number) and the dirty JSON line of every event."""
-    return table(spark, sf_dir, "events").select(
+    return spread(table(spark, sf_dir, "events")).select(
         F.col("event_id").alias("n"), F.expr(DIRTY_LINE).alias("value")
     )
 
@@ -122,7 +123,8 @@ def dirty_records(spark: SparkSession, sf_dir: str) -> Records:
 
 
 def mixed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").select(F.expr(MIXED_LINE).alias("value"))
+    events = spread(table(spark, sf_dir, "events"))
+    return events.select(F.expr(MIXED_LINE).alias("value"))
 
 
 def timed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
