@@ -6,8 +6,6 @@ work per field small; reports translate them to names.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 TEXT, WHOLE, NULL, FLAG, OBJECT, ARRAY = "STR", "BIG", "VOI", "BOO", "OBJ", "ARR"
@@ -44,29 +42,23 @@ ACCEPTED: dict[str, tuple[str, ...]] = {
 }
 
 
-def kind_of(schema: Column) -> Column:
-    """Kind behind a ``schema_of_variant`` text.
+def kind_sql(schema: str) -> str:
+    """SQL for the kind behind a ``schema_of_variant`` text.
 
     A number written with a fraction is a DECIMAL of its shortest scale, so
     scale 0 means a whole number only where it is too long for BIGINT.
     """
-    long_whole = (
-        (F.length(schema) == 13)
-        & schema.endswith(",0)")
-        & (F.substring(schema, 1, 3) == DECIMAL)
-        & (F.substring(schema, 9, 2) >= "19")
+    return (
+        f"if(length({schema}) = 13 and endswith({schema}, ',0)') "
+        f"and substring({schema}, 1, 3) = '{DECIMAL}' and substring({schema}, 9, 2) >= '19', "
+        f"'{WHOLE}', substring({schema}, 1, 3))"
     )
-    return F.when(long_whole, WHOLE).otherwise(F.substring(schema, 1, 3))
 
 
-def kind_name(kind: Column) -> Column:
-    names = F.create_map(*(F.lit(x) for pair in NAMES.items() for x in pair))
-    return F.element_at(names, kind)
-
-
-def is_empty(kind: Column) -> Column:
-    """Null or absent."""
-    return kind.isNull() | (kind == NULL)
+def name_sql(kind: str) -> str:
+    """SQL for the reported name of a kind."""
+    pairs = ", ".join(f"'{code}', '{name}'" for code, name in NAMES.items())
+    return f"element_at(map({pairs}), {kind})"
 
 
 def spark_kind(dtype: T.DataType) -> str:

@@ -15,6 +15,11 @@ BLANKS = (
 LONG_VALUE = 64
 
 
+def literal(text: str) -> str:
+    """A text as a SQL literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(BLANKS))
 

@@ -60,19 +60,18 @@ def rename_candidates(
     rows = []
     for i, c in enumerate(chosen):
         gone = F.array_compact(
-            F.array(*(F.when(seen[f.name].isNull(), f.name) for f in c.fields))
+            F.array(*(F.when(F.col(seen[f.name]).isNull(), f.name) for f in c.fields))
         )
         unknown = F.map_filter(whole, _not_in(c.field_names))
-        typed = F.transform(
+        entries = F.transform(
             F.map_entries(unknown),
             lambda e: F.struct(
-                e["key"].alias("key"),
-                kinds.kind_of(F.schema_of_variant(e["value"])).alias("kind"),
+                e["key"].alias("key"), F.schema_of_variant(e["value"]).alias("schema")
             ),
         )
         # Only records that miss a field pay for looking at their unknown keys.
         found = F.struct(
-            F.lit(i).alias("contract"), gone.alias("gone"), F.array_sort(typed).alias("unknown")
+            F.lit(i).alias("contract"), gone.alias("gone"), F.array_sort(entries).alias("unknown")
         )
         rows.append(F.when(falls_under(c, route) & (F.size(gone) > 0), found))
     drifted = (
@@ -93,6 +92,7 @@ def rename_candidates(
     pairs = (
         drifted.select("contract", "unknown", "n", F.explode("gone").alias("missing_field"))
         .select("contract", "missing_field", "n", F.inline("unknown"))
+        .withColumn("kind", F.expr(kinds.kind_sql("schema")))
         .withColumn(
             "fits", accepts[F.concat(F.col("contract").cast("string"), F.lit("."), "missing_field")]
         )
@@ -115,7 +115,7 @@ def type_profile(
             F.struct(
                 F.lit(c.dataset).alias("dataset"),
                 F.lit(f.name).alias("field"),
-                F.coalesce(kinds.kind_name(seen[f.name]), F.lit("absent")).alias("observed_type"),
+                F.expr(f"coalesce({kinds.name_sql(seen[f.name])}, 'absent')").alias("observed_type"),
             ),
         )
         for c in chosen
@@ -159,7 +159,7 @@ def bad_values(
         raise ValueError("no contract field is a number or a text")
     df, seen = records.with_kinds([f.name for _, f in fields], chosen)
     totals = [
-        F.count_if(falls_under(c, route) & _is_bad(records, f, seen[f.name])).alias(f"_bad_{n}")
+        F.count_if(falls_under(c, route) & _is_bad(records, f, F.col(seen[f.name]))).alias(f"_bad_{n}")
         for n, (c, f) in enumerate(fields)
     ]
     rows = [

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pactline.contracts import Contract, Rule, as_contracts
-from pactline.functions.kinds import is_empty
+from pactline.functions.kinds import NULL
 from pactline.operators.duplicates import duplicate_samples
 from pactline.operators.schema_rules import kind_counts, with_rules
 from pactline.records import STATE, Records
@@ -35,22 +35,18 @@ def contract_totals(
 
     counts, _ = with_rules(counts, chosen, found, route)
 
-    def total(condition: Column, name: str) -> Column:
-        hit = F.when(condition, F.col("records")).otherwise(F.lit(0))
-        return F.coalesce(F.sum(hit), F.lit(0)).alias(name)
+    def total(condition: str, name: str) -> Column:
+        return F.expr(f"coalesce(sum(if({condition}, records, 0)), 0) as {name}")
 
-    sums = [
-        total(F.col(STATE) == "bad", "bad_lines"),
-        total(F.col(STATE) == "other", "other_lines"),
-    ]
+    sums = [total(f"{STATE} = 'bad'", "bad_lines"), total(f"{STATE} = 'other'", "other_lines")]
     for i, c in enumerate(chosen):
-        inside = F.col(f"_in_{i}")
-        rules = [F.col(f"_rule_{i}_{j}").isNotNull().cast("int") for j in range(len(c.fields))]
-        broken = F.sum(F.col("records") * sum(rules, F.lit(0)))
-        sums.append(total(inside, f"records_{i}"))
-        sums.append(F.coalesce(broken, F.lit(0)).cast("bigint").alias(f"broken_{i}"))
+        rules = " + ".join(f"int(_rule_{i}_{j} is not null)" for j in range(len(c.fields)))
+        sums.append(total(f"_in_{i}", f"records_{i}"))
+        sums.append(F.expr(f"coalesce(sum(records * ({rules})), 0) as broken_{i}"))
         for j, rule in enumerate(c.rules):
-            sums.append(total(inside & is_empty(found[rule.field]), f"nulls_{i}_{j}"))
+            kind = found[rule.field]
+            empty = f"({kind} is null or {kind} = '{NULL}')"
+            sums.append(total(f"_in_{i} and {empty}", f"nulls_{i}_{j}"))
     return counts.agg(*sums)
 
 

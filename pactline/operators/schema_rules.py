@@ -12,24 +12,37 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pactline.contracts import Contract, Field, as_contracts
-from pactline.functions.kinds import ACCEPTED, NULL, kind_name
+from pactline.functions.kinds import ACCEPTED, NULL, name_sql
+from pactline.functions.values import literal
 from pactline.records import SOURCE, STATE, Records, column, falls_under, unfold
 
 ABSENT = "---"
 
 
-def broken_rule(f: Field, kind: Column) -> Column:
-    """Name of the rule a field breaks, NULL where it breaks none."""
-    broken = F.when(kind.isNull(), "missing_field")
+def rule_sql(f: Field, kind: str) -> str:
+    """SQL for the name of the rule a field breaks, NULL where it breaks none."""
+    cases = f"when {kind} is null then 'missing_field'"
     if not f.nullable:
-        broken = broken.when(kind == NULL, "nullability")
+        cases += f" when {kind} = '{NULL}' then 'nullability'"
     if f.type in ACCEPTED:
-        broken = broken.when(~kind.isin(NULL, *ACCEPTED[f.type]), "type_mismatch")
-    return broken
+        accepted = ", ".join(f"'{k}'" for k in (NULL, *ACCEPTED[f.type]))
+        cases += f" when {kind} not in ({accepted}) then 'type_mismatch'"
+    return f"case {cases} end"
+
+
+def violation_sql(dataset: str, position: int, f: Field, rule: str, kind: str) -> str:
+    """SQL for a broken rule as a struct, NULL where ``rule`` is NULL."""
+    kind_of_field = literal(f.type)
+    return (
+        f"if({rule} is null, null, named_struct('dataset', {literal(dataset)}, "
+        f"'position', {position}, 'field', {literal(f.name)}, 'rule', {rule}, "
+        f"'expected', if({rule} = 'nullability', 'non-null', {kind_of_field}), "
+        f"'observed', coalesce({name_sql(kind)}, '')))"
+    )
 
 
 def with_rules(
-    df: DataFrame, contracts: list[Contract], found: dict[str, Column], route: bool = True
+    df: DataFrame, contracts: list[Contract], found: dict[str, str], route: bool = True
 ) -> tuple[DataFrame, list[list[Column]]]:
     """Add the broken rule of every contract field as a column.
 
@@ -38,18 +51,14 @@ def with_rules(
     structs use them several times: nested in place, the conditions multiply.
     """
     inside = {f"_in_{i}": falls_under(c, route) for i, c in enumerate(contracts)}
-    rules = {
-        f"_rule_{i}_{j}": F.when(F.col(f"_in_{i}"), broken_rule(f, found[f.name]))
-        for i, c in enumerate(contracts)
-        for j, f in enumerate(c.fields)
-    }
-    structs = [
-        [
-            violation(c.dataset, j, f, F.col(f"_rule_{i}_{j}"), found[f.name])
-            for j, f in enumerate(c.fields)
-        ]
-        for i, c in enumerate(contracts)
-    ]
+    rules: dict[str, Column] = {}
+    structs: list[list[Column]] = []
+    for i, c in enumerate(contracts):
+        structs.append([])
+        for j, f in enumerate(c.fields):
+            rule, kind = f"_rule_{i}_{j}", found[f.name]
+            rules[rule] = F.expr(f"if(_in_{i}, {rule_sql(f, kind)}, null)")
+            structs[i].append(F.expr(violation_sql(c.dataset, j, f, rule, kind)))
     return df.withColumns(inside).withColumns(rules), structs
 
 
@@ -59,19 +68,6 @@ def any_rule(contracts: list[Contract]) -> Column:
     return F.coalesce(*rules).isNotNull()
 
 
-def violation(dataset: str, position: int, f: Field, rule: Column, kind: Column) -> Column:
-    """A broken rule as a struct, NULL where it is NULL."""
-    found = F.struct(
-        F.lit(dataset).alias("dataset"),
-        F.lit(position).alias("position"),
-        F.lit(f.name).alias("field"),
-        rule.alias("rule"),
-        F.when(rule == "nullability", "non-null").otherwise(f.type).alias("expected"),
-        F.coalesce(kind_name(kind), F.lit("")).alias("observed"),
-    )
-    return F.when(rule.isNotNull(), found)
-
-
 def schema_violations(
     records: Records, contracts: Contract | Iterable[Contract], route: bool = True
 ) -> DataFrame:
@@ -122,7 +118,7 @@ def numbered_violations(records: Records, contract: Contract, route: bool = True
 
 def kind_counts(
     records: Records, contracts: Contract | Iterable[Contract]
-) -> tuple[DataFrame, dict[str, Column]]:
+) -> tuple[DataFrame, dict[str, str]]:
     """How many records show each combination of field kinds.
 
     The whole input folds into a few rows inside the map tasks (a combination
@@ -136,16 +132,16 @@ def kind_counts(
     chosen = as_contracts(contracts)
     names = list(dict.fromkeys(n for c in chosen for n in c.checked_fields))
     df, found = records.with_kinds(names, chosen)
-    shape = F.concat(*(F.coalesce(found[n], F.lit(ABSENT)) for n in names))
-    counts = df.groupBy(STATE, SOURCE, shape.alias("_kinds")).agg(
+    shape = ", ".join(f"coalesce({found[n]}, '{ABSENT}')" for n in names)
+    counts = df.groupBy(STATE, SOURCE, F.expr(f"concat({shape})").alias("_kinds")).agg(
         F.count(F.lit(1)).alias("records")
     )
-    parts = {
-        f"_kind_{i}": F.nullif(F.substring("_kinds", 3 * i + 1, 3), F.lit(ABSENT))
-        for i in range(len(names))
-    }
-    split = counts.select(STATE, SOURCE, "records", *(v.alias(k) for k, v in parts.items()))
-    return split, {n: F.col(f"_kind_{i}") for i, n in enumerate(names)}
+    columns = {n: f"_kind_{i}" for i, n in enumerate(names)}
+    parts = (
+        f"nullif(substring(_kinds, {3 * i + 1}, 3), '{ABSENT}') as {c}"
+        for i, c in enumerate(columns.values())
+    )
+    return counts.selectExpr(STATE, SOURCE, "records", *parts), columns
 
 
 def schema_summary(

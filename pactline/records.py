@@ -47,7 +47,7 @@ class Records:
 
     def with_kinds(
         self, names: Iterable[str], contracts: list[Contract]
-    ) -> tuple[DataFrame, dict[str, Column]]:
+    ) -> tuple[DataFrame, dict[str, str]]:
         """Parsed rows with the source and one kind column per named field.
 
         The source is kept only where a contract asks for it, so it takes few
@@ -67,10 +67,9 @@ class Records:
                 for name, c in columns.items()
             }
             df = df.withColumns(schemas).withColumns(
-                {c: kinds.kind_of(F.col(c)) for c in columns.values()}
+                {c: F.expr(kinds.kind_sql(c)) for c in columns.values()}
             )
-        found = {name: F.col(c) for name, c in columns.items()}
-        return df.withColumn(SOURCE, self._known_source(systems, found)), found
+        return df.withColumn(SOURCE, self._known_source(systems, columns)), columns
 
     def text(self, name: str) -> Column:
         """A field as text; NULL where a typed table lacks it."""
@@ -79,8 +78,9 @@ class Records:
     def number(self, name: str) -> Column:
         return self._value(name, "double")
 
-    def key(self, name: str, kind: Column) -> Column:
+    def key(self, name: str, kind_column: str) -> Column:
         """Equality key of a value, with a mark for its family; NULL for null."""
+        kind = F.col(kind_column)
         text, number = self.text(name), self.number(name)
         numeric = (
             F.when(kind == kinds.WHOLE, text)
@@ -94,9 +94,9 @@ class Records:
             .when(kind.isin(*nested), F.concat(F.lit("j:"), self._json(name)))
         )
 
-    def shown(self, name: str, kind: Column) -> Column:
+    def shown(self, name: str, kind_column: str) -> Column:
         """A value as reports print it."""
-        text = self.text(name)
+        kind, text = F.col(kind_column), self.text(name)
         return (
             F.when(kind == kinds.TEXT, values.quoted(text))
             .when(kind == kinds.FLAG, F.initcap(text))
@@ -104,11 +104,11 @@ class Records:
             .otherwise(text)
         )
 
-    def _known_source(self, systems: list[str], found: dict[str, Column]) -> Column:
+    def _known_source(self, systems: list[str], found: dict[str, str]) -> Column:
         if not systems:
             return F.lit(None).cast("string")
         text = self.text(self.source_field)
-        known = (found[self.source_field] == kinds.TEXT) & text.isin(systems)
+        known = (F.col(found[self.source_field]) == kinds.TEXT) & text.isin(systems)
         return F.when(known, text)
 
     def _value(self, name: str, kind: str) -> Column:
