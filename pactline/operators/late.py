@@ -26,7 +26,8 @@ def with_late_flag(
     all batches of a source.
     """
     at = micros(F.col(event_ts), df.schema[event_ts].dataType)
-    source = (F.struct(*by) if by else F.lit(0)).alias("_source")
+    # A struct as key keeps sources whose name is null.
+    source = F.struct(*by, F.lit(0).alias("_any")).alias("_source")
     latest = (
         df.select(source, F.col(batch).cast("bigint").alias("_batch"), at.alias("_at"))
         .groupBy("_source", "_batch")

@@ -38,8 +38,9 @@ def with_ranks(
     counts. ``totals`` lists further (name, ``sum`` or ``max``, expression)
     aggregates, which share the first pass over the data.
     """
-    # A struct as group key keeps groups whose name is null.
-    group = (F.struct(*by) if by else F.lit(0)).alias("_group")
+    # A struct as group key keeps groups whose name is null. Without groups the
+    # key is 0 for every row, but no literal: that would turn joins into products.
+    group = (F.struct(*by) if by else F.col(value) * 0).alias("_group")
     times = (F.lit(1) if weight is None else F.col(weight)).cast("bigint")
     interval = F.shiftright(value, INTERVAL_BITS).alias("_interval")
     coarse = df.groupBy(group, interval).agg(
