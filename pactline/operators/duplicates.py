@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from pactline.contracts import Contract, as_contracts
 from pactline.functions.values import short_key
 from pactline.records import Records, column, falls_under, unfold
-from pactline.session import BROADCAST_ROWS, materialize
+from pactline.session import materialize
 
 
 def unique_rules(contracts: Sequence[Contract]) -> list[tuple[int, Contract, int, str]]:
@@ -156,17 +156,17 @@ def keep_first(df: DataFrame, columns: Sequence[str], order_by: str) -> DataFram
     rows_by_digest = df.select(
         row_digest(df, columns).alias("_digest"), F.col(order_by).alias("_order")
     ).groupBy("_digest")
-    repeated, count = materialize(
+    repeated = materialize(
         rows_by_digest.agg(F.count(F.lit(1)).alias("_copies"), F.min("_order").alias("_first"))
         .where("_copies > 1")
         .select("_digest", "_first"),
         "repeated-rows",
     )
     order = column(order_by)
-    if count <= BROADCAST_ROWS:
+    if repeated.small():
         # Few repeated rows: each task drops its own later copies, no shuffle.
         marked = df.withColumn("_digest", row_digest(df, columns)).join(
-            F.broadcast(repeated), "_digest", "left"
+            F.broadcast(repeated.df), "_digest", "left"
         )
         first = F.col("_first").isNull() | (order == F.col("_first"))
         return marked.where(first).select(*map(column, df.columns))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pactline.functions.clock import micros, to_micros
-from pactline.session import broadcast_if_small, materialize
+from pactline.session import broadcast_if, materialize
 
 # Batches per block of the two-level running maximum.
 BLOCK = 4096
@@ -38,14 +38,14 @@ def with_late_flag(
     earlier_blocks = blocks.select(
         "_source", "_block", _max_before("_source", order="_block").alias("_old")
     )
-    seen, rows = materialize(
+    seen = materialize(
         latest.withColumn("_new", _max_before("_source", "_block", order="_batch"))
         .join(earlier_blocks, ["_source", "_block"])
         .select("_source", "_batch", F.greatest("_old", "_new").alias("_seen")),
         "seen-before",
     )
     marked = df.withColumns({"_source": source, "_batch": F.col(batch).cast("bigint")}).join(
-        broadcast_if_small(seen, rows), ["_source", "_batch"], "left"
+        broadcast_if(seen.small(), seen.df), ["_source", "_batch"], "left"
     )
     late = F.coalesce(at < F.col("_seen") - to_micros(allowed), F.lit(False))
     columns = [F.col(f"`{c}`") for c in df.columns]

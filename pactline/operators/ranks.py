@@ -15,7 +15,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from pactline.session import BROADCAST_ROWS, broadcast_if_small, materialize
+from pactline.session import broadcast_if, materialize
 
 # An interval spans 2**20 values: about one second in microseconds.
 INTERVAL_BITS = 20
@@ -63,7 +63,7 @@ def with_ranks(
             F.lit(name).alias("_name"), "_interval", (index - before).alias("_index")
         )
         targets.append(F.max(F.when((before <= index) & (index < F.col("_upto")), target)))
-    groups, rows = materialize(
+    groups = materialize(
         running.groupBy("_group").agg(
             F.sum("_n").alias("n"),
             *(MERGE[how](name).alias(name) for name, how, _ in totals),
@@ -72,27 +72,28 @@ def with_ranks(
         "ranks",
     )
     values = df.select(group, interval, F.col(value).alias("_value"), times.alias("_n"))
-    picked = _pick(values, groups.select("_group", F.inline("_targets")), rows, fractions)
+    targets = groups.df.select("_group", F.inline("_targets"))
+    picked = _pick(values, targets, groups.small(len(fractions)), fractions)
     names = [name for name, *_ in totals]
     return (
-        groups.drop("_targets")
-        .join(broadcast_if_small(picked, rows), "_group")
+        groups.df.drop("_targets")
+        .join(broadcast_if(groups.small(), picked), "_group")
         .select(*(F.col(f"_group.`{k}`") for k in by), "n", *fractions, *names)
     )
 
 
 def _pick(
-    values: DataFrame, targets: DataFrame, groups: int, fractions: Mapping[str, float]
+    values: DataFrame, targets: DataFrame, few: bool, fractions: Mapping[str, float]
 ) -> DataFrame:
     """The wanted values, from the rows inside the wanted intervals."""
     on = ["_group", "_interval"]
-    if groups * len(fractions) <= BROADCAST_ROWS:
-        # Few targets: filter and count in the map tasks.
+    if few:
+        # Filter and count in the map tasks.
         wanted = F.broadcast(targets.select(*on).distinct())
         single = _count_single(values.join(wanted, on, "left_semi"))
         met = single.join(F.broadcast(targets), on)
     else:
-        # Many: count single values first, so that no key stays hot.
+        # Too many to broadcast: count single values first, so that no key stays hot.
         met = _count_single(values).join(targets, on)
     upto = _running_sum(Window.partitionBy("_group", "_name").orderBy("_value"))
     hit = (F.col("_upto") - F.col("_n") <= F.col("_index")) & (F.col("_index") < F.col("_upto"))

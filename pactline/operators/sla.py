@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from pactline.functions.clock import from_micros, micros, to_micros
 from pactline.operators.ranks import with_ranks
-from pactline.session import broadcast_if_small
+from pactline.session import BROADCAST_ROWS, broadcast_if
 
 # Default SLA limit, reported percentiles, default window.
 SLA_MS = 5000.0
@@ -181,15 +181,17 @@ def window_metrics(
         }
     )
     lengths = [max(to_micros(end - start), 1) for start, end in windows]
-    cells, cell_rows = _cells(listed, lengths)
+    # Three cells per window at most, all of them numbers.
+    few = 3 * len(lengths) <= BROADCAST_ROWS
+    cells = broadcast_if(few, _cells(listed, lengths))
     sizes = sorted({_cell_size(n) for n in lengths})
-    hits = _in_windows(events.select("lag_us", event_ts), event_ts, cells, cell_rows, sizes)
-    started = _in_windows(batches.select(batch_start), batch_start, cells, cell_rows, sizes)
+    hits = _in_windows(events.select("lag_us", event_ts), event_ts, cells, sizes)
+    started = _in_windows(batches.select(batch_start), batch_start, cells, sizes)
     counted = started.groupBy("_from", "_to").agg(F.count(F.lit(1)).alias("total_batches"))
     metrics = (
-        listed.join(broadcast_if_small(lag_summary(hits, ["_from", "_to"], sla_ms), len(windows)),
+        listed.join(broadcast_if(few, lag_summary(hits, ["_from", "_to"], sla_ms)),
                     ["_from", "_to"], "left")
-        .join(broadcast_if_small(counted, len(windows)), ["_from", "_to"], "left")
+        .join(broadcast_if(few, counted), ["_from", "_to"], "left")
         .withColumn("_seconds", F.greatest((F.col("_to") - F.col("_from")) / 1e6, F.lit(1.0)))
     )
     return _window_row(metrics)
@@ -226,7 +228,7 @@ def _cell_size(length: int) -> int:
     return 2 ** floor(log2(length))
 
 
-def _cells(listed: DataFrame, lengths: list[int]) -> tuple[DataFrame, int]:
+def _cells(listed: DataFrame, lengths: list[int]) -> DataFrame:
     """Each window as the two or three time cells it touches.
 
     A window is cut into cells about as long as itself, so events meet their
@@ -237,24 +239,21 @@ def _cells(listed: DataFrame, lengths: list[int]) -> tuple[DataFrame, int]:
     for s in sorted({_cell_size(n) for n in lengths}):
         size = F.when(length >= s, F.lit(s)).otherwise(size)
     first, last = (F.floor(F.col(c) / F.col("_size")) for c in ("_from", "_to"))
-    cells = (
+    return (
         listed.select("_from", "_to")
         .distinct()
         .withColumn("_size", size)
         .select("_from", "_to", "_size", F.explode(F.sequence(first, last)).alias("_cell"))
     )
-    return cells, 3 * len(lengths)
 
 
-def _in_windows(
-    df: DataFrame, ts: str, cells: DataFrame, cell_rows: int, sizes: list[int]
-) -> DataFrame:
+def _in_windows(df: DataFrame, ts: str, cells: DataFrame, sizes: list[int]) -> DataFrame:
     """Every (row, window) pair with the row's time inside the closed window."""
     dated = df.withColumn("_at", micros(F.col(ts), df.schema[ts].dataType)).drop(ts)
     placed = dated.withColumn("_size", F.explode(F.array(*(F.lit(s) for s in sizes)))).withColumn(
         "_cell", F.floor(F.col("_at") / F.col("_size"))
     )
-    return placed.join(broadcast_if_small(cells, cell_rows), ["_size", "_cell"]).where(
+    return placed.join(cells, ["_size", "_cell"]).where(
         "_at between _from and _to"
     )
 

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-# Small sides up to this many rows are broadcast; larger ones are shuffled.
+# Counted sides up to this size are broadcast; larger ones are shuffled.
 BROADCAST_ROWS = 200_000
+BROADCAST_CHARACTERS = 50_000_000
 
 _SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -49,17 +51,38 @@ def shared_folder(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/pactline/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str) -> tuple[DataFrame, int]:
-    """Write a result to the shared folder; give it back with its row count.
+class Written(NamedTuple):
+    """A table in the shared folder, with what it was found to hold."""
+
+    df: DataFrame
+    rows: int
+    characters: int
+
+    def small(self, copies: int = 1) -> bool:
+        """Whether a side with so many copies of these rows may be broadcast."""
+        return (
+            self.rows * copies <= BROADCAST_ROWS
+            and self.characters * copies <= BROADCAST_CHARACTERS
+        )
+
+
+def materialize(df: DataFrame, label: str, measure: bool = True) -> Written:
+    """Write a result to the shared folder and count it on the way.
 
     The written table cuts the lineage, outlives lost executors and tells
-    Catalyst its true size, so later joins can be planned on a fact.
+    Catalyst its true size, so later joins can be planned on a fact. Without
+    ``measure`` the width of the rows is not looked at.
     """
     path = shared_folder(df.sparkSession, label)
+    width = F.length(F.to_json(F.struct(*df.columns))) if measure else F.lit(0)
     seen = Observation()
-    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    counted = df.observe(
+        seen, F.count(F.lit(1)).alias("rows"), F.sum(width.cast("bigint")).alias("characters")
+    )
     counted.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path), seen.get.get("rows", 0)
+    found = seen.get
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    return Written(table, found.get("rows") or 0, found.get("characters") or 0)
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -72,6 +95,6 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() * 4 <= cores else df
 
 
-def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
-    """Mark a counted side for broadcast when its row count allows it."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+def broadcast_if(small: bool, df: DataFrame) -> DataFrame:
+    """Mark a side for broadcast where its size allows it."""
+    return F.broadcast(df) if small else df

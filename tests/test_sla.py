@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import pactline as p
 from pactline import session
-from pactline.operators import ranks
+from pactline.operators import ranks, sla
 
 NOON = datetime(2025, 8, 23, 12)
 EVENT = "event_id string, event_timestamp timestamp, ingestion_timestamp timestamp"
@@ -42,7 +42,6 @@ def test_violations_are_strict(spark):
 @pytest.mark.parametrize("limit", [session.BROADCAST_ROWS, 0])
 def test_ranks_against_sorting(spark, monkeypatch, limit):
     """Both ways of meeting the targets; one group holds most rows, one is null."""
-    monkeypatch.setattr(ranks, "BROADCAST_ROWS", limit)
     monkeypatch.setattr(session, "BROADCAST_ROWS", limit)
     rng = random.Random(4)
     groups = {"hot": 3000, "mild": 200, "one": 1, None: 77}
@@ -86,6 +85,23 @@ def test_window_metrics(spark):
     assert found[windows[2][1]].total_events == 3
 
 
+def test_ways_of_meeting_windows_agree(spark, monkeypatch):
+    rng = random.Random(3)
+    e = events(spark, [rng.randint(0, 9000) for _ in range(400)])
+    b = batches(spark)
+    windows = [
+        (NOON + timedelta(seconds=s), NOON + timedelta(seconds=s + n))
+        for s, n in ((rng.randint(-50, 400), rng.choice([0, 1, 7, 60, 900])) for _ in range(25))
+    ]
+    small = rows(p.window_metrics(e, b, windows))
+    monkeypatch.setattr(session, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(sla, "BROADCAST_ROWS", 0)
+    assert rows(p.window_metrics(e, b, windows)) == small
+    for row in small:
+        held = [i for i in range(400) if row[0] <= NOON + timedelta(seconds=i) <= row[1]]
+        assert row[2] == len(held)
+
+
 def test_window_without_events_has_no_batches(spark):
     later = NOON - timedelta(hours=3)
     b = spark.createDataFrame([("b", later, later, 1)], BATCH)
@@ -147,9 +163,11 @@ def test_sketch_percentiles_are_close(spark):
     assert abs(row.p50_lag_ms - 5000) <= 2 and abs(row.p99_lag_ms - 9900) <= 2
 
 
-def test_late_flag_follows_earlier_batches(spark, monkeypatch):
+@pytest.mark.parametrize("limit", [session.BROADCAST_ROWS, 0])
+def test_late_flag_follows_earlier_batches(spark, monkeypatch, limit):
     from pactline.operators import late
 
+    monkeypatch.setattr(session, "BROADCAST_ROWS", limit)
     monkeypatch.setattr(late, "BLOCK", 3)
     rng = random.Random(9)
     data = [(i, i // 5, rng.choice("ab"), NOON + timedelta(minutes=rng.randint(0, 600) + i))
@@ -166,9 +184,7 @@ def test_late_flag_follows_earlier_batches(spark, monkeypatch):
 
 @pytest.mark.parametrize("limit", [session.BROADCAST_ROWS, 0])
 def test_keep_first(spark, monkeypatch, limit):
-    from pactline.operators import duplicates
-
-    monkeypatch.setattr(duplicates, "BROADCAST_ROWS", limit)
+    monkeypatch.setattr(session, "BROADCAST_ROWS", limit)
     data = [(i, None if i % 7 == 0 else "same" if i % 3 else f"t{i % 30}", i % 2) for i in range(200)]
     df = spark.createDataFrame(data, "id int, text string, lang int").repartition(5)
     first = {}

@@ -36,7 +36,7 @@ def ship_lags(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_shipdate")
     joined = items.join(orders, items.l_orderkey == orders.o_orderkey)
     lags = p.with_lag(joined, "o_orderdate", "l_shipdate").select("o_orderpriority", "lag_us")
-    return p.materialize(lags, "ship-lags")[0]
+    return p.materialize(lags, "ship-lags", measure=False).df
 
 
 def event_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
