@@ -12,8 +12,8 @@ from pyspark.sql.streaming import DataStreamReader
 from pactline.errors import InputError
 from pactline.functions.values import is_well_formed, parse_document, strip
 
-# Defaults of the publisher.
-TOPIC, CLIENT_ID = "telemetry-events", "idprp-producer"
+# Defaults of the publisher.
+TOPIC, CLIENT_ID = "telemetry-events", "pactline-producer"
 
 
 def wrap_lines(
