@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pactline.llm import token_counts, token_files
-from pactline.llm.common import prepare, table
+from pactline.llm import exact_dedup, mixing, token_counts, token_files
+from pactline.llm.common import prepare, table, written
 from pactline.session import shared_folder
 
 
@@ -23,6 +23,17 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_tokens(spark, path)
 
 
+def op5_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return exact_dedup.deduplicate(table(spark, sf_dir, "documents"))
+
+
+def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    sized = written(mixing.sizes(table(spark, sf_dir, "documents")), "sizes")
+    return mixing.take(sized).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op10_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     found = token_counts.length_histogram(table(spark, sf_dir, "documents"), tokenizer())
@@ -31,6 +42,11 @@ def op10_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_files": op1_token_files,
+    "op5_stream_dedup": op5_stream_dedup,
+    "op7_mix_sources": op7_mix_sources,
     "op10_length_histogram": op10_length_histogram,
 }
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "op5_stream_dedup": exact_dedup.ORACLE,
+    "op7_mix_sources": mixing.ORACLE,
+}
