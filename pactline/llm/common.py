@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pactline.session import configure, shared_folder
@@ -53,3 +53,23 @@ def remainder(modulus: int) -> F.Column:
     """crc32 of the document's id as text, modulo ``modulus`` (null id: as '')."""
     name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     return F.crc32(F.encode(name, "UTF-8")) % modulus
+
+
+def hash_sample(rows: DataFrame, group: str, most: int, seed: int) -> DataFrame:
+    """At most ``most`` rows per value of ``group``, chosen by a hash of ``doc_id``.
+
+    Rows are thinned where they are read, at a rate from the group's count, so a
+    large group never meets in one task; the few left are then cut to ``most``.
+    """
+    counts = rows.groupBy(group).agg(F.count(F.lit(1)).alias("_count"))
+    rates = counts.select(
+        F.col(group).alias("_group"), (F.lit(float(most)) / F.col("_count")).alias("_rate")
+    )
+    chance = F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id")), F.lit(1 << 30)) / float(1 << 30)
+    thin = rows.join(rates, F.col(group) == F.col("_group")).where(chance < F.col("_rate"))
+    order = Window.partitionBy(group).orderBy(F.xxhash64(F.lit(seed), F.col("doc_id")), "doc_id")
+    return (
+        thin.withColumn("_nth", F.row_number().over(order))
+        .where(F.col("_nth") <= most)
+        .drop("_nth", "_group", "_rate")
+    )

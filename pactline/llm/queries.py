@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pactline.llm import exact_dedup, mixing, token_counts, token_files
-from pactline.llm.common import prepare, table, written
+from pactline.llm import exact_dedup, language, mixing, token_counts, token_files, toxicity
+from pactline.llm.common import prepare, remainder, table, written
 from pactline.session import shared_folder
 
 
@@ -28,12 +29,36 @@ def op5_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicate(table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    learned = docs.where(remainder(3) != 1).select("doc_id", "text")
+    model = toxicity.train(learned.join(labels.select("doc_id", "toxic"), "doc_id"))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        (remainder(3) == 1).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+        "spans",
+    )
+
+
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     sized = written(mixing.sizes(table(spark, sf_dir, "documents")), "sizes")
     return mixing.take(sized).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    docs = table(spark, sf_dir, "documents")
+    model = language.train(docs.where(remainder(4) != 2))
+    found = language.identify(docs, model)
+    return found.select(
+        "doc_id", (remainder(4) == 2).alias("held_out"), "lang_pred", "score", "rejected"
+    )
+
+
 def op10_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     found = token_counts.length_histogram(table(spark, sf_dir, "documents"), tokenizer())
@@ -43,7 +68,9 @@ def op10_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op5_stream_dedup": op5_stream_dedup,
+    "op6_toxicity": op6_toxicity,
     "op7_mix_sources": op7_mix_sources,
+    "op9_language": op9_language,
     "op10_length_histogram": op10_length_histogram,
 }
 ORACLE = {

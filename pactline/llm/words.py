@@ -109,17 +109,25 @@ def _power(lane: int, length: int) -> tuple[np.ndarray, np.ndarray]:
     return have
 
 
+class SpanHasher:
+    """64-bit hashes of spans of bytes; ``fold`` lower-cases A-Z first."""
+
+    def __init__(self, data: np.ndarray, fold: bool = False, lane: int = 0):
+        up, self._down = _power(lane, len(data) + 1)
+        self._sums = np.zeros(len(data) + 1, dtype=np.uint64)
+        letters = (_FOLDED if fold else _BYTE)[lane][data]
+        letters *= up[: len(data)]
+        np.cumsum(letters, out=self._sums[1:])
+
+    def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        value = (self._sums[ends] - self._sums[starts]) * self._down[starts]
+        return mix(value + (ends - starts).astype(np.uint64))
+
+
 def span_hashes(
     data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bool = False, lane: int = 0
 ) -> np.ndarray:
-    """A 64-bit hash of each span of bytes; ``fold`` lower-cases A-Z first."""
-    up, down = _power(lane, len(data) + 1)
-    sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    letters = (_FOLDED if fold else _BYTE)[lane][data]
-    letters *= up[: len(data)]
-    np.cumsum(letters, out=sums[1:])
-    value = (sums[ends] - sums[starts]) * down[starts]
-    return mix(value + (ends - starts).astype(np.uint64))
+    return SpanHasher(data, fold, lane)(starts, ends)
 
 
 def gram_hashes(words: np.ndarray, n: int, lane: int = 0) -> np.ndarray:
