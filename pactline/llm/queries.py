@@ -5,7 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pactline.llm import exact_dedup, language, mixing, token_counts, token_files, toxicity
+from pactline.llm import (
+    exact_dedup,
+    language,
+    mixing,
+    near_dedup,
+    token_counts,
+    token_files,
+    toxicity,
+)
 from pactline.llm.common import prepare, remainder, table, written
 from pactline.session import shared_folder
 
@@ -24,6 +32,11 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_tokens(spark, path)
 
 
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
+
+
 def op5_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return exact_dedup.deduplicate(table(spark, sf_dir, "documents"))
@@ -67,6 +80,7 @@ def op10_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_files": op1_token_files,
+    "op2_near_duplicates": op2_near_duplicates,
     "op5_stream_dedup": op5_stream_dedup,
     "op6_toxicity": op6_toxicity,
     "op7_mix_sources": op7_mix_sources,
@@ -74,6 +88,7 @@ QUERIES = {
     "op10_length_histogram": op10_length_histogram,
 }
 ORACLE = {
+    "op2_near_duplicates": near_dedup.ORACLE,
     "op5_stream_dedup": exact_dedup.ORACLE,
     "op7_mix_sources": mixing.ORACLE,
 }

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pactline.llm.encoder import encoder
 from pactline.llm.words import slices
 
-SPAN = 4096
+SPAN = 256
 
 
 def _counter(path: str):
