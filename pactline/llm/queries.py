@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pactline.llm import (
     exact_dedup,
     language,
+    lm_scores,
     mixing,
     near_dedup,
     token_counts,
@@ -37,6 +38,13 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
 
 
+def op4_lattice_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    docs = table(spark, sf_dir, "documents")
+    model = lm_scores.train(docs.where(remainder(7) != 2), tokenizer("piece_bpe_32k.model"))
+    return lm_scores.score(docs, model).withColumn("held_out", remainder(7) == 2)
+
+
 def op5_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return exact_dedup.deduplicate(table(spark, sf_dir, "documents"))
@@ -75,12 +83,13 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     found = token_counts.length_histogram(table(spark, sf_dir, "documents"), tokenizer())
-    return token_counts.suffix_sums(found)
+    return token_counts.suffix_sums(written(found, "lengths"))
 
 
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_near_duplicates": op2_near_duplicates,
+    "op4_lattice_scores": op4_lattice_scores,
     "op5_stream_dedup": op5_stream_dedup,
     "op6_toxicity": op6_toxicity,
     "op7_mix_sources": op7_mix_sources,

@@ -55,7 +55,7 @@ def suffix_sums(histogram: DataFrame) -> DataFrame:
     ``docs_longer``, ``tokens_longer``: documents over the limit and their ids;
     ``kept_tokens``: ids left when each document is cut at the limit;
     ``lost_tokens``; ``total_docs``, ``total_tokens``; ``quantile``: the share of
-    documents that fit.
+    documents that fit. ``histogram`` is read twice; hand in a written table.
     """
     tokens = (F.col("n_tokens") * F.col("n_docs")).alias("tokens")
     rows = histogram.select("n_tokens", "n_docs", tokens).withColumn(
