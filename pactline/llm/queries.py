@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pactline.llm import (
+    decontamination,
     exact_dedup,
     language,
     lm_scores,
@@ -70,6 +71,14 @@ def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.take(sized).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    found = decontamination.leaks(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+    return found.select("doc_id", "item_id", "cosine", "lcs_share", "answer_share")
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     docs = table(spark, sf_dir, "documents")
@@ -93,6 +102,7 @@ QUERIES = {
     "op5_stream_dedup": op5_stream_dedup,
     "op6_toxicity": op6_toxicity,
     "op7_mix_sources": op7_mix_sources,
+    "op8_decontamination": op8_decontamination,
     "op9_language": op9_language,
     "op10_length_histogram": op10_length_histogram,
 }

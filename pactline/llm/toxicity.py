@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pactline.llm.common import hash_sample, texts
-from pactline.llm.words import Slice, SpanHasher, find_words, signed, slices
+from pactline.llm.words import Slice, SpanHasher, find_words, signed, slices, trimmed
 
 PREFIXES = (4, 5, 6, 7, 8)
 LEXICON = 1 << 16
@@ -67,17 +67,7 @@ class Tokens(NamedTuple):
 def _tokens(part: Slice) -> Tokens:
     """Words without signs at their ends, and the features of each distinct word."""
     words = find_words(part)
-    letter = np.zeros(256, dtype=bool)
-    letter[48:58] = letter[65:91] = letter[97:123] = letter[128:] = True
-    places = np.flatnonzero(letter[part.data])
-    if len(places):
-        low = np.searchsorted(places, words.starts)
-        high = np.searchsorted(places, words.ends) - 1
-        some = low <= high
-        starts = np.where(some, places[np.minimum(low, len(places) - 1)], words.starts)
-        ends = np.where(some, places[np.maximum(high, 0)] + 1, words.ends)
-    else:
-        starts, ends = words.starts, words.ends
+    starts, ends = trimmed(part, words)
     hasher = SpanHasher(part.data, fold=True)
     keys, sample, which, counts = np.unique(
         hasher(starts, ends), return_index=True, return_inverse=True, return_counts=True

@@ -85,6 +85,22 @@ def find_words(part: Slice) -> Words:
     return Words(starts, ends, np.searchsorted(starts, part.offsets))
 
 
+_SIGNIFICANT = np.zeros(256, dtype=bool)
+_SIGNIFICANT[48:58] = _SIGNIFICANT[65:91] = _SIGNIFICANT[97:123] = _SIGNIFICANT[128:] = True
+
+
+def trimmed(part: Slice, words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words without signs at their ends; a word of signs stays whole."""
+    places = np.flatnonzero(_SIGNIFICANT[part.data])
+    if not len(places):
+        return words.starts, words.ends
+    low = np.searchsorted(places, words.starts)
+    high = np.searchsorted(places, words.ends) - 1
+    some = low <= high
+    starts = np.where(some, places[np.minimum(low, len(places) - 1)], words.starts)
+    return starts, np.where(some, places[np.maximum(high, 0)] + 1, words.ends)
+
+
 def mix(values: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit values (a fixed bijection)."""
     x = values.astype(np.uint64, copy=True)
