@@ -12,6 +12,7 @@ from pactline.llm import (
     lm_scores,
     mixing,
     near_dedup,
+    substring_dedup,
     token_counts,
     token_files,
     toxicity,
@@ -39,6 +40,11 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return substring_dedup.deduplicate(table(spark, sf_dir, "documents"), window=13)
+
+
 def op4_lattice_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     docs = table(spark, sf_dir, "documents")
@@ -98,6 +104,7 @@ def op10_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_near_duplicates": op2_near_duplicates,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_lattice_scores": op4_lattice_scores,
     "op5_stream_dedup": op5_stream_dedup,
     "op6_toxicity": op6_toxicity,
@@ -108,6 +115,7 @@ QUERIES = {
 }
 ORACLE = {
     "op2_near_duplicates": near_dedup.ORACLE,
+    "op3_substring_dedup": substring_dedup.ORACLE,
     "op5_stream_dedup": exact_dedup.ORACLE,
     "op7_mix_sources": mixing.ORACLE,
 }
