@@ -212,10 +212,18 @@ def _classifier(model: Model):
     return classify
 
 
-def identify(docs: DataFrame, model: Model, keep_text: bool = False) -> DataFrame:
+_FOUND = "lang_pred string, score double, rejected boolean"
+
+
+def identify(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id``, ``lang_pred``, ``score`` (cosine) and ``rejected`` for every whole text."""
-    found = texts(docs).mapInArrow(
-        _classifier(model),
-        "doc_id bigint, text string, lang_pred string, score double, rejected boolean",
-    )
-    return found if keep_text else found.drop("text")
+    found = texts(docs).mapInArrow(_classifier(model), f"doc_id bigint, text string, {_FOUND}")
+    return found.drop("text")
+
+
+def accept(docs: DataFrame, model: Model, *more: str) -> DataFrame:
+    """Id, text and the named columns of the documents that are not rejected."""
+    rows = texts(docs, *more)
+    kinds = ", ".join(f"`{name}` {kind}" for name, kind in rows.dtypes)
+    found = rows.mapInArrow(_classifier(model), f"{kinds}, {_FOUND}")
+    return found.where(~F.col("rejected")).select(*rows.columns)

@@ -99,14 +99,20 @@ def _prefix(ranges: DataFrame) -> DataFrame:
 
 
 def take(
-    sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: int = EPOCHS, seed: str = "mix"
+    rows: DataFrame,
+    sized: DataFrame | None = None,
+    weights: tuple[int, ...] = WEIGHTS,
+    epochs: int = EPOCHS,
+    seed: str = "mix",
 ) -> DataFrame:
     """Add ``source_size``, ``target`` and ``taken`` to rows with ``doc_id``, ``source``, ``size``.
 
-    ``sized`` is read several times; hand in a written table. ``taken`` counts
-    words with repeats: whole epochs of the document's size and then what the
-    source's budget leaves for it. Further columns are kept.
+    ``taken`` counts words with repeats: whole epochs of the document's size and
+    then what the source's budget leaves for it. Further columns are kept.
+    ``sized`` has the same documents without more columns, from a written table;
+    it is read for the sums where ``rows`` are wide or costly.
     """
+    sized = rows if sized is None else sized
     targets = source_targets(sized, weights, epochs)
     # Sources are known by their place from here on, so null joins like any other.
     number = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last()))
@@ -117,60 +123,64 @@ def take(
         "source_size",
         "target",
     )
-    names = sized.select(*[F.col(c) for c in sized.columns if c not in ("source_size", "target")])
-    rows = names.join(targets, F.col("source").eqNullSafe(F.col("_mix_name"))).drop("_mix_name")
-    rows = rows.withColumn("_mix_key", hash_key(seed))
     place = F.floor(F.col("_mix_key") * F.col("_mix_ranges") / F.lit(float(1 << _KEY_BITS)))
-    rows = rows.withColumn("_mix_range", place.cast("bigint"))
-    sums = rows.groupBy("_mix_source", "_mix_range").agg(F.sum("size").alias("_mix_words"))
+
+    def ranged(part: DataFrame) -> DataFrame:
+        own = part.drop("source_size", "target", "taken")
+        found = own.join(targets, F.col("source").eqNullSafe(F.col("_mix_name")))
+        found = found.drop("_mix_name").withColumn("_mix_key", hash_key(seed))
+        return found.withColumn("_mix_range", place.cast("bigint"))
+
+    sums = (
+        ranged(sized).groupBy("_mix_source", "_mix_range").agg(F.sum("size").alias("_mix_words"))
+    )
     order = (
         Window.partitionBy("_mix_source", "_mix_range")
         .orderBy("_mix_key", "doc_id", "size")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    rows = rows.withColumn("_mix_inside", F.coalesce(F.sum("size").over(order), F.lit(0)))
-    rows = rows.join(_prefix(sums), ["_mix_source", "_mix_range"])
+    found = ranged(rows).withColumn(
+        "_mix_inside", F.coalesce(F.sum("size").over(order), F.lit(0))
+    )
+    found = found.join(_prefix(sums), ["_mix_source", "_mix_range"])
     budget = F.floor("target").cast("bigint")
     whole = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(0)
     left = budget - whole * F.col("source_size") - F.col("_mix_ahead") - F.col("_mix_inside")
     taken = whole * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), left))
-    return rows.withColumn("taken", taken.cast("bigint")).drop(
+    return found.withColumn("taken", taken.cast("bigint")).drop(
         "_mix_source", "_mix_ranges", "_mix_key", "_mix_range", "_mix_inside", "_mix_ahead"
     )
 
 
-def sizes(docs: DataFrame) -> DataFrame:
-    """The narrow table that ``take`` needs."""
+def sizes(docs: DataFrame, *more: str) -> DataFrame:
+    """What ``take`` needs of the documents, and the named columns."""
     return docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
         F.col("source").cast("string").alias("source"),
         word_count(F.col("text")).alias("size"),
+        *more,
     )
 
 
 def mix(
-    sized_docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: int = EPOCHS
+    docs: DataFrame, sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: int = EPOCHS
 ) -> DataFrame:
     """The documents of the mix: a row per epoch, the one at the cut with its first words.
 
-    ``sized_docs`` are the documents with ``size``. The cut keeps the text up to
-    the end of the last word taken.
+    The cut keeps the text up to the end of the last word taken. Other columns
+    stay as they are. ``sized`` is ``sizes(docs)``, from a written table.
     """
-    taken = take(sized_docs, weights, epochs)
+    more = [c for c in docs.columns if c not in ("doc_id", "source")]
+    taken = take(sizes(docs, *more), sized, weights, epochs)
     copies = F.when(F.col("size") > 0, F.ceil(F.col("taken") / F.col("size"))).otherwise(0)
-    rows = taken.select("*", F.explode(F.sequence(F.lit(1), copies)).alias("_mix_epoch")).where(
-        F.col("_mix_epoch") > 0
+    rows = taken.where(F.col("taken") > 0).select(
+        "*", F.explode(F.sequence(F.lit(1), copies.cast("int"))).alias("_mix_epoch")
     )
     words = F.least(F.col("size"), F.col("taken") - (F.col("_mix_epoch") - 1) * F.col("size"))
-    head = F.concat(
-        F.lit(r"^(?:[\x20\x09-\x0D]*[^\x20\x09-\x0D]+){"), words.cast("string"), F.lit("}")
-    )
-    cut = F.expr("regexp_extract(text, _mix_head, 0)")
-    return (
-        rows.withColumn("_mix_head", head)
-        .withColumn("text", F.when(words < F.col("size"), cut).otherwise(F.col("text")))
-        .drop("_mix_head", "_mix_epoch", "taken", "target", "source_size", "size")
-    )
+    pieces = F.regexp_extract_all("text", F.lit(rf"[\x20\x09-\x0D]*{_WORD}"), F.lit(0))
+    head = F.array_join(F.slice(pieces, F.lit(1), words.cast("int")), "")
+    text = F.when(words < F.col("size"), head).otherwise(F.col("text"))
+    return rows.withColumn("text", text).select(*docs.columns)
 
 
 ORACLE = r"""
