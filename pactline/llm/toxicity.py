@@ -39,6 +39,7 @@ from pactline.llm.words import Slice, SpanHasher, find_words, signed, slices, tr
 PREFIXES = (4, 5, 6, 7, 8)
 LEXICON = 1 << 16
 LEAST_COUNT = 5
+LEAST_CLEAR = 4.0  # standard deviations above what chance gives
 LABEL_ODDS = 2.0
 SAMPLE = 400
 SAMPLE_BYTES = 50_000
@@ -115,14 +116,13 @@ def lexicon(statistics: DataFrame, most: int = LEXICON) -> tuple[np.ndarray, np.
         return np.zeros(0, dtype=np.uint64), np.zeros(0)
     share = totals["toxic"] / totals["clean"]
     expected = F.col("clean") * F.lit(share)
-    rows = statistics.where(
-        (F.col("key") != 0) & (F.col("toxic") >= LEAST_COUNT)
-    ).select(
+    rows = statistics.where((F.col("key") != 0) & (F.col("toxic") >= LEAST_COUNT)).select(
         "key",
         F.log((F.col("toxic") + 0.5) / (expected + 0.5)).alias("odds"),
         ((F.col("toxic") - expected) / F.sqrt(expected + 1)).alias("clear"),
     )
-    chosen = rows.where("odds > 0.5").orderBy(F.desc("clear"), "key").limit(most).collect()
+    clear = rows.where((F.col("odds") > 0.5) & (F.col("clear") >= LEAST_CLEAR))
+    chosen = clear.orderBy(F.desc("clear"), "key").limit(most).collect()
     keys = np.array([r["key"] for r in chosen], dtype=np.int64).view(np.uint64)
     odds = np.array([r["odds"] for r in chosen], dtype=np.float64)
     order = np.argsort(keys)
