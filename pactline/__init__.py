@@ -23,6 +23,7 @@ from pactline.operators.duplicates import (
     exact_duplicates,
     keep_first,
 )
+from pactline.operators.event_time import with_event_time
 from pactline.operators.late import with_late_flag
 from pactline.operators.quality_rules import (
     duplicate_findings,
@@ -47,6 +48,7 @@ from pactline.operators.sla import (
     run_summary,
     sla_violations,
     tumbling_metrics,
+    unmeasured_events,
     window_metrics,
     with_lag,
 )

@@ -33,5 +33,14 @@ def from_micros(column: Column, dtype: T.DataType) -> Column:
     return F.expr(_EPOCH_NTZ) + F.make_dt_interval(secs=seconds)
 
 
+def iso_timestamp(text: Column) -> Column:
+    """An ISO date and time as a TIMESTAMP; without an offset it counts as UTC.
+
+    NULL where the text is no such time. The session's time zone must be UTC, as
+    ``configure`` sets it.
+    """
+    return F.try_to_timestamp(F.regexp_replace(F.trim(text), "^(\\d{4}-\\d\\d-\\d\\d) ", "$1T"))
+
+
 def to_micros(length: timedelta) -> int:
     return length // timedelta(microseconds=1)

@@ -25,21 +25,25 @@ def strip(text: Column) -> Column:
 
 
 def parse_document(line: Column) -> Column:
-    """Parse a stripped line as element 0 of an array that ends with its length.
+    """Parse a stripped line as element 0 of an array that ends with its hash.
 
     The parser stops after the first complete value, so a line such as
     ``{"a": 1} junk`` would pass on its own. Inside the array the junk breaks
-    the syntax or moves the closing length, which ``is_well_formed`` looks for.
+    the syntax or moves the closing hash, which ``is_well_formed`` looks for. A
+    line cannot close the array itself, as it would have to hold its own hash.
     """
-    return F.try_parse_json(
-        F.concat(F.lit("["), line, F.lit(","), F.length(line).cast("string"), F.lit("]"))
-    )
+    closing = F.concat(F.lit(',"'), _closing(line), F.lit('"]'))
+    return F.try_parse_json(F.concat(F.lit("["), line, closing))
+
+
+def _closing(line: Column) -> Column:
+    return F.hex(F.xxhash64(line, F.length(line)))
 
 
 def is_well_formed(document: Column, line: Column) -> Column:
-    closing = F.try_variant_get(document, "$[1]", "int")
+    closing = F.try_variant_get(document, "$[1]", "string")
     extra = F.variant_get(document, "$[2]", "variant")
-    return F.coalesce(closing == F.length(line), F.lit(False)) & extra.isNull()
+    return F.coalesce(closing == _closing(line), F.lit(False)) & extra.isNull()
 
 
 def member(document: Column, name: str) -> Column:
@@ -67,6 +71,12 @@ def number_key(value: Column) -> Column:
     )
 
 
+def decimal_key(value: Column) -> Column:
+    """Exact text of a decimal under which 1, 1.0 and 1.00 meet."""
+    text = value.cast("string")
+    return F.when(text.contains("."), F.regexp_replace(text, r"\.?0+$", "")).otherwise(text)
+
+
 def quoted(text: Column) -> Column:
     """A text in quotes, as the reports list it."""
     escaped = text

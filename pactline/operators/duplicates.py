@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from pactline.contracts import Contract, as_contracts
 from pactline.functions.values import short_key
 from pactline.records import Records, column, falls_under, unfold
-from pactline.session import materialize
+from pactline.session import broadcast_if, materialize
 
 
 def unique_rules(contracts: Sequence[Contract]) -> list[tuple[int, Contract, int, str]]:
@@ -148,28 +148,25 @@ def exact_duplicates(df: DataFrame, columns: Sequence[str], order_by: str) -> Da
 
 
 def keep_first(df: DataFrame, columns: Sequence[str], order_by: str) -> DataFrame:
-    """Drop every later copy of a row; ``order_by`` is unique per row.
+    """Drop every copy of a row that comes later by ``order_by``.
 
-    Digests, not rows, go through the shuffle, and a group's first row is a
-    minimum, so a row copied very often makes no large group anywhere.
+    Nulls come last. Rows that share the first place of their group all stay,
+    as nothing tells which of them is the first. Rows meet their group's first
+    place by digest: few repeated rows are broadcast, many are joined, and a row
+    copied very often is split by size there. Both ways give the same rows.
     """
+    digest, first = "_pactline_digest", "_pactline_first"
     rows_by_digest = df.select(
-        row_digest(df, columns).alias("_digest"), F.col(order_by).alias("_order")
-    ).groupBy("_digest")
+        row_digest(df, columns).alias(digest), column(order_by).alias(first)
+    ).groupBy(digest)
     repeated = materialize(
-        rows_by_digest.agg(F.count(F.lit(1)).alias("_copies"), F.min("_order").alias("_first"))
-        .where("_copies > 1")
-        .select("_digest", "_first"),
+        rows_by_digest.agg(F.count(F.lit(1)).alias("copies"), F.min(first).alias(first))
+        .where("copies > 1")
+        .select(digest, first, F.lit(True).alias("_pactline_repeated")),
         "repeated-rows",
     )
-    order = column(order_by)
-    if repeated.small():
-        # Few repeated rows: each task drops its own later copies, no shuffle.
-        marked = df.withColumn("_digest", row_digest(df, columns)).join(
-            F.broadcast(repeated.df), "_digest", "left"
-        )
-        first = F.col("_first").isNull() | (order == F.col("_first"))
-        return marked.where(first).select(*map(column, df.columns))
-    # Many: meet the first rows by their unique place, which has no hot key.
-    firsts = rows_by_digest.agg(F.min("_order").alias("_first"))
-    return df.join(firsts, order == F.col("_first"), "left_semi")
+    marked = df.withColumn(digest, row_digest(df, columns)).join(
+        broadcast_if(repeated.small(), repeated.df), digest, "left"
+    )
+    kept = F.col("_pactline_repeated").isNull() | column(order_by).eqNullSafe(F.col(first))
+    return marked.where(kept).select(*map(column, df.columns))

@@ -1,11 +1,15 @@
 """Exact order statistics per group, without sorting a group in one task.
 
 The value at 0-based index ``floor(n * fraction)`` of each sorted group is
-found in two steps. The first counts values per coarse interval and finds the
-interval that holds the wanted index; the second counts single values inside
-that interval only. What a task sorts is a list of intervals, or of distinct
-values inside one interval, so its size depends on the range of the values and
-not on the number of rows, even if one group holds most of them.
+found in steps. The first counts values per coarse interval and finds the
+interval that holds the wanted index; the next look inside that interval only,
+at finer ones and then at single values. What a task sorts is a list of at most
+2**20 intervals of one group beyond the first step, whatever the range of the
+values and the number of rows, even if one group holds most of them.
+
+The input is evaluated once: its narrow rows are written and all steps read
+those, so values that change from reading to reading, such as the current time,
+cannot lose a group.
 """
 
 from __future__ import annotations
@@ -17,8 +21,9 @@ from pyspark.sql import functions as F
 
 from pactline.session import broadcast_if, materialize
 
-# An interval spans 2**20 values: about one second in microseconds.
-INTERVAL_BITS = 20
+# Intervals of the steps span 2**bits values. Of microseconds the coarsest are
+# twelve days long, those of the second step about one second.
+STEPS = (40, 20, 0)
 
 
 MERGE = {"sum": F.sum, "max": F.max}
@@ -42,10 +47,14 @@ def with_ranks(
     # key is 0 for every row, but no literal: that would turn joins into products.
     group = (F.struct(*by) if by else F.col(value) * 0).alias("_group")
     times = (F.lit(1) if weight is None else F.col(weight)).cast("bigint")
-    interval = F.shiftright(value, INTERVAL_BITS).alias("_interval")
-    coarse = df.groupBy(group, interval).agg(
-        F.sum(times).alias("_n"),
-        *(MERGE[how](expression).alias(name) for name, how, expression in totals),
+    extra = [expression.alias(name) for name, _, expression in totals]
+    rows = materialize(
+        df.select(group, F.col(value).alias("_value"), times.alias("_n"), *extra),
+        "rank-rows",
+        measure=False,
+    ).df
+    coarse = rows.groupBy("_group", _interval(STEPS[0])).agg(
+        F.sum("_n").alias("_n"), *(MERGE[how](name).alias(name) for name, how, _ in totals)
     )
     in_group = Window.partitionBy("_group")
     running = coarse.withColumns(
@@ -71,45 +80,45 @@ def with_ranks(
         ),
         "ranks",
     )
-    values = df.select(group, interval, F.col(value).alias("_value"), times.alias("_n"))
-    targets = groups.df.select("_group", F.inline("_targets"))
-    picked = _pick(values, targets, groups.small(len(fractions)), fractions)
+    few = groups.small(len(fractions))
+    wanted = groups.df.select("_group", F.inline("_targets"))
+    for wide, fine in zip(STEPS, STEPS[1:]):
+        wanted = materialize(_refine(rows, wanted, few, wide, fine), "ranks", measure=False).df
+    picked = wanted.groupBy("_group").agg(
+        *(F.max(F.when(F.col("_name") == name, F.col("_interval"))).alias(name) for name in fractions)
+    )
     names = [name for name, *_ in totals]
     return (
         groups.df.drop("_targets")
-        .join(broadcast_if(groups.small(), picked), "_group")
+        .join(broadcast_if(groups.small(), picked), "_group", "left")
         .select(*(F.col(f"_group.`{k}`") for k in by), "n", *fractions, *names)
     )
 
 
-def _pick(
-    values: DataFrame, targets: DataFrame, few: bool, fractions: Mapping[str, float]
-) -> DataFrame:
-    """The wanted values, from the rows inside the wanted intervals."""
-    on = ["_group", "_interval"]
+def _interval(bits: int) -> Column:
+    return F.shiftright("_value", bits).alias("_interval")
+
+
+def _refine(rows: DataFrame, wanted: DataFrame, few: bool, wide: int, fine: int) -> DataFrame:
+    """The finer interval that holds each wanted index, and the index inside it."""
+    on = ["_group", "_wide"]
+    wanted = wanted.withColumnRenamed("_interval", "_wide")
+    placed = rows.select("_group", F.shiftright("_value", wide).alias("_wide"), _interval(fine), "_n")
     if few:
         # Filter and count in the map tasks.
-        wanted = F.broadcast(targets.select(*on).distinct())
-        single = _count_single(values.join(wanted, on, "left_semi"))
-        met = single.join(F.broadcast(targets), on)
-    else:
-        # Too many to broadcast: count single values first, so that no key stays hot.
-        met = _count_single(values).join(targets, on)
-    upto = _running_sum(Window.partitionBy("_group", "_name").orderBy("_value"))
-    hit = (F.col("_upto") - F.col("_n") <= F.col("_index")) & (F.col("_index") < F.col("_upto"))
+        placed = placed.join(F.broadcast(wanted.select(*on).distinct()), on, "left_semi")
+    # Counted before the join, so that no key stays hot.
+    counted = placed.groupBy(*on, "_interval").agg(F.sum("_n").alias("_n"))
+    met = counted.join(broadcast_if(few, wanted), on)
+    upto = _running_sum(Window.partitionBy("_group", "_name").orderBy("_interval"))
+    before = F.col("_upto") - F.col("_n")
+    hit = (before <= F.col("_index")) & (F.col("_index") < F.col("_upto"))
     return (
         met.withColumn("_upto", upto)
         .where(hit)
-        .groupBy("_group")
-        .agg(
-            *(F.max(F.when(F.col("_name") == name, F.col("_value"))).alias(name) for name in fractions)
-        )
+        .select("_group", "_name", "_interval", (F.col("_index") - before).alias("_index"))
     )
 
 
-def _count_single(values: DataFrame) -> DataFrame:
-    return values.groupBy("_group", "_interval", "_value").agg(F.sum("_n").alias("_n"))
-
-
 def _running_sum(ordered: WindowSpec) -> Column:
     return F.sum("_n").over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow))

@@ -37,7 +37,7 @@ def breaks_sla(sla_ms: float = SLA_MS) -> Column:
 def sla_violations(df: DataFrame, by: Sequence[str] = (), sla_ms: float = SLA_MS) -> DataFrame:
     """Events, violations and violation rate per group."""
     counted = df.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("total_events"),
+        F.count("lag_us").alias("total_events"),
         F.count_if(breaks_sla(sla_ms)).alias("sla_violations"),
     )
     return counted.withColumn("sla_violation_rate", _share("sla_violations", "total_events"))
@@ -46,11 +46,26 @@ def sla_violations(df: DataFrame, by: Sequence[str] = (), sla_ms: float = SLA_MS
 def lag_percentiles(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Exact p50 and p99: the lag at index ``int(n * p)`` of the sorted lags."""
     ranked = with_ranks(df.where("lag_us is not null"), by, "lag_us", PERCENTILES)
-    return ranked.select(
+    found = ranked.select(
         *by,
         F.col("n").alias("total_events"),
         *(_ms(F.col(p)).alias(f"{p}_lag_ms") for p in PERCENTILES),
     )
+    return found if by else _one_row(found)
+
+
+def _one_row(metrics: DataFrame) -> DataFrame:
+    """Metrics without groups: zeros where there was no event."""
+    zeros = [F.coalesce(F.max(c), F.lit(0).cast(t)).alias(c) for c, t in metrics.dtypes]
+    return metrics.agg(*zeros)
+
+
+def unmeasured_events(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Events per group that the lag metrics leave out, as one of their times is missing."""
+    return df.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("events"),
+        F.count_if(F.col("lag_us").isNull()).alias("unmeasured_events"),
+    )
 
 
 def approx_lag_percentiles(
@@ -84,7 +99,7 @@ def lag_summary(
     ranked = with_ranks(
         df.where("lag_us is not null"), by, "lag_us", PERCENTILES, totals, weight
     )
-    return ranked.select(
+    found = ranked.select(
         *by,
         F.col("n").alias("total_events"),
         (F.col("lag_sum") / F.col("n") / 1000.0).alias("avg_lag_ms"),
@@ -93,6 +108,7 @@ def lag_summary(
         "sla_violations",
         _share("sla_violations", "n").alias("sla_violation_rate"),
     )
+    return found if by else _one_row(found)
 
 
 def latency_histogram(df: DataFrame, edges_ms: Sequence[float], by: Sequence[str] = ()) -> DataFrame:

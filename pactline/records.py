@@ -82,10 +82,14 @@ class Records:
         """Equality key of a value, with a mark for its family; NULL for null."""
         kind = F.col(kind_column)
         text, number = self.text(name), self.number(name)
+        if self._is_decimal(name):
+            exact = values.decimal_key(column(name))
+        else:
+            exact = F.when(~F.isnan(number), values.number_key(number))
         numeric = (
             F.when(kind == kinds.WHOLE, text)
             .when(kind == kinds.FLAG, F.when(text == "true", "1").otherwise("0"))
-            .when(~F.isnan(number), values.number_key(number))
+            .otherwise(exact)
         )
         nested = (*kinds.NESTED, kinds.TIME, kinds.DATE, kinds.OTHER)
         return values.short_key(
@@ -94,6 +98,10 @@ class Records:
             .when(kind.isin(*nested), F.concat(F.lit("j:"), self._json(name)))
         )
 
+    def _is_decimal(self, name: str) -> bool:
+        known = self.typed and name in self.df.columns
+        return known and isinstance(self.df.schema[name].dataType, T.DecimalType)
+
     def shown(self, name: str, kind_column: str) -> Column:
         """A value as reports print it."""
         kind, text = F.col(kind_column), self.text(name)

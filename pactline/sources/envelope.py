@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.readwriter import DataFrameReader
 from pyspark.sql.streaming import DataStreamReader
@@ -15,6 +15,9 @@ from pactline.functions.values import is_well_formed, parse_document, strip
 # Defaults of the publisher.
 TOPIC, CLIENT_ID = "telemetry-events", "pactline-producer"
 
+_TEXT = r'"(?:[^"\\]|\\.)*"'
+_ENVELOPE = rf'^\{{"topic": {_TEXT}, "client_id": {_TEXT}, "event": (.*)\}}$'
+
 
 def wrap_lines(
     lines: DataFrame, topic: str = TOPIC, client_id: str = CLIENT_ID, line: str = "value"
@@ -36,28 +39,45 @@ def wrap_rows(df: DataFrame, topic: str = TOPIC, client_id: str = CLIENT_ID) ->
 
 
 def unwrap(envelopes: DataFrame, line: str = "value") -> DataFrame:
-    """Topic, client and the event as a JSON line in ``value``."""
+    """Topic, client and the event as a JSON line in ``value``.
+
+    Of envelopes as ``wrap_lines`` writes them the event's text is cut out as it
+    stands, with every digit of its numbers; other spellings are parsed, and
+    their events written anew.
+    """
     text = F.col(line)
+    as_written = F.regexp_extract(text, _ENVELOPE, 1)
     return envelopes.select(
         F.get_json_object(text, "$.topic").alias("topic"),
         F.get_json_object(text, "$.client_id").alias("client_id"),
-        F.get_json_object(text, "$.event").alias("value"),
+        F.when(as_written != "", as_written)
+        .otherwise(F.get_json_object(text, "$.event"))
+        .alias("value"),
     )
 
 
-def publish_stats(lines: DataFrame, line: str = "value") -> DataFrame:
-    """Attempted, published and failed events: a line that is not JSON fails."""
-    attempted = (
+def _judged(lines: DataFrame, line: str) -> DataFrame:
+    """Lines that are not blank, with whether each is one JSON value."""
+    parsed = (
         lines.select(strip(F.col(line)).alias("_line"))
         .where("_line != ''")
         .withColumn("_document", parse_document(F.col("_line")))
     )
-    good = is_well_formed(F.col("_document"), F.col("_line"))
-    return attempted.agg(
+    good = is_well_formed(F.col("_document"), F.col("_line")).alias("_good")
+    return parsed.select(F.col("_line").alias("value"), good)
+
+
+def _counters() -> list[Column]:
+    return [
         F.count(F.lit(1)).alias("attempted"),
-        F.count_if(good).alias("published"),
-        F.count_if(~good).alias("failed"),
-    )
+        F.count_if("_good").alias("published"),
+        F.count_if(~F.col("_good")).alias("failed"),
+    ]
+
+
+def publish_stats(lines: DataFrame, line: str = "value") -> DataFrame:
+    """Attempted, published and failed events: a line that is not JSON fails."""
+    return _judged(lines, line).agg(*_counters())
 
 
 def publish(
@@ -66,10 +86,27 @@ def publish(
     topic: str = TOPIC,
     client_id: str = CLIENT_ID,
     max_records: int = 0,
-) -> None:
-    """Append envelopes of JSON lines to a topic folder; 0 publishes all."""
-    chosen = lines.limit(max_records) if max_records > 0 else lines
-    wrap_lines(chosen, topic, client_id).write.mode("append").text(path)
+    line: str = "value",
+) -> dict[str, int]:
+    """Append envelopes of JSON lines to a topic folder; 0 publishes all.
+
+    A line that is not JSON never becomes an envelope; it goes to
+    ``<path>_rejected``. Blank lines are no events, and ``max_records`` counts
+    the events that are published. Returns what the write itself counted:
+    ``attempted``, ``published`` and ``failed``.
+    """
+    judged = _judged(lines, line)
+    if max_records > 0:
+        # The limit ends the scan early, so the lines behind it are not attempted.
+        judged = judged.where("_good").limit(max_records)
+    seen = Observation()
+    wrap_lines(judged.observe(seen, *_counters()).where("_good"), topic, client_id).write.mode(
+        "append"
+    ).text(path)
+    counted = {name: seen.get.get(name) or 0 for name in ("attempted", "published", "failed")}
+    if counted["failed"]:
+        judged.where("not _good").select("value").write.mode("append").text(f"{path}_rejected")
+    return counted
 
 
 def publish_to_kafka(lines: DataFrame, servers: str, topic: str, client_id: str = CLIENT_ID) -> None:

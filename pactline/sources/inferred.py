@@ -12,12 +12,15 @@ from pactline.functions.values import strip
 
 
 def infer_schema(spark: SparkSession, path: str) -> str:
-    """DDL schema of the first line of the first file.
+    """DDL schema of the first line of the first file that is not empty.
 
     Only that line is read, whatever the size of the source.
     """
-    files = sorted(spark.read.text(path).inputFiles())
-    first = spark.read.text(files[0]).head() if files else None
+    first = None
+    for file in sorted(spark.read.text(path).inputFiles()):
+        first = spark.read.text(file).head()
+        if first is not None:
+            break
     line = "" if first is None else first["value"].strip()
     if not line:
         raise InputError(f"{path} starts with an empty line")

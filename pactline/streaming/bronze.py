@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pactline.functions.clock import micros, to_micros
-from pactline.plans.ingest import LOG_SCHEMA, batch_label
+from pactline.plans.ingest import COMMON_LOG, batch_label
 from pactline.sinks.bronze import enrich
 from pactline.sources.envelope import unwrap
 from pactline.sources.inferred import parse_lines
 
-STREAM_LOG = LOG_SCHEMA + ", late_rows bigint, latest_event_us bigint"
+STREAM_LOG = COMMON_LOG + ", late_rows bigint, latest_event_us bigint"
 
 
 def bronze_stream(

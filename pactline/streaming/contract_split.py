@@ -35,8 +35,10 @@ def contract_stream(
     def check(batch: DataFrame, batch_id: int) -> None:
         path = f"{folder}/rows/batch_id={batch_id}"
         numbered = batch.select("value", F.monotonically_increasing_id().alias(SEQUENCE))
-        split_records(numbered, chosen).write.mode("overwrite").partitionBy("status").parquet(path)
-        written = batch.sparkSession.read.parquet(path).where("first_row")
+        rows = split_records(numbered, chosen)
+        rows.write.mode("overwrite").partitionBy("status").parquet(path)
+        # With the schema, as a batch of blank lines leaves no file to take it from.
+        written = batch.sparkSession.read.schema(rows.schema).parquet(path).where("first_row")
         records = raw_records(written.select("value", SEQUENCE), order_by=SEQUENCE)
         report = contract_report(records, chosen)
         report.coalesce(1).write.mode("overwrite").parquet(f"{folder}/report/batch_id={batch_id}")

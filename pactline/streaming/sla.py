@@ -42,11 +42,11 @@ def sla_stream(
     A closed window's counts go to ``<folder>/lags`` and its percentiles are
     taken from there.
     """
-    seconds = to_micros(width) // 1_000_000
+    step = to_micros(width)
     counts = (
         closed_window_times(events, event_ts, width)
         .withWatermark("window_time", f"{to_micros(delay) // 1000} milliseconds")
-        .groupBy(F.window("window_time", f"{seconds} seconds"), "lag_us")
+        .groupBy(F.window("window_time", f"{step} microseconds"), "lag_us")
         .agg(F.count(F.lit(1)).alias("times"))
         .select("window.*", "lag_us", "times")
     )
@@ -55,7 +55,7 @@ def sla_stream(
         lags = f"{folder}/lags/batch_id={batch_id}"
         batch.write.mode("overwrite").parquet(lags)
         closed = batch.sparkSession.read.schema(batch.schema).parquet(lags)
-        per_second = F.col("total_events") / F.lit(float(max(seconds, 1)))
+        per_second = F.col("total_events") / F.lit(max(step / 1e6, 1.0))
         metrics = (
             lag_summary(closed, ["start", "end"], sla_ms, weight="times")
             .withColumnsRenamed({"start": "window_start", "end": "window_end"})

@@ -195,6 +195,14 @@ select 'events' as topic, 'loader' as client_id, json_extract_string(j, '$.event
   cast(json_extract_string(j, '$.props.k') as bigint) as k from lines""",
     "envelope_rows": """select case when event_id % 9 > 0 then 'float' else 'null' end as value_type,
   count(*) as records from events group by 1""",
+    "infer_first_record_schema": """with names(duck, spark) as (
+  values ('BIGINT', 'BIGINT'), ('VARCHAR', 'STRING'), ('DOUBLE', 'DOUBLE')),
+typed as (select typeof(event_id) as a, typeof(event_type) as b, typeof(value) as c
+  from events limit 1)
+select concat('STRUCT<event_id: ', a.spark, ', event_type: ', b.spark, ', value: ', c.spark, '>')
+  as ddl
+from typed join names a on a.duck = typed.a join names b on b.duck = typed.b
+  join names c on c.duck = typed.c""",
     "read_with_inferred_schema": "select event_id, event_type, value from events",
     "bronze_enrich": """select event_id, event_type, 'kafka-mock' as _data_source,
   true as stamped from events""",
