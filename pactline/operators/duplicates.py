@@ -33,14 +33,13 @@ def duplicate_keys(
     One scan feeds the rules of all contracts. Keys have a bounded length and
     are counted in the map tasks first, so one value held by a third of all
     rows reaches the shuffle as one row per task. Columns: ``rule_id``,
-    ``key``, ``copies``, ``first_seen``.
+    ``key``, ``copies``, ``first_seen`` (null for records without ``order_by``).
     """
     chosen = as_contracts(contracts)
     rules = unique_rules(chosen)
-    if records.order_by is None:
-        raise ValueError("a no-duplicates rule needs records with order_by")
     df, found = records.with_kinds([field for *_, field in rules], chosen)
-    seen = column(records.order_by)
+    unordered = records.order_by is None
+    seen = F.lit(None).cast("bigint") if unordered else column(records.order_by)
     keyed = [
         F.struct(
             F.lit(n).alias("rule_id"),
@@ -74,6 +73,11 @@ def duplicate_samples(
     if not rules:
         none = "dataset string, place int, field string, observed string"
         return records.df.sparkSession.createDataFrame([], none)
+    if records.order_by is None:
+        # Without an order no value is the first: their number stands for them.
+        counted = duplicate_keys(records, chosen, route).groupBy("rule_id")
+        number = F.concat(F.count(F.lit(1)).cast("string"), F.lit(" values")).alias("observed")
+        return _about(counted.agg(number), rules)
     order = Window.partitionBy("rule_id").orderBy("first_seen")
     first = (
         duplicate_keys(records, chosen, route)
@@ -91,6 +95,11 @@ def duplicate_samples(
     )
     listed = F.array_sort(F.collect_list(F.struct("rank", shown.alias("shown"))))
     text = F.concat(F.lit("["), F.array_join(listed["shown"], ", "), F.lit("]"))
+    return _about(df.groupBy("rule_id").agg(text.alias("observed")), rules)
+
+
+def _about(observed: DataFrame, rules: list[tuple[int, Contract, int, str]]) -> DataFrame:
+    """Name the dataset, place and field of each rule."""
     about = [
         F.when(
             F.col("rule_id") == n,
@@ -102,11 +111,8 @@ def duplicate_samples(
         )
         for n, c, place, field in rules
     ]
-    return (
-        df.groupBy("rule_id")
-        .agg(text.alias("observed"))
-        .select(F.coalesce(*about).alias("about"), "observed")
-        .select("about.*", "observed")
+    return observed.select(F.coalesce(*about).alias("about"), "observed").select(
+        "about.*", "observed"
     )
 
 

@@ -27,27 +27,27 @@ def with_late_flag(
     """
     at = micros(F.col(event_ts), df.schema[event_ts].dataType)
     # A struct as key keeps sources whose name is null.
-    source = F.struct(*by, F.lit(0).alias("_any")).alias("_source")
+    source = F.struct(*by, F.lit(0).alias("_any")).alias("_late_source")
     latest = (
-        df.select(source, F.col(batch).cast("bigint").alias("_batch"), at.alias("_at"))
-        .groupBy("_source", "_batch")
+        df.select(source, F.col(batch).cast("bigint").alias("_late_batch"), at.alias("_at"))
+        .groupBy("_late_source", "_late_batch")
         .agg(F.max("_at").alias("_latest"))
-        .withColumn("_block", F.floor(F.col("_batch") / BLOCK))
+        .withColumn("_block", F.floor(F.col("_late_batch") / BLOCK))
     )
-    blocks = latest.groupBy("_source", "_block").agg(F.max("_latest").alias("_latest"))
+    blocks = latest.groupBy("_late_source", "_block").agg(F.max("_latest").alias("_latest"))
     earlier_blocks = blocks.select(
-        "_source", "_block", _max_before("_source", order="_block").alias("_old")
+        "_late_source", "_block", _max_before("_late_source", order="_block").alias("_old")
     )
     seen = materialize(
-        latest.withColumn("_new", _max_before("_source", "_block", order="_batch"))
-        .join(earlier_blocks, ["_source", "_block"])
-        .select("_source", "_batch", F.greatest("_old", "_new").alias("_seen")),
+        latest.withColumn("_new", _max_before("_late_source", "_block", order="_late_batch"))
+        .join(earlier_blocks, ["_late_source", "_block"])
+        .select("_late_source", "_late_batch", F.greatest("_old", "_new").alias("_late_seen")),
         "seen-before",
     )
-    marked = df.withColumns({"_source": source, "_batch": F.col(batch).cast("bigint")}).join(
-        broadcast_if(seen.small(), seen.df), ["_source", "_batch"], "left"
+    marked = df.withColumns({"_late_source": source, "_late_batch": F.col(batch).cast("bigint")}).join(
+        broadcast_if(seen.small(), seen.df), ["_late_source", "_late_batch"], "left"
     )
-    late = F.coalesce(at < F.col("_seen") - to_micros(allowed), F.lit(False))
+    late = F.coalesce(at < F.col("_late_seen") - to_micros(allowed), F.lit(False))
     columns = [F.col(f"`{c}`") for c in df.columns]
     return marked.select(*columns, late.alias("is_late"))
 

@@ -16,7 +16,12 @@ from pyspark.sql import types as T
 from pactline.contracts import Contract
 from pactline.functions import kinds, values
 
-LINE, DOCUMENT, STATE, SOURCE = "_line", "_document", "_state", "_source"
+LINE, DOCUMENT, STATE, SOURCE = (
+    "_pactline_line",
+    "_pactline_document",
+    "_pactline_state",
+    "_pactline_source",
+)
 
 
 @dataclass(frozen=True)
@@ -56,7 +61,7 @@ class Records:
         systems = sorted({c.source_system for c in contracts if c.source_system is not None})
         wanted = list(dict.fromkeys(names))
         looked_up = [*wanted, self.source_field] if systems else wanted
-        columns = {name: f"_kind_{i}" for i, name in enumerate(dict.fromkeys(looked_up))}
+        columns = {name: f"_pactline_kind_{i}" for i, name in enumerate(dict.fromkeys(looked_up))}
         df = self.parsed()
         if self.typed:
             df = df.withColumns({c: self._typed_kind(name) for name, c in columns.items()})

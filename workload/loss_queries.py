@@ -91,6 +91,21 @@ def quality_duplicates_decimal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("first_seen", "copies")
 
 
+def contract_report_unordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table without an order column, and with a column named as a search export has it."""
+    amounts = table(spark, sf_dir, "events").selectExpr(
+        "cast(event_id div 3 as decimal(10,0)) as amount", "event_type as _source"
+    )
+    contract = p.Contract(
+        "amounts", "v1", "amounts", (p.Field("amount", "float"), p.Field("_source", "string")),
+        (p.Rule("amount", allow_duplicates=False), p.Rule("_source", required=True)),
+    )
+    records = p.typed_records(amounts)
+    found = p.contract_findings(records, contract).select("field", "rule", "observed")
+    report = p.contract_report(records, contract).select("records", "total_violations")
+    return found.crossJoin(F.broadcast(report))  # one row
+
+
 def bronze_lag_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows over the lag to the ingestion time, which is the time of the reading."""
     events = p.enrich(timed_events(spark, sf_dir)).drop("ingestion_timestamp")
@@ -165,6 +180,7 @@ QUERIES = {
     "envelope_text_kept": envelope_text_kept,
     "dedupe_null_order": dedupe_null_order,
     "quality_duplicates_decimal": quality_duplicates_decimal,
+    "contract_report_unordered": contract_report_unordered,
     "bronze_lag_windows": bronze_lag_windows,
     "lag_of_nothing": lag_of_nothing,
     "raw_event_lag": raw_event_lag,
@@ -203,6 +219,11 @@ seen as (select *, count(*) over (partition by text, lang) as n,
 select doc_id, place from seen where n = 1 or place is not distinct from first""",
     "quality_duplicates_decimal": """select min(event_id) as first_seen, count(*) as copies
 from events where event_id % 3 < 2 group by event_id // 3 having count(*) > 1""",
+    "contract_report_unordered": """with repeated as (
+  select event_id // 3 as amount from events group by 1 having count(*) > 1)
+select 'amount' as field, 'duplicates' as rule,
+  concat((select count(*) from repeated), ' values') as observed,
+  (select count(*) from events) as records, 1 as total_violations""",
     "bronze_lag_windows": f"""with {TIMED_SQL}, starts as (
   select time_bucket(interval 1 hour, event_timestamp) as s from timed
   union all
