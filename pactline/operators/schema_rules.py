@@ -160,6 +160,7 @@ def schema_summary(
 
 
 def _message(place: Column) -> Column:
+    # The messages of the reports.
     texts = {
         "missing_field": "Record %s is missing field %s",
         "nullability": "Record %s has null for non-nullable field %s",

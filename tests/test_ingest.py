@@ -156,6 +156,23 @@ def test_dedupe_stream(spark, tmp_path):
     assert spark.read.parquet(out + "/rows").count() == 100
 
 
+def test_late_stream_rows_are_counted(spark, tmp_path):
+    path, out = str(tmp_path / "in"), str(tmp_path / "out")
+    found = []
+    for days, ids in ((10, 5), (0, 3), (20, 4)):
+        df = spark.range(ids).select(
+            (F.col("id") + 100 * days).alias("event_id"),
+            F.timestamp_seconds(F.lit(1_700_000_000 + days * 86_400)).alias("ts"),
+        )
+        df.coalesce(1).write.mode("append").parquet(path)
+        stream = spark.readStream.schema(df.schema).parquet(path)
+        query = p.dedupe_stream(stream, ["event_id"], "ts", timedelta(days=1), out)
+        query.awaitTermination()
+        found.append(p.late_rows(query))
+    assert found == [0, 3, 0]
+    assert spark.read.parquet(out + "/rows").count() == 9
+
+
 def test_union_sources(spark):
     both = p.union_sources(
         spark.createDataFrame([(1, "x")], "a int, b string"),
