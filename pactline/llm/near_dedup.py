@@ -14,10 +14,11 @@
 4. In every bucket one class, the one that meets most others over all buckets,
    is paired with each other class: a star, never all pairs. ``verify`` confirms
    links on the full shingle sets. Linked classes become components.
-5. Buckets that still hold several components are compared exactly, in blocks
-   of ``BLOCK`` rows by their sketches, across components only; pairs whose
-   sketches do not rule out a link are verified too. So a bucket of any size
-   loses no link, and no task holds more than two blocks.
+5. Buckets that still hold several components are compared by their sketches in
+   blocks of ``BLOCK`` rows, across components only. Documents that may link, as
+   far as sketches tell, meet in groups, and those are compared on full sets,
+   in blocks again. So a bucket of any size loses no link, no task holds more
+   than two blocks, and a task sends a spanning forest instead of pairs.
 
 Links are 100 * |intersection| >= percent * |union|.
 
@@ -188,67 +189,172 @@ def _verifier(words: int, percent: int):
     return run
 
 
+def _first_texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    wanted = nodes.select(F.col("node").alias("doc_id"))
+    rows = texts(docs).join(wanted, "doc_id", "left_semi").groupBy(F.col("doc_id").alias("node"))
+    return rows.agg(F.min("text").alias("text"))
+
+
 def verify(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs ``a``, ``b`` whose whole shingle sets meet the threshold."""
-    needed = pairs.select("a").union(pairs.select(F.col("b").alias("a"))).distinct()
-    whole = written(
-        texts(docs)
-        .join(needed.withColumnRenamed("a", "doc_id"), "doc_id")
-        .groupBy("doc_id")
-        .agg(F.min("text").alias("text")),
-        "texts",
-    )
-    left = whole.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-    right = whole.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
+    ends = F.explode(F.array("a", "b")).alias("node")
+    whole = written(_first_texts(docs, pairs.select(ends).distinct()), "texts")
+    left = whole.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
+    right = whole.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
     rows = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
     return rows.mapInArrow(_verifier(words, percent), "a bigint, b bigint")
 
 
+def _least_agreement(percent: int) -> float:
+    """Equal places that sketches of a link have, but for a chance of 1e-9."""
+    share = percent / 100
+    return SIZE * share - SPREAD * np.sqrt(SIZE * share * (1 - share))
+
+
+def _likely(percent: int):
+    limit = _least_agreement(percent)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            one, two = (
+                np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, SIZE)
+                for c in ("marks_a", "marks_b")
+            )
+            near = (one == two).sum(axis=1) >= limit
+            yield batch.filter(pa.array(near)).select(["a", "b"])
+
+    return run
+
+
+def likely(pairs: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
+    """The pairs that their sketches do not rule out."""
+    left = marks.select(F.col("node").alias("a"), F.col("marks").alias("marks_a"))
+    right = marks.select(F.col("node").alias("b"), F.col("marks").alias("marks_b"))
+    rows = pairs.join(left, "a").join(right, "b").select("a", "b", "marks_a", "marks_b")
+    return rows.mapInArrow(_likely(percent), "a bigint, b bigint")
+
+
+class _Forest:
+    """Joins rows of a block; keeps an edge only where it brings two trees together."""
+
+    def __init__(self, labels: np.ndarray):
+        self.labels = np.unique(labels, return_inverse=True)[1]
+        self.edges: list[tuple[int, int]] = []
+
+    def join(self, i: int, others: np.ndarray) -> None:
+        labels, at = np.unique(self.labels[others], return_index=True)
+        for label, k in zip(labels, at, strict=True):
+            if label != self.labels[i]:
+                self.edges.append((i, int(others[k])))
+                self.labels[self.labels == label] = self.labels[i]
+
+
+def _edges(forest: _Forest, node: np.ndarray) -> pd.DataFrame:
+    ends = np.array(forest.edges, dtype=np.int64).reshape(-1, 2)
+    return pd.DataFrame({"a": node[ends[:, 0]], "b": node[ends[:, 1]]})
+
+
 def _comparer(percent: int):
-    limit = SIZE * percent / 100 - SPREAD * np.sqrt(SIZE * percent / 100 * (1 - percent / 100))
+    limit = _least_agreement(percent)
 
     def compare(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         _, one, two = key
         rows = rows.sort_values("node", kind="stable")
         marks = np.frombuffer(b"".join(rows["marks"]), np.uint8).reshape(len(rows), SIZE)
         node, root, block = (rows[c].to_numpy() for c in ("node", "root", "block"))
-        found_a, found_b = [], []
-        left = np.flatnonzero(block == one)
+        forest = _Forest(np.arange(len(rows)))
         right = np.flatnonzero(block == two)
-        for i in left:
+        for i in np.flatnonzero(block == one):
             other = right[root[right] != root[i]]
             if one == two:
                 other = other[other > i]
             if len(other):
-                near = other[(marks[other] == marks[i]).sum(axis=1) >= limit]
-                found_a += [node[i]] * len(near)
-                found_b += node[near].tolist()
-        return pd.DataFrame({"a": np.array(found_a, np.int64), "b": np.array(found_b, np.int64)})
+                forest.join(i, other[(marks[other] == marks[i]).sum(axis=1) >= limit])
+        return _edges(forest, node)
 
     return compare
 
 
+def _in_blocks(rows: DataFrame) -> DataFrame:
+    """Rows of a group (with its size ``_n``) once for each pair of blocks they belong to."""
+    blocks = F.ceil(F.col("_n") / BLOCK)
+    own = F.pmod(F.xxhash64("node"), blocks).alias("block")
+    partner = F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)).alias("_other")
+    names = [c for c in rows.columns if c != "_n"]
+    rows = rows.select(*names, own, "_n").select(*names, "block", partner)
+    one, two = F.least("block", "_other").alias("one"), F.greatest("block", "_other").alias("two")
+    return rows.select(*names, "block", one, two)
+
+
 def _across(members: DataFrame, roots: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components in one bucket whose sketches allow a link."""
+    """Edges that join all documents of different components that may be links.
+
+    A task compares the sketches of two blocks of a bucket and sends a spanning
+    forest of the pairs that may link, so at most one edge per row.
+    """
     known = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = known.groupBy("key").agg(
         F.min("root").alias("_low"), F.max("root").alias("_high"), F.count(F.lit(1)).alias("_n")
     )
-    mixed = mixed.where("_low < _high").select("key", F.ceil(F.col("_n") / BLOCK).alias("_blocks"))
+    mixed = mixed.where("_low < _high").select("key", "_n")
     rows = known.join(mixed, "key").join(marks, "node")
-    own = F.pmod(F.xxhash64("node"), F.col("_blocks")).alias("block")
-    rows = rows.select("key", "node", "root", "marks", own, "_blocks")
-    partner = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_blocks") - 1))
-    rows = rows.select("key", "node", "root", "marks", "block", partner.alias("_other"))
-    one, two = F.least("block", "_other").alias("one"), F.greatest("block", "_other").alias("two")
     return (
-        rows.select("key", "node", "root", "marks", "block", one, two)
+        _in_blocks(rows.select("key", "node", "root", "marks", "_n"))
         .groupBy("key", "one", "two")
         .applyInPandas(_comparer(percent), "a bigint, b bigint")
         .distinct()
     )
 
 
+def _prover(words: int, percent: int):
+    def prove(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        _, one, two = key
+        rows = rows.sort_values("node", kind="stable")
+        node, root, block = (rows[c].to_numpy() for c in ("node", "root", "block"))
+        keys, firsts = [], [np.zeros(1, dtype=np.int64)]
+        for part in slices(pa.array(rows["text"], pa.large_string())):
+            found, cuts = shingle_sets(part, words)
+            keys.append(found)
+            firsts.append(cuts[1:] + firsts[-1][-1])
+        keys, firsts = np.concatenate(keys), np.concatenate(firsts)
+        sizes = np.diff(firsts)
+        _, places = np.unique(keys, return_inverse=True)
+        forest = _Forest(root)
+        right = np.flatnonzero(block == two)
+        inside = np.zeros(len(keys) + 1, dtype=bool)
+        for i in np.flatnonzero(block == one):
+            if not (forest.labels[right] != forest.labels[i]).any():
+                continue
+            own = places[firsts[i] : firsts[i + 1]]
+            inside[own] = True
+            both = np.add.reduceat(inside[places], firsts[:-1], dtype=np.int64)
+            inside[own] = False
+            linked = 100 * both >= percent * (sizes + sizes[i] - both)
+            forest.join(i, right[linked[right]])
+        return _edges(forest, node)
+
+    return prove
+
+
+def _prove(edges: DataFrame, roots: DataFrame, docs: DataFrame, words: int, percent: int):
+    """Links between components among the documents that ``edges`` join, on full sets.
+
+    Documents joined by edges are compared in blocks, each with its text, and a
+    task sends a spanning forest of the links it finds.
+    """
+    groups = components(edges).withColumnRenamed("root", "group")
+    sizes = groups.groupBy("group").agg(F.count(F.lit(1)).alias("_n"))
+    whole = _first_texts(docs, groups.select("node"))
+    rows = groups.join(sizes, "group").join(roots, "node", "left").join(whole, "node")
+    rows = rows.select("group", "node", F.coalesce("root", "node").alias("root"), "text", "_n")
+    return (
+        _in_blocks(rows)
+        .groupBy("group", "one", "two")
+        .applyInPandas(_prover(words, percent), "a bigint, b bigint")
+        .distinct()
+    )
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` (smallest document reachable), ``kept``."""
     docs = texts(docs)
@@ -256,7 +362,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     full = known.where("n_shingles > 0 and doc_id is not null")
     # Equal sets have equal sketches, so any row's will do.
     classes = full.groupBy("n_shingles", "set_a", "set_b").agg(
-        F.min("doc_id").alias("node"), F.first("bands").alias("bands"), F.first("marks").alias("marks")
+        F.min("doc_id").alias("node"),
+        F.first("bands").alias("bands"),
+        F.first("marks").alias("marks"),
     )
     classes = written(classes, "classes")
     rows = classes.select("node", F.explode("bands").alias("key")).distinct()
@@ -271,13 +379,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         .agg((-F.max(rank)["least"]).alias("centre"))
     )
     stars = members.join(centres, "key").where("node <> centre")
-    stars = stars.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
-    links = written(verify(written(stars.distinct(), "pairs"), docs, words, percent), "verified")
-    roots = components(links)
+    ends = F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")
     marks = classes.groupBy("node").agg(F.first("marks").alias("marks"))
+    pairs = written(likely(stars.select(*ends).distinct(), marks, percent), "pairs")
+    links = written(verify(pairs, docs, words, percent), "verified")
+    roots = written(components(links), "roots")
     rest = written(_across(members.select("key", "node"), roots, marks, percent), "pairs")
     if not rest.isEmpty():
-        more = written(verify(rest, docs, words, percent), "verified")
+        more = written(_prove(rest, roots, docs, words, percent), "verified")
         roots = components(links.union(more))
 
     ids = classes.join(roots, "node", "left").select(
