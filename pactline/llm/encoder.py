@@ -20,8 +20,9 @@ from pactline.llm.words import SPACE, Slice, span_hashes
 
 # Chunks a worker remembers; it starts anew beyond that.
 REMEMBERED = 2_000_000
+# White space that is not ASCII's six, as Unicode has it.
 _WIDE_SPACE = re.compile(
-    "[\x1c-\x1f\x85\xa0  -     　]"
+    "[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 )
 _NOT_PLAIN = np.zeros(256, dtype=bool)
 _NOT_PLAIN[[0x1C, 0x1D, 0x1E, 0x1F, 0xC2, 0xE1, 0xE2, 0xE3]] = True
