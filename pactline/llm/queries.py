@@ -61,7 +61,9 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     learned = docs.where(remainder(3) != 1).select("doc_id", "text")
-    model = toxicity.train(learned.join(labels.select("doc_id", "toxic"), "doc_id"))
+    # A merge join at every size: whether labels are few enough to send is no matter of chance.
+    known = labels.select("doc_id", "toxic").hint("merge")
+    model = toxicity.train(learned.join(known, "doc_id"))
     return toxicity.score(docs, model).select(
         "doc_id",
         (remainder(3) == 1).alias("held_out"),

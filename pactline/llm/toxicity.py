@@ -33,10 +33,18 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pactline.llm.common import hash_sample, texts
-from pactline.llm.words import Slice, SpanHasher, find_words, signed, slices, trimmed
-
-PREFIXES = (4, 5, 6, 7, 8)
+from pactline.llm.common import hash_sample, texts, written
+from pactline.llm.words import (
+    SLICE_BYTES,
+    Slice,
+    SpanHasher,
+    find_words,
+    signed,
+    slices,
+    trimmed,
+)
+
+PREFIXES = (5, 6, 7)
 LEXICON = 1 << 16
 LEAST_COUNT = 5
 LEAST_CLEAR = 4.0  # standard deviations above what chance gives
@@ -86,7 +94,7 @@ def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for toxic in (0, 1):
             rows = batch.filter(pa.compute.equal(batch.column("toxic"), toxic))
-            for part in slices(rows.column("text")):
+            for part in slices(rows.column("text"), 4 * SLICE_BYTES):
                 tokens = _tokens(part)
                 # Under the key of no feature: all tokens.
                 flat = np.append(tokens.features.ravel(), _NONE)
@@ -253,7 +261,8 @@ def _fit_curve(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 def train(training: DataFrame, sample: int = SAMPLE, most: int = LEXICON) -> Model:
     """Learn from ``doc_id``, ``text`` and ``toxic`` (0 or 1); other rows are left out."""
     rows = texts(training, "toxic").where("toxic in (0, 1) and text is not null")
-    rows = rows.withColumn("toxic", F.col("toxic").cast("int"))
+    # Read three times below, and what made it may be a join of texts.
+    rows = written(rows.withColumn("toxic", F.col("toxic").cast("int")), "labelled")
     keys, odds = lexicon(token_statistics(rows), most)
     short = rows.where(F.octet_length("text") <= SAMPLE_BYTES)
     chosen = hash_sample(short, "toxic", sample, seed=6).select("doc_id", "toxic", "text").collect()
