@@ -2,16 +2,24 @@
 
 from __future__ import annotations
 
+import gc
+from collections.abc import Iterator
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from pactline.llm.words import mix
 from pactline.session import configure, shared_folder
 
 # Texts handed to a Python worker at once; their bytes are cut further there.
 BATCH_ROWS = 1_000
 
+# Bits of a filter that goes to all tasks: 8 MB, whatever the number of keys.
+FILTER_BITS = 26
+
 ROOT = str(Path(__file__).resolve().parents[2])
 
 
@@ -39,14 +47,57 @@ def texts(docs: DataFrame, *more: str) -> DataFrame:
     )
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, release: bool = True) -> DataFrame:
     """The rows of ``df`` from a table in the shared folder, computed once.
 
-    Cuts the lineage; the copy outlives the executors that made it.
+    Cuts the lineage; the copy outlives the executors that made it. The shuffle
+    files that made it are of no more use, but Spark keeps them until the driver
+    happens to collect its garbage; ``release`` has it do so now, so an operator
+    of many steps needs the disk of its largest step and not of all.
     """
-    path = shared_folder(df.sparkSession, f"llm-{label}")
+    spark = df.sparkSession
+    path, schema = shared_folder(spark, f"llm-{label}"), df.schema
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    if release:
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(schema).parquet(path)
+
+
+def _filter_places(keys: np.ndarray) -> list[np.ndarray]:
+    """Two bits of the filter for each key."""
+    spread = mix(keys.view(np.uint64))
+    return [(x >> np.uint64(64 - FILTER_BITS)).astype(np.int64) for x in (spread, mix(spread))]
+
+
+def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        places = np.unique(np.concatenate(_filter_places(batch.column("key").to_numpy())))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(places >> 5), pa.array(np.int64(1) << (places & 31))], names=["at", "bit"]
+        )
+
+
+def bit_filter(keys: DataFrame) -> np.ndarray:
+    """The longs of ``key`` (no nulls) as a Bloom filter of fixed size.
+
+    ``2**(FILTER_BITS - 5)`` sums at most come to the driver, whatever the
+    number of keys; with very many keys the filter lets more pass, so a join
+    has to follow.
+    """
+    found = keys.mapInArrow(_bits, "at bigint, bit bigint").groupBy("at")
+    sums = found.agg(F.bit_or("bit").alias("bits")).toArrow()
+    out = np.zeros(1 << (FILTER_BITS - 5), dtype=np.uint32)
+    out[sums.column("at").to_numpy()] = sums.column("bits").to_numpy().astype(np.uint32)
+    return out
+
+
+def in_filter(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether each key may be among those of ``bit_filter``."""
+    hit = np.ones(len(keys), dtype=bool)
+    for place in _filter_places(keys):
+        hit &= (bits[place >> 5] >> (place & 31).astype(np.uint32)) & 1 == 1
+    return hit
 
 
 def remainder(modulus: int) -> F.Column:
@@ -66,7 +117,8 @@ def hash_sample(rows: DataFrame, group: str, most: int, seed: int) -> DataFrame:
         F.col(group).alias("_group"), (F.lit(float(most)) / F.col("_count")).alias("_rate")
     )
     chance = F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id")), F.lit(1 << 30)) / float(1 << 30)
-    thin = rows.join(rates, F.col(group) == F.col("_group")).where(chance < F.col("_rate"))
+    # One row per group, and whoever samples by group holds a model of each group.
+    thin = rows.join(F.broadcast(rates), F.col(group) == F.col("_group")).where(chance < F.col("_rate"))
     order = Window.partitionBy(group).orderBy(F.xxhash64(F.lit(seed), F.col("doc_id")), "doc_id")
     return (
         thin.withColumn("_nth", F.row_number().over(order))

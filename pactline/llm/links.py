@@ -49,7 +49,7 @@ def components(edges: DataFrame) -> DataFrame:
         "links",
     )
     while True:
-        after = written(_small_star(_large_star(now)), "links")
+        after = written(_small_star(_large_star(now)), "links", release=False)
         mark = F.sum(F.col("side")).alias("side")
         changed = (
             now.select("a", "b", F.lit(1).alias("side"))

@@ -9,17 +9,18 @@ occur in several documents matter, and they are never all sent:
    windows have equal minimizers, so a window can repeat only if its minimizer
    does. ``repeated_minimizers`` keeps those found in two documents.
 2. ``stretches`` sends only the stretches of repeated minimizers, with the nodes
-   they pass. A Bloom filter of fixed size thins them where the text is read;
-   a join decides. Equal stretches fold into one class.
-3. ``edges`` joins the classes' windows: each edge with its first document and
-   place there. An edge is the head of a path if its node branches, that is if
-   several edges lead into it or out of it.
-4. ``paths`` compacts: within a class the edges that follow each other without a
-   head between them and lie side by side in their source document become one
-   run, and a join gives every document its runs; runs that go on from each
-   other in the document and in the source join up.
+   they pass. A Bloom filter of fixed size thins them where the text is read.
+3. ``resolve`` looks at each minimizer. If all its stretches pass the same nodes,
+   they are one path, whose source is the first of them. The others' edges are
+   told apart: ``edges`` joins every edge with its first document and place.
+4. ``paths`` compacts: edges of a stretch that follow each other there and in
+   their source document become one run, a join gives every document its runs,
+   and runs that go on from each other in the document and in the source join
+   up. Where the graph branches, the source changes and the path ends.
 5. ``remove`` drops the covered words. Every compacted path and its place in the
    source document are both read again, and their words' digests must agree.
+   Texts that a second filter knows to have no path are finished where they are
+   read and never move.
 
 An edge is repeated for a document if its first document has a smaller id.
 
@@ -35,16 +36,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pactline.llm.common import texts, written
-from pactline.llm.words import find_words, gram_hashes, mix, signed, slices, span_hashes
+from pactline.llm.common import bit_filter, in_filter, texts, written
+from pactline.llm.words import find_words, gram_hashes, signed, slices, span_hashes
 
 WINDOW = 13
 RUN = 5
-# Bits of the filter: 8 MB, whatever the number of minimizers.
-FILTER_BITS = 26
 _LAST = 2**63 - 1
 
 
@@ -111,33 +110,7 @@ def repeated_minimizers(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     return ends.where("low < high").select("key")
 
 
-def _filter_places(keys: np.ndarray) -> list[np.ndarray]:
-    """Two bits of the filter for each key."""
-    spread = mix(keys)
-    return [
-        (x >> np.uint64(64 - FILTER_BITS)).astype(np.int64) for x in (spread, mix(spread))
-    ]
-
-
-def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        keys = batch.column("key").to_numpy().view(np.uint64)
-        places = np.unique(np.concatenate(_filter_places(keys)))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(places >> 5), pa.array(np.int64(1) << (places & 31))], names=["at", "bit"]
-        )
-
-
-def _filter(keys: DataFrame) -> np.ndarray:
-    """The keys as bits; 2**(FILTER_BITS - 5) sums at most come to the driver."""
-    rows = keys.mapInArrow(_bits, "at bigint, bit bigint").groupBy("at")
-    found = rows.agg(F.bit_or("bit").alias("bits")).toArrow()
-    out = np.zeros(1 << (FILTER_BITS - 5), dtype=np.uint32)
-    out[found.column("at").to_numpy()] = found.column("bits").to_numpy().astype(np.uint32)
-    return out
-
-
-_STRETCH = "key bigint, rank bigint, row bigint, first int, nodes binary"
+_STRETCH = "key bigint, rank bigint, row bigint, first int, size int, nodes binary"
 
 
 def _sender(window: int, shared):
@@ -149,9 +122,7 @@ def _sender(window: int, shared):
                 words = find_words(part)
                 hashes = span_hashes(part.data, words.starts, words.ends)
                 starts, sizes, row, least = _minimizers(hashes, words.rows, window)
-                hit = np.ones(len(least), dtype=bool)
-                for place in _filter_places(least):
-                    hit &= (bits[place >> 5] >> (place & 31).astype(np.uint32)) & 1 == 1
+                hit = in_filter(bits, least)
                 starts, sizes, row, least = starts[hit], sizes[hit], row[hit], least[hit]
                 if not len(starts):
                     continue
@@ -169,34 +140,79 @@ def _sender(window: int, shared):
                         pa.array(ranks[part.first + row]),
                         pa.array(rows[part.first + row]),
                         pa.array((starts - words.firsts[row]).astype(np.int32)),
+                        pa.array(sizes.astype(np.int32)),
                         packed,
                     ],
-                    names=["key", "rank", "row", "first", "nodes"],
+                    names=["key", "rank", "row", "first", "size", "nodes"],
                 )
 
     return send
 
 
 def stretches(docs: DataFrame, keys: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Every stretch of a repeated minimizer: its document, first window and nodes."""
-    shared = docs.sparkSession.sparkContext.broadcast(_filter(keys))
-    found = docs.select("text", "rank", "row").mapInArrow(_sender(window, shared), _STRETCH)
-    return found.join(keys, "key", "left_semi")
+    """Stretches of repeated minimizers (and of a few others that pass the filter).
+
+    ``key``, the document (``rank``, ``row``), its first window, their number and
+    the nodes passed.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(bit_filter(keys))
+    rows = docs.select("text", "rank", "row")
+    return rows.mapInArrow(_sender(window, shared), _STRETCH)
+
+
+def _source() -> Column:
+    return F.min(F.struct("rank", "row", "first")).alias("s")
+
+
+def resolve(found: DataFrame) -> DataFrame:
+    """Each stretch of a repeated minimizer with its source, if that is plain.
+
+    Where all stretches of a minimizer pass the same nodes, ``nodes`` is null and
+    the source is the first of them; the first itself is left out.
+    """
+    digest = F.xxhash64("nodes")
+    known = (
+        found.groupBy("key")
+        .agg(
+            (F.min(digest) == F.max(digest)).alias("alone"),
+            _source(),
+            F.max("rank").alias("high"),
+        )
+        .where("s.rank < high")
+        .select(
+            "key",
+            "alone",
+            F.col("s.rank").alias("low"),
+            F.col("s.row").alias("source"),
+            F.col("s.first").alias("source_first"),
+        )
+    )
+    rows = found.join(written(known, "minimizers"), "key")
+    plain = F.col("alone")
+    return rows.where(~plain | (F.col("low") < F.col("rank"))).select(
+        "rank",
+        "row",
+        "first",
+        "size",
+        F.when(plain, F.col("source")).alias("source"),
+        F.when(plain, F.col("source_first")).alias("source_first"),
+        F.when(~plain, F.col("key")).alias("key"),
+        F.when(~plain, F.col("nodes")).alias("nodes"),
+    )
 
 
 _EDGE = (
-    "key bigint, nodes binary, place int, left bigint, right bigint, rank bigint, row bigint, "
+    "class bigint, key bigint, place int, left bigint, right bigint, rank bigint, row bigint, "
     "at int, high bigint"
 )
 
 
 def _unpacker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        offsets = batch.column("nodes").cast(pa.large_binary())
-        offsets = np.frombuffer(offsets.buffers()[1], np.int64)[
-            offsets.offset : offsets.offset + len(offsets) + 1
-        ]
-        flat = np.frombuffer(b"".join(batch.column("nodes").to_pylist()), "<u4").astype(np.int64)
+        nodes = batch.column("nodes").cast(pa.large_binary())
+        offsets = np.frombuffer(nodes.buffers()[1], np.int64)
+        offsets = offsets[nodes.offset : nodes.offset + len(nodes) + 1]
+        flat = np.frombuffer(b"".join(nodes.to_pylist()), "<u4").astype(np.int64)
         cuts = (offsets - offsets[0]) // 4
         sizes = np.diff(cuts) - 1
         which = np.repeat(np.arange(len(sizes)), sizes)
@@ -205,8 +221,8 @@ def _unpacker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = pa.array(which)
         yield pa.RecordBatch.from_arrays(
             [
+                batch.column("class").take(rows),
                 batch.column("key").take(rows),
-                batch.column("nodes").take(rows),
                 pa.array(nth.astype(np.int32)),
                 pa.array(flat[left]),
                 pa.array(flat[left + 1]),
@@ -215,65 +231,53 @@ def _unpacker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array((batch.column("first").to_numpy()[which] + nth).astype(np.int32)),
                 batch.column("high").take(rows),
             ],
-            names=["key", "nodes", "place", "left", "right", "rank", "row", "at", "high"],
+            names=["class", "key", "place", "left", "right", "rank", "row", "at", "high"],
         )
 
 
-def edges(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The classes' windows, and the distinct edges with their source and ``head``."""
+def edges(classes: DataFrame) -> DataFrame:
+    """The classes' edges that start in a smaller document, with their ``source``."""
     windows = classes.mapInArrow(_unpacker, _EDGE)
     source = F.min(F.struct("rank", "row", "at")).alias("source")
-    found = windows.groupBy("key", "left", "right").agg(source, F.max("high").alias("high"))
-    found = written(found.where("source.rank < high"), "edges")
-    # Nodes hold 32 bits of a hash: two that meet by chance only cut a path in two.
-    many = [
-        found.groupBy(node).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(node)
-        for node in ("left", "right")
-    ]
-    branch = many[0].union(many[1]).distinct().select("left", F.lit(True).alias("head"))
-    return windows, found.join(branch, "left", "left").select(
-        "key", "left", "right", "source", F.coalesce("head", F.lit(False)).alias("head")
+    known = windows.groupBy("key", "left", "right").agg(source, F.max("high").alias("most"))
+    known = known.where("source.rank < most").drop("most")
+    found = windows.select("class", "key", "place", "left", "right", "high").join(
+        known, ["key", "left", "right"]
     )
+    return found.where("source.rank < high").select("class", "place", "source.*")
 
 
 _RUNS = "array<struct<place: int, size: int, rank: bigint, row: bigint, at: int>>"
 
 
-def paths(found: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``row``, ``first``, ``size`` (windows), ``source``, ``source_first``: repeated paths.
-
-    ``found`` are the stretches, from a written table.
-    """
-    source = F.min(F.struct("rank", "row", "first")).alias("s")
-    classes = written(
-        found.groupBy("key", "nodes")
-        .agg(source, F.max("rank").alias("high"))
-        .select("key", "nodes", "s.*", "high"),
-        "classes",
-    )
-    windows, known = edges(classes)
-    steps = windows.select("key", "nodes", "place", "left", "right").join(
-        known, ["key", "left", "right"]
-    )
-    item = F.struct(
-        "place",
-        F.col("source.rank").alias("rank"),
-        F.col("source.row").alias("row"),
-        F.col("source.at").alias("at"),
-        "head",
-    )
-    lines = steps.groupBy("key", "nodes").agg(F.sort_array(F.collect_list(item)).alias("line"))
-    runs = lines.mapInArrow(_compact, f"key bigint, nodes binary, runs {_RUNS}")
-    placed = found.join(runs, ["key", "nodes"]).select(
-        F.col("rank").alias("_rank"), "row", "first", F.explode("runs").alias("run")
-    )
-    placed = placed.where("run.rank < _rank").select(
+def _told_apart(stretch: DataFrame) -> DataFrame:
+    """Runs of the stretches whose minimizer has several contexts."""
+    stretch = stretch.withColumn("class", F.xxhash64("key", "nodes"))
+    classes = stretch.groupBy("class", "key", "nodes").agg(_source(), F.max("rank").alias("high"))
+    classes = classes.select("class", "key", "nodes", "s.*", "high")
+    item = F.struct("place", "rank", "row", "at")
+    lines = edges(classes).groupBy("class").agg(F.sort_array(F.collect_list(item)).alias("line"))
+    runs = lines.mapInArrow(_compact, f"class bigint, runs {_RUNS}")
+    placed = stretch.select("class", "rank", "row", "first").join(runs, "class")
+    placed = placed.select(F.col("rank").alias("_rank"), "row", "first", F.explode("runs").alias("run"))
+    return placed.where("run.rank < _rank").select(
         "row",
         (F.col("first") + F.col("run.place")).alias("first"),
         F.col("run.size").alias("size"),
         F.col("run.row").alias("source"),
         F.col("run.at").alias("source_first"),
     )
+
+
+def paths(resolved: DataFrame) -> DataFrame:
+    """``row``, ``first``, ``size`` (windows), ``source``, ``source_first``: repeated paths.
+
+    ``resolved`` are the stretches from ``resolve``, in a written table.
+    """
+    plain = resolved.where("nodes is null").select(
+        "row", "first", "size", "source", "source_first"
+    )
+    placed = plain.unionByName(_told_apart(resolved.where("nodes is not null")))
     line = Window.partitionBy("row", "source", F.col("source_first") - F.col("first"))
     ordered = line.orderBy("first")
     before = F.lag(F.col("first") + F.col("size")).over(ordered)
@@ -299,13 +303,13 @@ def _compact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lines = batch.column("line")
         flat = lines.flatten()
         columns = {c: flat.field(c).to_numpy(zero_copy_only=False) for c in
-                   ("place", "rank", "row", "at", "head")}
+                   ("place", "rank", "row", "at")}
         owner = np.repeat(np.arange(len(lines)), lines.value_lengths().to_numpy())
         new = np.ones(len(owner), dtype=bool)
         same = owner[1:] == owner[:-1]
         for c in ("place", "at"):
             same &= columns[c][1:] == columns[c][:-1] + 1
-        new[1:] = ~(same & (columns["row"][1:] == columns["row"][:-1])) | columns["head"][1:]
+        new[1:] = ~(same & (columns["row"][1:] == columns["row"][:-1]))
         heads = np.flatnonzero(new)
         sizes = np.diff(np.append(heads, len(owner)))
         names = ("place", "size", "rank", "row", "at")
@@ -314,11 +318,10 @@ def _compact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cuts = np.searchsorted(owner[heads], np.arange(len(lines) + 1))
         yield pa.RecordBatch.from_arrays(
             [
-                batch.column("key"),
-                batch.column("nodes"),
+                batch.column("class"),
                 pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), runs),
             ],
-            names=["key", "nodes", "runs"],
+            names=["class", "runs"],
         )
 
 
@@ -328,6 +331,36 @@ _KEPT = (
 )
 
 
+_READ = "doc_id bigint, row bigint, text string, n_words bigint, kept_sha256 string"
+
+
+def _reader(shared):
+    """Digests of texts without a path; the others keep their text."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = shared.value
+        for batch in batches:
+            hit = in_filter(bits, batch.column("row").to_numpy())
+            texts_, counts, digests = [], [], []
+            for text, later in zip(batch.column("text").to_pylist(), hit.tolist(), strict=True):
+                words = [] if later else (text or "").encode().split()
+                texts_.append((text or "") if later else None)
+                counts.append(len(words))
+                digests.append(None if later else hashlib.sha256(b" ".join(words)).hexdigest())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id"),
+                    batch.column("row"),
+                    pa.array(texts_, pa.string()),
+                    pa.array(counts, pa.int64()),
+                    pa.array(digests, pa.string()),
+                ],
+                names=["doc_id", "row", "text", "n_words", "kept_sha256"],
+            )
+
+    return read
+
+
 def _remover(window: int, with_text: bool):
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -381,6 +414,7 @@ def remove(docs: DataFrame, found: DataFrame, window: int, with_text: bool = Fal
 
     ``docs`` as ``_identified`` makes them, ``found`` from ``paths``, written.
     """
+    spark = docs.sparkSession
     path = F.xxhash64("source", "source_first", "size").alias("path")
     own = found.groupBy("row").agg(F.collect_list(F.struct("first", "size", path)).alias("own"))
     asked = found.select("source", "source_first", "size", path).distinct()
@@ -388,7 +422,19 @@ def remove(docs: DataFrame, found: DataFrame, window: int, with_text: bool = Fal
         F.collect_list(F.struct(F.col("source_first").alias("first"), "size", "path")).alias("asked")
     )
     spans = own.join(asked, "row", "full")
-    rows = docs.select("doc_id", "text", "row").join(spans, "row", "left").drop("row")
+    if with_text:
+        plain = None
+        rows = docs.select("doc_id", "text", "row")
+    else:
+        involved = F.explode(F.array("row", "source")).alias("key")
+        shared = spark.sparkContext.broadcast(bit_filter(found.select(involved)))
+        read = docs.select("doc_id", "text", "row").mapInArrow(_reader(shared), _READ)
+        read = written(read, "read")
+        plain = read.where("text is null").select(
+            "doc_id", "n_words", F.lit(0).cast("bigint").alias("n_removed"), "kept_sha256"
+        )
+        rows = read.where("text is not null").select("doc_id", "text", "row")
+    rows = rows.join(spans, "row", "left").drop("row")
     kept = written(rows.mapInArrow(_remover(window, with_text), _KEPT), "kept")
     checks = kept.select(F.explode("checks").alias("c")).groupBy("c.path")
     wrong = checks.agg(
@@ -396,15 +442,16 @@ def remove(docs: DataFrame, found: DataFrame, window: int, with_text: bool = Fal
     ).where("low <> high")
     if not wrong.isEmpty():
         raise RuntimeError("two different word sequences met in all hashes; change the seeds")
-    return kept.drop("checks") if with_text else kept.drop("checks", "kept_text")
+    kept = kept.drop("checks")
+    return kept if plain is None else kept.drop("kept_text").unionByName(plain)
 
 
 def deduplicate(docs: DataFrame, window: int = WINDOW, with_text: bool = False) -> DataFrame:
     """``doc_id``, ``n_words``, ``n_removed``, ``kept_sha256`` (and ``kept_text``) per document."""
     docs = _identified(docs)
     keys = written(repeated_minimizers(docs, window), "minimizers")
-    found = written(stretches(docs, keys, window), "stretches")
-    return remove(docs, written(paths(found, window), "paths"), window, with_text)
+    resolved = written(resolve(stretches(docs, keys, window)), "stretches")
+    return remove(docs, written(paths(resolved), "paths"), window, with_text)
 
 
 ORACLE = r"""

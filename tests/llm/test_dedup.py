@@ -194,7 +194,7 @@ def test_paths_lie_in_their_sources(llm):
     texts = [f"{sentence(rng, 20)} {shared} {sentence(rng, 9)}" for _ in range(4)]
     docs = substring_dedup._identified(docs_frame(llm, texts)).cache()
     keys = substring_dedup.repeated_minimizers(docs)
-    found = written(substring_dedup.stretches(docs, keys), "test")
+    found = written(substring_dedup.resolve(substring_dedup.stretches(docs, keys)), "test")
     rows = {r["row"]: r["text"].split() for r in docs.collect()}
     spans = substring_dedup.paths(found).collect()
     assert len(spans) == 3  # one whole passage in each later document
@@ -205,6 +205,17 @@ def test_paths_lie_in_their_sources(llm):
         assert size == 80
 
 
+def test_kept_texts_are_those_of_the_digests(llm):
+    rng = random.Random(10)
+    shared = sentence(rng, 30)
+    docs = docs_frame(llm, [f"{sentence(rng, 5)} {shared}" for _ in range(4)] + [None])
+    rows = substring_dedup.deduplicate(docs, with_text=True).collect()
+    short = substring_dedup.deduplicate(docs)
+    assert Counter(tuple(r) for r in short.collect()) == Counter(tuple(r)[:4] for r in rows)
+    for r in rows:
+        assert hashlib.sha256(r["kept_text"].encode()).hexdigest() == r["kept_sha256"]
+
+
 def test_shingle_sets_match_words():
     texts = ["a b c d e", "A B C D E", "a b", "", "a a a a a a"]
     sets = []
