@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pactline.llm.common import texts, written
+from pactline.llm.common import bit_filter, in_filter, texts, written
 from pactline.llm.links import components
 from pactline.llm.words import (
     Slice,
@@ -189,9 +189,23 @@ def _verifier(words: int, percent: int):
     return run
 
 
+def _sifter(shared):
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(in_filter(shared.value, batch.column("doc_id").to_numpy())))
+
+    return sift
+
+
 def _first_texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``node``, ``text``. A filter of fixed size keeps most other texts out of the shuffle."""
+    shared = docs.sparkSession.sparkContext.broadcast(
+        bit_filter(nodes.select(F.col("node").alias("key")))
+    )
     wanted = nodes.select(F.col("node").alias("doc_id"))
-    rows = texts(docs).join(wanted, "doc_id", "left_semi").groupBy(F.col("doc_id").alias("node"))
+    rows = texts(docs).where("doc_id is not null")
+    rows = rows.mapInArrow(_sifter(shared), "doc_id bigint, text string")
+    rows = rows.join(wanted, "doc_id", "left_semi").groupBy(F.col("doc_id").alias("node"))
     return rows.agg(F.min("text").alias("text"))
 
 
