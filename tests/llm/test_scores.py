@@ -264,6 +264,23 @@ def test_leaks_and_paraphrases(llm, monkeypatch):
     assert {r["doc_id"] for r in kept.collect()} == set(range(150)) - set(planted)
 
 
+def test_no_item_of_a_large_benchmark_is_lost(llm):
+    rng = random.Random(18)
+    vocabulary = sentence(rng, 2_000).split()
+    items = [" ".join(rng.choices(vocabulary, k=rng.choice([16, 30, 59]))) for _ in range(1_100)]
+    hosts = [rng.choices(vocabulary, k=200) for _ in range(40)]
+    texts = []
+    for item in items:
+        host = rng.choice(hosts)
+        at = rng.randrange(len(host))
+        texts.append(" ".join([*host[:at], item, *host[at:]]))
+    docs, benchmark = docs_frame(llm, texts), benchmark_frame(llm, items)
+    found = decontamination.leaks(docs, benchmark).collect()
+    assert sorted((r["doc_id"], r["item_id"]) for r in found) == [(i, 100 + i) for i in range(1_100)]
+    assert {r["lcs_share"] for r in found} == {1.0}
+    assert all(0 <= r["cosine"] < 1.001 for r in found)
+
+
 def test_leaks_of_odd_rows(llm, odd, empty):
     benchmark = benchmark_frame(llm, ["zero one two three four five six seven"])
     none = benchmark_frame(llm, ["a"]).limit(0)
