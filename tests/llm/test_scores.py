@@ -281,6 +281,29 @@ def test_no_item_of_a_large_benchmark_is_lost(llm):
     assert all(0 <= r["cosine"] < 1.001 for r in found)
 
 
+def test_short_items_are_found_whole(llm):
+    rng = random.Random(21)
+    vocabulary = list(dict.fromkeys(sentence(rng, 3_000).split()))
+    sizes = [1, 2, 5, 7, *range(8, 21)] * 3
+    words = iter(rng.sample(vocabulary, sum(sizes)))
+    items = [[next(words) for _ in range(n)] for n in sizes]
+    other = [w for w in vocabulary if w not in {x for item in items for x in item}]
+    texts = []
+    for item in items:
+        host, at = rng.choices(other, k=200), rng.randrange(200)
+        texts.append(" ".join([*host[:at], *item, *host[at:]]))
+    texts += [" ".join(item) for item in items]
+    texts += [" ".join([*item[:-1], "x", item[-1]]) for item in items if 1 < len(item) < 8]
+    benchmark = benchmark_frame(llm, [" ".join(item) for item in items])
+    found = decontamination.leaks(docs_frame(llm, texts), benchmark).collect()
+    expected = [(i, 100 + i % len(items)) for i in range(2 * len(items))]
+    assert sorted((r["doc_id"], r["item_id"]) for r in found) == expected
+    split = llm.createDataFrame([(1, " ".join(items[1])), (2, items[1][0]), (3, items[1][1])],
+                                "doc_id bigint, text string")
+    short = benchmark_frame(llm, [" ".join(items[1])])
+    assert [r["doc_id"] for r in decontamination.leaks(split, short).collect()] == [1]
+
+
 def test_leaks_of_odd_rows(llm, odd, empty):
     benchmark = benchmark_frame(llm, ["zero one two three four five six seven"])
     none = benchmark_frame(llm, ["a"]).limit(0)
