@@ -304,6 +304,25 @@ def test_short_items_are_found_whole(llm):
     assert [r["doc_id"] for r in decontamination.leaks(split, short).collect()] == [1]
 
 
+def test_a_changed_or_missing_answer_hides_no_copy(llm):
+    rng = random.Random(22)
+    vocabulary = sentence(rng, 2_000).split()
+    items, texts = [], []
+    for i in range(12):
+        body, end = rng.choices(vocabulary, k=24), [f"end{i}", "b", "c", "d", "e", "f"][: 1 + i % 6]
+        items.append(f"{' '.join(body)}. {' '.join(end)}.")
+        kept = body + [[], ["other"] * len(end)][i // 6]
+        texts.append(" ".join(rng.choices(vocabulary, k=90) + kept + rng.choices(vocabulary, k=90)))
+    body = rng.choices(vocabulary, k=22)
+    items.append(" ".join(body) + ". one two three four five six.")
+    holes = ["x" if k == 11 else w for k, w in enumerate(body)]
+    texts.append(" ".join(holes + ["another", "answer", "here"]))  # 21 of 28, not in one run
+    texts.append(" ".join(holes + ["one", "two", "three"]))
+    found = decontamination.leaks(docs_frame(llm, texts), benchmark_frame(llm, items)).collect()
+    expected = [(i, 100 + i) for i in range(12)] + [(13, 112)]
+    assert sorted((r["doc_id"], r["item_id"]) for r in found) == expected
+
+
 def test_leaks_of_odd_rows(llm, odd, empty):
     benchmark = benchmark_frame(llm, ["zero one two three four five six seven"])
     none = benchmark_frame(llm, ["a"]).limit(0)
