@@ -96,6 +96,22 @@ def test_repeated_documents_stay_once(llm, corpus):
     assert sorted((r["doc_id"] is None, r["text"]) for r in found) == [(False, "a b c"), (True, "x")]
 
 
+def test_other_texts_of_a_repeated_id_stay(llm, corpus):
+    folder, _ = corpus
+    rng = random.Random(14)
+    a, b, c, d = (sentence(rng, 40) for _ in range(4))
+    rows = [
+        (1, a, "en", "s", 5), (1, b, "en", "s", 5), (1, b, "en", "s", 5), (1, None, "en", "s", 0),
+        (2, c, "en", "t", 5), (2, f"{a} more", "en", "t", 5), (3, f"{c} more", None, None, None),
+        (-4, d, "en", "t", 5), (-4, d, "en", "s", 5), (5, d, "en", "s", 5),
+    ]
+    docs = llm.createDataFrame(rows, SCHEMA)
+    found = corpus_pipeline.drop_near_duplicates(llm, docs, folder)
+    assert found.columns == list(corpus_pipeline.COLUMNS)
+    expected = [rows[0], rows[1], rows[3], rows[4], rows[8]]
+    assert sorted(map(str, map(tuple, found.collect()))) == sorted(map(str, expected))
+
+
 def test_queries_register_with_the_package():
     import __spark_entry__ as entry
 
