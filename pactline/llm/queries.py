@@ -12,6 +12,7 @@ from pactline.llm import (
     lm_scores,
     mixing,
     near_dedup,
+    packing,
     substring_dedup,
     token_counts,
     token_files,
@@ -103,6 +104,11 @@ def op10_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.suffix_sums(written(found, "lengths"))
 
 
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer())
+
+
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_near_duplicates": op2_near_duplicates,
@@ -114,6 +120,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_language": op9_language,
     "op10_length_histogram": op10_length_histogram,
+    "op13_packing": op13_packing,
 }
 ORACLE = {
     "op2_near_duplicates": near_dedup.ORACLE,
