@@ -18,8 +18,8 @@ import numpy as np
 
 from pactline.llm.words import SPACE, Slice, span_hashes
 
-# Chunks a worker remembers; it starts anew beyond that.
-REMEMBERED = 2_000_000
+# Bytes of chunks' hashes and ids a worker remembers; it starts anew beyond that.
+REMEMBERED = 24 << 20
 # White space that is not ASCII's six, as Unicode has it.
 _WIDE_SPACE = re.compile(
     "[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
@@ -36,6 +36,14 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
+def wide_spaced(part: Slice) -> list[int]:
+    """Rows of a slice with white space outside ASCII."""
+    found = np.flatnonzero(_NOT_PLAIN[part.data])
+    rows = np.unique(np.searchsorted(part.offsets, found, side="right") - 1).tolist()
+    texts = (part.data[part.offsets[r] : part.offsets[r + 1]].tobytes().decode() for r in rows)
+    return [r for r, text in zip(rows, texts, strict=True) if _WIDE_SPACE.search(text)]
+
+
 class Encoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -60,8 +68,12 @@ class Encoder:
         flat = np.fromiter(chain.from_iterable(found), np.uint32, int(counts.sum()))
         return counts, flat
 
+    @property
+    def nbytes(self) -> int:
+        return sum(x.nbytes for x in (self.keys, self.proofs, self.places, self.begins, self.ids))
+
     def _learn(self, keys: np.ndarray, proofs: np.ndarray, texts: list[str]) -> None:
-        if len(self.keys) + len(keys) > REMEMBERED:
+        if self.nbytes > REMEMBERED:
             self._forget()
         counts, flat = self._encode(texts)
         if self.ids.dtype == np.uint16 and len(flat) and flat.max() >= 1 << 16:
@@ -96,11 +108,7 @@ class Encoder:
         keys = span_hashes(data, starts, ends)
         proofs = span_hashes(data, starts, ends, lane=1)
         whole = np.zeros(rows, dtype=bool)
-        for r in np.unique(
-            np.searchsorted(part.offsets, np.flatnonzero(_NOT_PLAIN[data]), side="right") - 1
-        ):
-            text = data[part.offsets[r] : part.offsets[r + 1]].tobytes().decode()
-            whole[r] = _WIDE_SPACE.search(text) is not None
+        whole[wide_spaced(part)] = True
 
         distinct, sample, which = np.unique(keys, return_index=True, return_inverse=True)
         _, known = self._find(distinct)

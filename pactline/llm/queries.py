@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pactline.llm import (
+    alignment,
     decontamination,
     exact_dedup,
     language,
@@ -104,6 +105,13 @@ def op10_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.suffix_sums(written(found, "lengths"))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return alignment.align_documents(
+        table(spark, sf_dir, "documents"), tokenizer(), tokenizer("piece_bpe_32k.model")
+    )
+
+
 def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer())
@@ -120,6 +128,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_language": op9_language,
     "op10_length_histogram": op10_length_histogram,
+    "op12_alignment": op12_alignment,
     "op13_packing": op13_packing,
 }
 ORACLE = {

@@ -26,6 +26,8 @@ _FOLDED = _BYTE.copy()
 _FOLDED[:, 65:91] = _FOLDED[:, 97:123]
 _BASE = [int(x) | 1 for x in _rng.integers(2**62, 2**63, size=_LANES, dtype=np.uint64)]
 _GRAM = _rng.integers(2**62, 2**63, size=(_LANES, 64), dtype=np.uint64) | np.uint64(1)
+# Places whose powers are kept.
+_BLOCK = 1 << 16
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -112,32 +114,50 @@ def mix(values: np.ndarray) -> np.ndarray:
     return x
 
 
-def _power(lane: int, length: int) -> tuple[np.ndarray, np.ndarray]:
-    have = _powers.get(lane)
-    if have is None or len(have[0]) < length:
-        size = max(length, SLICE_BYTES + 1)
-        steps = np.full((2, size), 1, dtype=np.uint64)
+def _power(lane: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``_BLOCK`` powers of a lane's base and of its inverse."""
+    if lane not in _powers:
+        steps = np.ones((2, _BLOCK), dtype=np.uint64)
         steps[0, 1:] = _BASE[lane]
         steps[1, 1:] = pow(_BASE[lane], -1, 2**64)
-        have = tuple(np.multiply.accumulate(row) for row in steps)
-        if size <= 4 * SLICE_BYTES:
-            _powers[lane] = have
-    return have
+        _powers[lane] = tuple(np.multiply.accumulate(row) for row in steps)
+    return _powers[lane]
+
+
+def _block_powers(base: int, size: int) -> np.ndarray:
+    """Powers of ``base`` at the first place of every block of ``size`` places."""
+    steps = np.full(size // _BLOCK + 1, pow(base, _BLOCK, 2**64), dtype=np.uint64)
+    steps[0] = 1
+    return np.multiply.accumulate(steps)
 
 
 class SpanHasher:
-    """64-bit hashes of spans of bytes; ``fold`` lower-cases A-Z first."""
+    """64-bit hashes of spans of bytes; ``fold`` lower-cases A-Z first.
+
+    Powers are kept for one block of places and put together from two levels, so
+    a worker keeps 2 MB of them however long its texts are.
+    """
 
     def __init__(self, data: np.ndarray, fold: bool = False, lane: int = 0):
-        up, self._down = _power(lane, len(data) + 1)
+        up, self._down = _power(lane)
+        self._far = _block_powers(pow(_BASE[lane], -1, 2**64), len(data))
+        letters = (_FOLDED if fold else _BYTE)[lane]
         self._sums = np.zeros(len(data) + 1, dtype=np.uint64)
-        letters = (_FOLDED if fold else _BYTE)[lane][data]
-        letters *= up[: len(data)]
-        np.cumsum(letters, out=self._sums[1:])
+        for nth, far in enumerate(_block_powers(_BASE[lane], len(data))):
+            first = nth * _BLOCK
+            block = letters[data[first : first + _BLOCK]]
+            block *= up[: len(block)]
+            block *= far
+            sums = self._sums[first + 1 : first + 1 + len(block)]
+            np.cumsum(block, out=sums)
+            sums += self._sums[first]
 
     def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        value = (self._sums[ends] - self._sums[starts]) * self._down[starts]
-        return mix(value + (ends - starts).astype(np.uint64))
+        value = self._sums[ends] - self._sums[starts]
+        value *= self._down[starts % _BLOCK]
+        value *= self._far[starts // _BLOCK]
+        value += (ends - starts).astype(np.uint64)
+        return mix(value)
 
 
 def span_hashes(
