@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pactline.llm import (
     alignment,
+    conversations,
     decontamination,
     exact_dedup,
     language,
@@ -105,6 +106,11 @@ def op10_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.suffix_sums(written(found, "lengths"))
 
 
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return conversations.audited(table(spark, sf_dir, "conversations"))
+
+
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return alignment.align_documents(
@@ -128,6 +134,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_language": op9_language,
     "op10_length_histogram": op10_length_histogram,
+    "op11_conversations": op11_conversations,
     "op12_alignment": op12_alignment,
     "op13_packing": op13_packing,
 }
