@@ -446,3 +446,114 @@ def audited(conversations: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFra
         ids["conv_id"],
         *(F.coalesce(found[c], F.lit(nothing.get(c, 0))).alias(c) for c in found.columns[1:]),
     )
+
+
+def _more(path, cost, edit):
+    """A path (nine digits of cost, then edits) and one more edit."""
+    total = f"format('{{:09d}}', CAST(substr({path}, 1, 9) AS INT) + {cost})"
+    return f"({total} || substr({path}, 10) || '{edit}')"
+
+
+def _oracle() -> str:
+    """The result of ``audited`` in SQL: one recursive step per row, one path per state."""
+    free = "fault IS DISTINCT FROM 'blank' AND fault IS DISTINCT FROM 'duplicate'"
+    late = "CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END"
+
+    def may(initial, *paths):
+        ways = [
+            f"CASE WHEN {free} AND initial = '{initial}' THEN {_more(p, late, 'K')} END"
+            for p in paths
+        ]
+        if initial != "s":
+            ways += [
+                f"CASE WHEN {free} THEN {_more(p, f'1 + {late}', 'R')} END" for p in paths
+            ]
+        return ", ".join(ways)
+
+    return f"""
+WITH RECURSIVE bits(i, c, n) AS (
+  SELECT range, range, 0 FROM range(256)
+  UNION ALL
+  SELECT i, CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, n + 1
+  FROM bits WHERE n < 8
+), crc AS (SELECT list(c ORDER BY i) AS t FROM bits WHERE n = 8
+), kinds AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+      string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''),
+      lambda x: ascii(x)::BIGINT)),
+      lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1])), 4294967295) % 20 AS kind
+  FROM conversations, crc
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+    unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS time
+  FROM kinds
+), numbered AS (
+  SELECT *, substr(role, 1, 1) AS initial,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS n,
+    rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS solid
+  FROM damaged
+), faulty AS (
+  SELECT *, CASE WHEN solid = '' THEN 'blank'
+      WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 THEN 'duplicate'
+      WHEN right(solid, 1) NOT IN ('.', '!', '?') THEN 'truncated' END AS fault,
+    lag(initial) OVER (PARTITION BY conv_id ORDER BY n) AS before
+  FROM numbered
+), walk(conv_id, n, s0, s1, s2, s3) AS (
+  SELECT DISTINCT conv_id, 0::BIGINT, '000000000', NULL::VARCHAR, NULL::VARCHAR, NULL::VARCHAR
+  FROM faulty
+  UNION ALL
+  SELECT conv_id, n, {_more('p0', 2, 'D')},
+    least({_more('p1', 2, 'D')}, {may('s', 'p0')}),
+    least({_more('p2', 2, 'D')}, {may('u', 'p0', 'p1', 'p3')}),
+    least({_more('p3', 2, 'D')}, {may('a', 'p2')})
+  FROM (
+    SELECT f.conv_id, f.n, f.initial, f.fault, s0 AS p0, s1 AS p1,
+      least(s2, {_more('s0', 5, 'I')}, {_more('s1', 5, 'I')}, {_more('s3', 5, 'I')}) AS p2,
+      least(s3, {_more('s2', 5, 'I')}, {_more('s0', 10, 'II')}, {_more('s1', 10, 'II')}) AS p3
+    FROM walk w JOIN faulty f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.n = w.n + 1
+  )
+), ends AS (
+  SELECT conv_id, n, least(s0, s3, {_more('s2', 5, 'I')}, {_more('s1', 10, 'II')}) AS path
+  FROM walk QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY n DESC) = 1
+), edits AS (
+  SELECT conv_id, unnest(string_split(substr(path, 10), '')) AS edit,
+    generate_subscripts(string_split(substr(path, 10), ''), 1) AS i
+  FROM ends
+), placed AS (
+  SELECT *, sum(CASE WHEN edit = 'I' THEN 0 ELSE 1 END) OVER w AS n,
+    sum(CASE WHEN edit = 'D' THEN 0 ELSE 1 END) OVER w AS place
+  FROM edits WINDOW w AS (PARTITION BY conv_id ORDER BY i)
+), made AS (
+  SELECT p.conv_id, p.i, p.edit, p.place, f.role,
+    CASE WHEN edit = 'I' THEN '' ELSE f.text END AS text,
+    max(CASE WHEN edit = 'K' AND initial = 's' THEN 1 ELSE 0 END)
+      OVER (PARTITION BY p.conv_id) AS lead
+  FROM placed p LEFT JOIN faulty f
+    ON f.conv_id IS NOT DISTINCT FROM p.conv_id AND f.n = p.n
+  WHERE p.edit <> 'D'
+), repaired AS (
+  SELECT conv_id, string_agg(CASE WHEN edit = 'K' THEN role
+      WHEN (place - lead) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text,
+    chr(10) ORDER BY i) AS text
+  FROM made GROUP BY conv_id
+), facts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM faulty GROUP BY conv_id
+)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank,
+  coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, coalesce(CAST(substr(path, 1, 9) AS BIGINT), 0) AS cost,
+  coalesce(substr(path, 10), '') AS audit, sha256(coalesce(r.text, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN facts f ON f.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN repaired r ON r.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
+
+ORACLE = _oracle()

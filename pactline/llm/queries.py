@@ -143,4 +143,5 @@ ORACLE = {
     "op3_substring_dedup": substring_dedup.ORACLE,
     "op5_stream_dedup": exact_dedup.ORACLE,
     "op7_mix_sources": mixing.ORACLE,
+    "op11_conversations": conversations.ORACLE,
 }

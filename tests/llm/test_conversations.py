@@ -4,6 +4,8 @@ import re
 import zlib
 from functools import lru_cache
 
+import duckdb
+import pyarrow as pa
 import pytest
 
 from pactline.llm import conversations, survivors
@@ -135,6 +137,16 @@ def test_long_conversation_in_blocks(llm):
     assert run(frame) == want
 
 
+def test_sql_equals_brute_force():
+    rows = [*made_rows(random.Random(6), 80), *((None, n, "user", f"no id {n}.") for n in range(6))]
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string()]
+    columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
+    duck = duckdb.connect()
+    duck.register("conversations", pa.table(columns, ["conv_id", "turn", "role", "text"]))
+    found = sorted(duck.sql(conversations.ORACLE).fetchall(), key=str)
+    assert found == expect_all(rows)
+
+
 def turns_of(rng, n):
     return tuple(
         (rng.choice("suuaax"), rng.choice([None, None, None, "truncated", "blank", "duplicate"]))
