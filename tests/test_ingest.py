@@ -2,7 +2,7 @@ import json
 from datetime import datetime, timedelta
 
 import pytest
-from conftest import call, drifted, reading, rows
+from feed_records import call, drifted, reading, rows
 from pyspark.sql import functions as F
 
 import pactline as p

@@ -1,7 +1,7 @@
 import json
 
 import pytest
-from conftest import call, drifted, reading, rows
+from feed_records import call, drifted, reading, rows
 
 import pactline as p
 from pactline import Contract, Field, Rule

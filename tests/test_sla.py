@@ -2,7 +2,7 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
-from conftest import rows
+from feed_records import rows
 from pyspark.sql import functions as F
 
 import pactline as p
