@@ -63,7 +63,7 @@ from pactline.sources.lines import read_jsonl, read_lines, require_valid, scan_c
 from pactline.streaming.bronze import bronze_stream
 from pactline.streaming.contract_split import contract_stream
 from pactline.streaming.dedupe import dedupe_stream
-from pactline.streaming.late import late_rows
-from pactline.streaming.sla import sla_stream
+from pactline.streaming.late import late_rows, late_side, on_time_side, split_late, split_log
+from pactline.streaming.sla import closed_window_times, sla_stream
 
 __all__ = [name for name, value in list(globals().items()) if getattr(value, "__module__", "").startswith("pactline.")]

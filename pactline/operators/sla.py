@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime, timedelta
-from math import floor, log2
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +11,7 @@ from pyspark.sql import types as T
 
 from pactline.functions.clock import from_micros, micros, to_micros
 from pactline.operators.ranks import with_ranks
+from pactline.operators.sweep import sweep
 from pactline.session import BROADCAST_ROWS, broadcast_if
 
 # Default SLA limit, reported percentiles, default window.
@@ -171,7 +171,7 @@ def tumbling_metrics(
             "_seconds": F.lit(max(step / 1e6, 1.0)),
         }
     )
-    return _window_row(metrics)
+    return window_rows(metrics)
 
 
 def window_metrics(
@@ -185,7 +185,8 @@ def window_metrics(
     """All metrics for each listed window, both ends included.
 
     Windows may overlap and differ in length. A window without events has 0
-    everywhere, its batches included.
+    everywhere, its batches included. An event is counted once, whatever the
+    number of windows it is in (see ``sweep``).
     """
     spark, dtype = events.sparkSession, events.schema[event_ts].dataType
     listed = spark.createDataFrame(list(windows), T.StructType(
@@ -196,21 +197,26 @@ def window_metrics(
             "_to": micros(F.col("window_end"), dtype),
         }
     )
-    lengths = [max(to_micros(end - start), 1) for start, end in windows]
-    # Three cells per window at most, all of them numbers.
-    few = 3 * len(lengths) <= BROADCAST_ROWS
-    cells = broadcast_if(few, _cells(listed, lengths))
-    sizes = sorted({_cell_size(n) for n in lengths})
-    hits = _in_windows(events.select("lag_us", event_ts), event_ts, cells, sizes)
-    started = _in_windows(batches.select(batch_start), batch_start, cells, sizes)
-    counted = started.groupBy("_from", "_to").agg(F.count(F.lit(1)).alias("total_batches"))
-    metrics = (
-        listed.join(broadcast_if(few, lag_summary(hits, ["_from", "_to"], sla_ms)),
-                    ["_from", "_to"], "left")
-        .join(broadcast_if(few, counted), ["_from", "_to"], "left")
-        .withColumn("_seconds", F.greatest((F.col("_to") - F.col("_from")) / 1e6, F.lit(1.0)))
+    spans = sorted({(r["_from"], r["_to"]) for r in listed.select("_from", "_to").collect()})
+    lags = events.where("lag_us is not null").select(
+        micros(F.col(event_ts), dtype).alias("_at"), "lag_us"
     )
-    return _window_row(metrics)
+    began = micros(F.col(batch_start), batches.schema[batch_start].dataType)
+    found = sweep(lags, batches.select(began.alias("_at")), spans, PERCENTILES, sla_ms)
+    few = len(spans) <= BROADCAST_ROWS
+    metrics = listed.join(broadcast_if(few, found), ["_from", "_to"], "left").select(
+        "window_start",
+        "window_end",
+        "total_events",
+        "total_batches",
+        (F.col("lag_sum") / F.col("total_events") / 1000.0).alias("avg_lag_ms"),
+        _ms(F.col("lag_max")).alias("max_lag_ms"),
+        *(_ms(F.col(p)).alias(f"{p}_lag_ms") for p in PERCENTILES),
+        "sla_violations",
+        _share("sla_violations", "total_events").alias("sla_violation_rate"),
+        F.greatest((F.col("_to") - F.col("_from")) / 1e6, F.lit(1.0)).alias("_seconds"),
+    )
+    return window_rows(metrics)
 
 
 def run_summary(log: DataFrame) -> DataFrame:
@@ -239,42 +245,7 @@ def closed_starts(df: DataFrame, ts: str, step: int) -> Column:
     return F.when(at == start, F.array(start, start - step)).otherwise(F.array(start))
 
 
-def _cell_size(length: int) -> int:
-    """The power of two at or below a window length, in microseconds."""
-    return 2 ** floor(log2(length))
-
-
-def _cells(listed: DataFrame, lengths: list[int]) -> DataFrame:
-    """Each window as the two or three time cells it touches.
-
-    A window is cut into cells about as long as itself, so events meet their
-    windows by equality on a cell and not by comparing every pair.
-    """
-    size = F.lit(None).cast("bigint")
-    length = F.greatest(F.col("_to") - F.col("_from"), F.lit(1))
-    for s in sorted({_cell_size(n) for n in lengths}):
-        size = F.when(length >= s, F.lit(s)).otherwise(size)
-    first, last = (F.floor(F.col(c) / F.col("_size")) for c in ("_from", "_to"))
-    return (
-        listed.select("_from", "_to")
-        .distinct()
-        .withColumn("_size", size)
-        .select("_from", "_to", "_size", F.explode(F.sequence(first, last)).alias("_cell"))
-    )
-
-
-def _in_windows(df: DataFrame, ts: str, cells: DataFrame, sizes: list[int]) -> DataFrame:
-    """Every (row, window) pair with the row's time inside the closed window."""
-    dated = df.withColumn("_at", micros(F.col(ts), df.schema[ts].dataType)).drop(ts)
-    placed = dated.withColumn("_size", F.explode(F.array(*(F.lit(s) for s in sizes)))).withColumn(
-        "_cell", F.floor(F.col("_at") / F.col("_size"))
-    )
-    return placed.join(cells, ["_size", "_cell"]).where(
-        "_at between _from and _to"
-    )
-
-
-def _window_row(metrics: DataFrame) -> DataFrame:
+def window_rows(metrics: DataFrame) -> DataFrame:
     events = F.coalesce("total_events", F.lit(0))
     batches = F.when(events > 0, F.coalesce("total_batches", F.lit(0))).otherwise(F.lit(0))
     numbers = ("avg_lag_ms", "max_lag_ms", "p50_lag_ms", "p99_lag_ms")

@@ -19,6 +19,14 @@ WINDOWS = [
     (datetime(2024, 1, 1), datetime(2024, 2, 1)),
     (datetime(2025, 1, 1), datetime(2025, 1, 2)),
 ]
+# Ten thousand windows over one day, each overlapping thousands of others.
+MANY = [
+    (
+        datetime(2024, 1, 3) + timedelta(seconds=n * 7919 % 43_200),
+        datetime(2024, 1, 3) + timedelta(seconds=n * 7919 % 43_200 + n * 104_729 % 43_200),
+    )
+    for n in range(10_000)
+]
 EDGES_MS = [0, 100, 1000, 2500, 5000, 9000]
 DAY_MS = 86_400_000.0
 
@@ -59,6 +67,11 @@ def sla_window_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.window_metrics(lagged(spark, sf_dir), event_batches(spark, sf_dir), WINDOWS)
 
 
+def sla_overlapping_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows that overlap by the thousand; an event is counted once for all of them."""
+    return p.window_metrics(lagged(spark, sf_dir), event_batches(spark, sf_dir), MANY)
+
+
 def sla_tumbling_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.tumbling_metrics(lagged(spark, sf_dir), event_batches(spark, sf_dir))
 
@@ -112,6 +125,7 @@ QUERIES = {
     "lag_percentiles": lag_percentiles,
     "lag_summary": lag_summary,
     "sla_window_metrics": sla_window_metrics,
+    "sla_overlapping_windows": sla_overlapping_windows,
     "sla_tumbling_metrics": sla_tumbling_metrics,
     "sla_reported_metrics": sla_reported_metrics,
     "latency_histogram": latency_histogram,
@@ -161,6 +175,30 @@ metrics as (select make_timestamp(s) as window_start, make_timestamp(s + {us}) a
   from summary left join begun using (s))"""
 
 
+def _listed(windows: str) -> str:
+    """Metrics of the windows that a query lists."""
+    return f"""with {TIMED_SQL},
+windows(window_start, window_end) as ({windows}),
+hits as (select window_start, window_end, lag_us from windows join timed
+  on event_timestamp between window_start and window_end),
+{_summary("window_start, window_end", 5000000, "hits")},
+begun as (select window_start, window_end, count(*) as total_batches from windows join batches
+  on batch_start between window_start and window_end group by all),
+timed_windows as (select *, greatest(epoch_us(window_end) - epoch_us(window_start), 1000000)
+  / 1000000 as seconds from windows)
+select window_start, window_end, coalesce(total_events, 0) as total_events,
+  case when total_events > 0 then coalesce(total_batches, 0) else 0 end as total_batches,
+  coalesce(avg_lag_ms, 0) as avg_lag_ms, coalesce(max_lag_ms, 0) as max_lag_ms,
+  coalesce(p50_lag_ms, 0) as p50_lag_ms, coalesce(p99_lag_ms, 0) as p99_lag_ms,
+  coalesce(total_events, 0) / seconds as throughput_events_per_sec,
+  case when total_events > 0 then coalesce(total_batches, 0) else 0 end / seconds
+    as throughput_batches_per_sec,
+  coalesce(sla_violations, 0) as sla_violations,
+  coalesce(sla_violation_rate, 0) as sla_violation_rate
+from timed_windows left join summary using (window_start, window_end)
+  left join begun using (window_start, window_end)"""
+
+
 _WINDOW_ROWS = ", ".join(f"(timestamp '{a}', timestamp '{b}')" for a, b in WINDOWS)
 _EDGE_ROWS = ", ".join(
     f"({'null' if a is None else a}, {'null' if b is None else b})"
@@ -182,26 +220,12 @@ from timed group by event_type""",
 select event_type, total_events, p50_lag_ms, p99_lag_ms from summary""",
     "lag_summary": f"""with {TIMED_SQL}, {_summary("", 5000000, "timed")}
 select * from summary""",
-    "sla_window_metrics": f"""with {TIMED_SQL},
-windows(window_start, window_end) as (values {_WINDOW_ROWS}),
-hits as (select window_start, window_end, lag_us from windows join timed
-  on event_timestamp between window_start and window_end),
-{_summary("window_start, window_end", 5000000, "hits")},
-begun as (select window_start, window_end, count(*) as total_batches from windows join batches
-  on batch_start between window_start and window_end group by all),
-timed_windows as (select *, greatest(epoch_us(window_end) - epoch_us(window_start), 1000000)
-  / 1000000 as seconds from windows)
-select window_start, window_end, coalesce(total_events, 0) as total_events,
-  case when total_events > 0 then coalesce(total_batches, 0) else 0 end as total_batches,
-  coalesce(avg_lag_ms, 0) as avg_lag_ms, coalesce(max_lag_ms, 0) as max_lag_ms,
-  coalesce(p50_lag_ms, 0) as p50_lag_ms, coalesce(p99_lag_ms, 0) as p99_lag_ms,
-  coalesce(total_events, 0) / seconds as throughput_events_per_sec,
-  case when total_events > 0 then coalesce(total_batches, 0) else 0 end / seconds
-    as throughput_batches_per_sec,
-  coalesce(sla_violations, 0) as sla_violations,
-  coalesce(sla_violation_rate, 0) as sla_violation_rate
-from timed_windows left join summary using (window_start, window_end)
-  left join begun using (window_start, window_end)""",
+    "sla_window_metrics": _listed(f"values {_WINDOW_ROWS}"),
+    "sla_overlapping_windows": _listed(
+        """select timestamp '2024-01-03' + (n * 7919 % 43200) * interval 1 second,
+  timestamp '2024-01-03' + (n * 7919 % 43200 + n * 104729 % 43200) * interval 1 second
+  from range(10000) t(n)"""
+    ),
     "sla_tumbling_metrics": f"with {TIMED_SQL}, {_tumbling(5, 5000000)} select * from metrics",
     "sla_reported_metrics": f"""with {TIMED_SQL}, {_tumbling(10, 2000000)}
 select window_start, total_events, round_even(p50_lag_ms, 2) as p50_lag_ms,

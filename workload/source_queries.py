@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 import pactline as p
 from pactline.sources import envelope
 from workload.feeds import (
+    BOUNDARY_TS,
+    DELAY_MS,
     LINES_SQL,
     MIXED_LINE,
     OPS,
     TIMED_SQL,
     WEB,
     dirty_lines,
+    event_batches,
     mixed_lines,
     table,
 )
@@ -149,6 +152,62 @@ def stream_sla_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.withColumns(times).drop("batch_id")
 
 
+def stream_window_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics per hour from two streams, events and ingest batches, with batches per second."""
+    folder = p.shared_folder(spark, "sla")
+    events = _event_stream(spark, sf_dir).select(
+        F.expr(f"cast({BOUNDARY_TS} as timestamp)").alias("event_timestamp"),
+        F.expr(f"({DELAY_MS}) * 1000").alias("lag_us"),
+    )
+    started = event_batches(spark, sf_dir).select(
+        F.col("batch_start").cast("timestamp").alias("batch_start")
+    )
+    started.write.parquet(f"{folder}/batches")
+    batches = spark.readStream.schema(started.schema).parquet(f"{folder}/batches")
+    p.sla_stream(events, folder, width=timedelta(hours=1), batches=batches).awaitTermination()
+    metrics = spark.read.parquet(f"{folder}/metrics")
+    times = {c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")}
+    return metrics.withColumns(times).drop("batch_id")
+
+
+MICRO_BATCHES = 104
+
+
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events per hour that a stream of 104 micro-batches emits, holds or keeps as late.
+
+    Files come roughly in order of time, so some rows of each are behind the
+    watermark of the files before. Which rows those are depends on the order of
+    the files; that none is lost does not.
+    """
+    folder = p.shared_folder(spark, "late")
+    events = table(spark, sf_dir, "events").select(
+        "event_id",
+        F.expr(f"cast({BOUNDARY_TS} as timestamp)").alias("event_timestamp"),
+        F.expr(f"({DELAY_MS}) * 1000").alias("lag_us"),
+    )
+    events.repartitionByRange(MICRO_BATCHES, "event_timestamp", "event_id").write.parquet(
+        f"{folder}/events"
+    )
+    hour = timedelta(hours=1)
+    source = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
+    stream = source.parquet(f"{folder}/events")
+    p.sla_stream(stream, folder, width=hour, keep_late=True).awaitTermination()
+    timed = p.closed_window_times(stream, "event_timestamp", hour)
+    hour = [F.col("window_end").cast("timestamp_ntz").alias("window_end")]
+    late = p.late_side(spark, timed, folder).groupBy(*hour).agg(F.count(F.lit(1)).alias("late"))
+    held = p.on_time_side(spark, timed, folder).groupBy(*hour).agg(F.count(F.lit(1)).alias("held"))
+    emitted = spark.read.parquet(f"{folder}/metrics").select(*hour, "total_events")
+    found = late.join(held, "window_end", "full").join(emitted, "window_end", "full")
+    batches = p.split_log(spark, folder).agg(F.count(F.lit(1)).alias("batches"))
+    zero = F.lit(0)
+    return found.crossJoin(F.broadcast(batches)).select(  # one row
+        "window_end",
+        (F.coalesce("total_events", "held", zero) + F.coalesce("late", zero)).alias("events"),
+        (F.col("batches") > 100).alias("many_batches"),
+    )
+
+
 def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every 40th event is delivered twice."""
     folder = p.shared_folder(spark, "dedupe")
@@ -174,6 +233,8 @@ QUERIES = {
     "stream_ingest_log": stream_ingest_log,
     "stream_contract_split": stream_contract_split,
     "stream_sla_windows": stream_sla_windows,
+    "stream_window_batches": stream_window_batches,
+    "stream_late_rows": stream_late_rows,
     "stream_dedupe": stream_dedupe,
 }
 
@@ -242,5 +303,31 @@ select window_start, window_start + interval 1 hour as window_end, total_events,
   total_events / 3600 as throughput_events_per_sec
 from summary where window_start + interval 1 hour
   <= (select max(event_timestamp) from timed) - interval 10 minutes""",
+    "stream_window_batches": f"""with {TIMED_SQL}, starts as (
+  select lag_us, time_bucket(interval 1 hour, event_timestamp) as s from timed
+  union all
+  select lag_us, event_timestamp - interval 1 hour from timed
+  where event_timestamp = time_bucket(interval 1 hour, event_timestamp)),
+{_summary("s", 5000000, "starts")},
+begun as (select s, count(*) as total_batches from (
+    select time_bucket(interval 1 hour, batch_start) as s from batches
+    union all
+    select batch_start - interval 1 hour from batches
+    where batch_start = time_bucket(interval 1 hour, batch_start))
+  group by s)
+select s as window_start, s + interval 1 hour as window_end, total_events,
+  coalesce(total_batches, 0) as total_batches, avg_lag_ms, max_lag_ms, p50_lag_ms, p99_lag_ms,
+  total_events / 3600 as throughput_events_per_sec,
+  coalesce(total_batches, 0) / 3600 as throughput_batches_per_sec,
+  sla_violations, sla_violation_rate
+from summary left join begun using (s)
+where s + interval 1 hour <= least((select max(event_timestamp) from timed),
+  (select max(batch_start) from batches)) - interval 10 minutes""",
+    "stream_late_rows": f"""with {TIMED_SQL}, ends as (
+  select time_bucket(interval 1 hour, event_timestamp) + interval 1 hour as window_end from timed
+  union all
+  select event_timestamp from timed
+  where event_timestamp = time_bucket(interval 1 hour, event_timestamp))
+select window_end, count(*) as events, true as many_batches from ends group by all""",
     "stream_dedupe": "select event_id, event_type from events",
 }
