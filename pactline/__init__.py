@@ -62,7 +62,8 @@ from pactline.sources.inferred import infer_schema, read_with_schema
 from pactline.sources.lines import read_jsonl, read_lines, require_valid, scan_counts
 from pactline.streaming.bronze import bronze_stream
 from pactline.streaming.contract_split import contract_stream
-from pactline.streaming.dedupe import dedupe_stream
+from pactline.streaming.contract_watch import contract_watch
+from pactline.streaming.dedupe import dedupe_all, dedupe_stream
 from pactline.streaming.late import late_rows, late_side, on_time_side, split_late, split_log
 from pactline.streaming.sla import closed_window_times, sla_stream
 

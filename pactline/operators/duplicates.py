@@ -40,13 +40,7 @@ def duplicate_keys(
     df, found = records.with_kinds([field for *_, field in rules], chosen)
     unordered = records.order_by is None
     seen = F.lit(None).cast("bigint") if unordered else column(records.order_by)
-    keyed = [
-        F.struct(
-            F.lit(n).alias("rule_id"),
-            F.when(falls_under(c, route), records.key(field, found[field])).alias("key"),
-        )
-        for n, c, _, field in rules
-    ]
+    keyed = rule_keys(records, rules, found, route)
     # Blank the rules that do not apply before they become rows.
     kept = [F.when(k["key"].isNotNull(), k) for k in keyed]
     return (
@@ -57,6 +51,19 @@ def duplicate_keys(
     )
 
 
+def rule_keys(
+    records: Records, rules: list[tuple[int, Contract, int, str]], found: dict[str, str], route: bool
+) -> list[Column]:
+    """Per no-duplicates rule its number and the record's key, NULL where it does not apply."""
+    return [
+        F.struct(
+            F.lit(n).alias("rule_id"),
+            F.when(falls_under(c, route), records.key(field, found[field])).alias("key"),
+        )
+        for n, c, _, field in rules
+    ]
+
+
 def duplicate_samples(
     records: Records,
     contracts: Contract | Iterable[Contract],

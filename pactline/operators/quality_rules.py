@@ -32,7 +32,13 @@ def contract_totals(
     """
     chosen = as_contracts(contracts)
     counts, found = kind_counts(records, chosen)
+    return totals_of(counts, found, chosen, route)
 
+
+def totals_of(
+    counts: DataFrame, found: dict[str, str], chosen: list[Contract], route: bool = True
+) -> DataFrame:
+    """The totals from counts per combination of kinds."""
     counts, _ = with_rules(counts, chosen, found, route)
 
     def total(condition: str, name: str) -> Column:

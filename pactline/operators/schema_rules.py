@@ -130,12 +130,25 @@ def kind_counts(
     checked field; also returned is which column holds which field.
     """
     chosen = as_contracts(contracts)
-    names = list(dict.fromkeys(n for c in chosen for n in c.checked_fields))
+    names = checked_names(chosen)
     df, found = records.with_kinds(names, chosen)
-    shape = ", ".join(f"coalesce({found[n]}, '{ABSENT}')" for n in names)
-    counts = df.groupBy(STATE, SOURCE, F.expr(f"concat({shape})").alias("_kinds")).agg(
+    counts = df.groupBy(STATE, SOURCE, kind_text(names, found).alias("_kinds")).agg(
         F.count(F.lit(1)).alias("records")
     )
+    return kind_columns(counts, names)
+
+
+def checked_names(contracts: list[Contract]) -> list[str]:
+    return list(dict.fromkeys(n for c in contracts for n in c.checked_fields))
+
+
+def kind_text(names: list[str], found: dict[str, str]) -> Column:
+    """The kinds of all named fields as one text, three characters each."""
+    return F.expr(f"concat({', '.join(f"coalesce({found[n]}, '{ABSENT}')" for n in names)})")
+
+
+def kind_columns(counts: DataFrame, names: list[str]) -> tuple[DataFrame, dict[str, str]]:
+    """Counts per :func:`kind_text` with a kind column for every name instead of the text."""
     columns = {n: f"_kind_{i}" for i, n in enumerate(names)}
     parts = (
         f"nullif(substring(_kinds, {3 * i + 1}, 3), '{ABSENT}') as {c}"

@@ -84,6 +84,15 @@ def contract_report(
     the keys of no-duplicates rules.
     """
     chosen = as_contracts(contracts)
+    totals = contract_totals(records, chosen, route)
+    repeated = duplicate_keys(records, chosen, route) if unique_rules(chosen) else None
+    return report_of(totals, repeated, chosen, observed_max_lag_ms)
+
+
+def report_of(
+    totals: DataFrame, repeated: DataFrame | None, chosen: list[Contract], lag: Lag = None
+) -> DataFrame:
+    """The report from one row of totals and the ``rule_id`` of rules with repeated keys."""
     rows = [
         F.struct(
             F.lit(c.dataset).alias("dataset"),
@@ -92,26 +101,25 @@ def contract_report(
             F.col(f"records_{i}").alias("records"),
             F.col(f"broken_{i}").alias("schema_violations"),
             (
-                null_rules_broken(i, c) + F.lit(int(freshness_broken(c, observed_max_lag_ms)))
+                null_rules_broken(i, c) + F.lit(int(freshness_broken(c, lag)))
             ).alias("quality_violations"),
             F.col("bad_lines"),
             F.col("other_lines"),
         )
         for i, c in enumerate(chosen)
     ]
-    report = contract_totals(records, chosen, route).select(F.inline(F.array(*rows)))
+    report = totals.select(F.inline(F.array(*rows)))
     rules = unique_rules(chosen)
     if rules:
         dataset = F.coalesce(*(F.when(F.col("rule_id") == n, c.dataset) for n, c, *_ in rules))
-        repeated = (
-            duplicate_keys(records, chosen, route)
-            .select("rule_id")
+        per_dataset = (
+            repeated.select("rule_id")
             .distinct()
             .groupBy(dataset.alias("dataset"))
             .agg(F.count(F.lit(1)).alias("repeated"))
         )
         # One row per contract on either side.
-        report = report.join(F.broadcast(repeated), "dataset", "left").withColumn(
+        report = report.join(F.broadcast(per_dataset), "dataset", "left").withColumn(
             "quality_violations",
             F.col("quality_violations") + F.coalesce("repeated", F.lit(0)),
         )

@@ -95,8 +95,14 @@ def on_time_side(spark: SparkSession, rows: DataFrame, folder: str) -> DataFrame
     return _side(spark, rows, folder).where("not is_late").drop("is_late")
 
 
+def late_stream(spark: SparkSession, rows: DataFrame, folder: str) -> DataFrame:
+    """The late rows as a stream that takes up whatever batches are there at once."""
+    stream = spark.readStream.schema(_split_schema(rows)).parquet(f"{folder}/split")
+    return stream.where("is_late").drop("is_late", "batch_id")
+
+
 def on_time_stream(spark: SparkSession, rows: DataFrame, folder: str) -> DataFrame:
-    """All other rows, as a stream that takes up whatever batches are there."""
+    """All other rows as such a stream."""
     stream = spark.readStream.schema(_split_schema(rows)).parquet(f"{folder}/split")
     return stream.where("not is_late").drop("is_late", "batch_id")
 

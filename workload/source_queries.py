@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 import pactline as p
 from pactline.sources import envelope
+from workload.contract_queries import ORACLE as CONTRACT_ORACLE
 from workload.feeds import (
     BOUNDARY_TS,
+    CONTRACTS,
     DELAY_MS,
     LINES_SQL,
     MIXED_LINE,
@@ -219,6 +221,38 @@ def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/rows").select("event_id", "event_type")
 
 
+def stream_dedupe_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event once, though copies, and some first deliveries, come days late.
+
+    Of the events every 40th comes a second time at once, every 25th a second
+    time ten days later, and every 30th comes two days late only.
+    """
+    folder = p.shared_folder(spark, "dedupe")
+    arrival = F.expr(
+        "explode(case when event_id % 30 = 0 then array(2) when event_id % 40 = 0 then array(0, 0) "
+        "when event_id % 25 = 0 then array(0, 10) else array(0) end)"
+    )
+    sent = table(spark, sf_dir, "events").select(
+        "event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"), arrival.alias("days")
+    )
+    arrived = F.col("ts") + F.make_dt_interval(days=F.col("days"))
+    files = sent.repartitionByRange(12, arrived, "event_id").sortWithinPartitions(arrived)
+    files.drop("days").write.parquet(f"{folder}/in")
+    schema = "event_id bigint, event_type string, ts timestamp"
+    events = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    p.dedupe_all(events, ["event_id"], "ts", timedelta(hours=1), folder).awaitTermination()
+    return spark.read.parquet(f"{folder}/rows").select("event_id", "event_type")
+
+
+def stream_contract_cumulative(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report after the last micro-batch of a stream, over all it has brought."""
+    folder = p.shared_folder(spark, "watch")
+    p.contract_watch(_line_stream(spark, sf_dir), CONTRACTS, folder).awaitTermination()
+    reports = spark.read.parquet(f"{folder}/report")
+    last = reports.agg(F.max("batch_id").alias("batch_id"))
+    return reports.join(F.broadcast(last), "batch_id").drop("batch_id")  # one row
+
+
 QUERIES = {
     "json_scan_counts": json_scan_counts,
     "publish_stats": publish_stats,
@@ -236,6 +270,8 @@ QUERIES = {
     "stream_window_batches": stream_window_batches,
     "stream_late_rows": stream_late_rows,
     "stream_dedupe": stream_dedupe,
+    "stream_dedupe_late": stream_dedupe_late,
+    "stream_contract_cumulative": stream_contract_cumulative,
 }
 
 _MIXED = f"mixed as (select trim({MIXED_LINE}) as j from events)"
@@ -330,4 +366,6 @@ where s + interval 1 hour <= least((select max(event_timestamp) from timed),
   where event_timestamp = time_bucket(interval 1 hour, event_timestamp))
 select window_end, count(*) as events, true as many_batches from ends group by all""",
     "stream_dedupe": "select event_id, event_type from events",
+    "stream_dedupe_late": "select event_id, event_type from events",
+    "stream_contract_cumulative": CONTRACT_ORACLE["contract_report_all"],
 }
