@@ -29,6 +29,8 @@ from pactline.llm.common import hash_sample, texts
 from pactline.llm.words import Slice, slices
 
 GRAM = 3
+# Bytes whose n-grams are counted at once.
+BLOCK = 1 << 18
 WIDTH = 4096
 SAMPLE = 400
 CENTROIDS = 4
@@ -58,23 +60,31 @@ class Model(NamedTuple):
 def _counts(part: Slice) -> np.ndarray:
     """Hashed n-gram counts, a row per text."""
     rows = part.last - part.first
-    own = np.repeat(np.arange(rows), np.diff(part.offsets))
     ends = part.offsets + 2 * np.arange(rows + 1)  # a space before and after each text
-    letters = np.full(ends[-1], 32, dtype=np.uint32)
-    letters[np.arange(len(own)) + 2 * own + 1] = _CLASS[part.data]
-    size = len(letters) - GRAM + 1
-    if size <= 0:
-        return np.zeros((rows, WIDTH), dtype=np.float32)
-    code = np.zeros(size, dtype=np.uint32)
-    for i in range(GRAM):
-        code = code * np.uint32(0x9E3779B1) + letters[i : i + size] * np.uint32(0x85EBCA6B)
-    code ^= code >> np.uint32(15)
-    code *= np.uint32(0x2C1B3C6D)
-    code >>= np.uint32(32 - (WIDTH.bit_length() - 1))
-    row = np.repeat(np.arange(rows), np.diff(ends))[:size]
-    inside = ends[row + 1] - np.arange(size) >= GRAM
-    keys = row[inside] * WIDTH + code[inside]
-    return np.bincount(keys, minlength=rows * WIDTH).reshape(rows, WIDTH).astype(np.float32)
+    letters = np.full(ends[-1], 32, dtype=np.uint8)
+    for r in range(rows):
+        first, last = part.offsets[r : r + 2]
+        letters[ends[r] + 1 : ends[r + 1] - 1] = part.data[first:last]
+    letters = _CLASS[letters]
+    out = np.zeros((rows, WIDTH), dtype=np.float32)
+    # A long text is counted piece by piece, so it takes a few bytes per byte.
+    for first in range(0, len(letters) - GRAM + 1, BLOCK):
+        size = min(BLOCK, len(letters) - GRAM + 1 - first)
+        code = np.zeros(size, dtype=np.uint32)
+        for i in range(first, first + GRAM):
+            code = code * np.uint32(0x9E3779B1) + letters[i : i + size] * np.uint32(0x85EBCA6B)
+        code ^= code >> np.uint32(15)
+        code *= np.uint32(0x2C1B3C6D)
+        code >>= np.uint32(32 - (WIDTH.bit_length() - 1))
+        low = int(np.searchsorted(ends, first, side="right")) - 1
+        high = int(np.searchsorted(ends, first + size, side="left"))
+        cuts = np.clip(ends[low : high + 1], first, first + size)
+        row = np.repeat(np.arange(high - low), np.diff(cuts))
+        inside = ends[low + 1 + row] - np.arange(first, first + size) >= GRAM
+        keys = row[inside] * WIDTH + code[inside]
+        found = np.bincount(keys, minlength=(high - low) * WIDTH)
+        out[low:high] += found.reshape(high - low, WIDTH)
+    return out
 
 
 def _vectors(counts: np.ndarray, weights: np.ndarray) -> np.ndarray:

@@ -98,6 +98,11 @@ def _prefix(ranges: DataFrame) -> DataFrame:
     )
 
 
+def range_of(key: Column, ranges: Column) -> Column:
+    """The range, of so many, that a key falls into; a share first, so nothing overflows."""
+    return F.floor(key / F.lit(float(1 << _KEY_BITS)) * ranges)
+
+
 def take(
     rows: DataFrame,
     sized: DataFrame | None = None,
@@ -123,7 +128,7 @@ def take(
         "source_size",
         "target",
     )
-    place = F.floor(F.col("_mix_key") * F.col("_mix_ranges") / F.lit(float(1 << _KEY_BITS)))
+    place = range_of(F.col("_mix_key"), F.col("_mix_ranges"))
 
     def ranged(part: DataFrame) -> DataFrame:
         own = part.drop("source_size", "target", "taken")

@@ -23,11 +23,12 @@
 Links are 100 * |intersection| >= percent * |union|.
 
 Defined cases: a null text or one without words has an empty set and links with
-nothing; fewer words than a shingle make one shingle of all of them; rows that
-repeat a ``doc_id`` are one document, linked by any of their sets and verified
-by the first of their texts; a row without an id goes with the documents that
-have its set, and stays if there are none; an empty table gives no rows; other
-columns are ignored.
+nothing; fewer words than a shingle make one shingle of all of them. Where ids
+repeat or are missing, the search is over distinct pairs of id and text: rows
+with one id are one document, linked by any of its texts; every text without an
+id is a document of its own, its ``component_id`` the smallest id it reaches or
+null, and of a component without any id one text stays. An empty table gives no
+rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -372,8 +373,46 @@ def _prove(edges: DataFrame, roots: DataFrame, docs: DataFrame, words: int, perc
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` (smallest document reachable), ``kept``."""
     docs = texts(docs)
+    times = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    if times.where("n > 1 or doc_id is null").isEmpty():
+        return _by_id(docs, words, percent)
+    digest = F.coalesce(F.sha2("text", 256), F.lit("")).alias("_digest")
+    keyed = written(keys_of(docs.groupBy("doc_id", digest).agg(F.min("text").alias("text"))), "keyed")
+    found = written(_by_id(keyed.select(F.col("_key").alias("doc_id"), "text"), words, percent), "found")
+    own = keyed.select("doc_id", "_key", "_digest")
+    first = own.where("doc_id is not null").groupBy("doc_id").agg(F.min("_key").alias("b"))
+    same_id = own.join(first, "doc_id").select(F.col("_key").alias("a"), "b")
+    near = found.select(F.col("doc_id").alias("a"), F.col("component_id").alias("b"))
+    roots = components(near.union(same_id)).withColumnRenamed("root", "_root")
+    sized = found.select(F.col("doc_id").alias("_key"), "n_shingles")
+    rooted = own.join(roots, F.col("_key") == F.col("node"), "left").join(sized, "_key")
+    rooted = rooted.withColumn("_root", F.coalesce("_root", "_key"))
+    # Keys follow the ids, so a root is the row of the smallest id.
+    tops = own.select(F.col("_key").alias("_root"), F.col("doc_id").alias("component_id"))
+    rooted = rooted.join(tops, "_root").select(
+        F.col("doc_id").alias("_id"), "_digest", "n_shingles", "component_id",
+        F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("_key") == F.col("_root"))
+        .alias("kept"),
+    )
+    rows = docs.select("doc_id", digest.alias("_own"))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_digest"))
+    return rows.join(rooted, same).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def keys_of(rows: DataFrame) -> DataFrame:
+    """``rows`` (``doc_id``, ``_digest`` and more) with a ``_key`` that follows them, no id last."""
+    order = F.col("doc_id").asc_nulls_last(), F.col("_digest")
+    return (
+        rows.repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .withColumn("_key", F.monotonically_increasing_id())
+    )
+
+
+def _by_id(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """``near_duplicates`` where every row has an id of its own."""
     known = written(sketches(docs, words), "sketches")
-    full = known.where("n_shingles > 0 and doc_id is not null")
+    full = known.where("n_shingles > 0")
     # Equal sets have equal sketches, so any row's will do.
     classes = full.groupBy("n_shingles", "set_a", "set_b").agg(
         F.min("doc_id").alias("node"),

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 # Bytes of text worked on at once; a longer text is worked on alone, whole.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True

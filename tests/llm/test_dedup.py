@@ -104,6 +104,25 @@ def test_near_duplicates_of_odd_rows(llm, odd, empty):
     assert near_dedup.near_duplicates(empty).collect() == []
 
 
+def test_near_copies_under_repeated_and_missing_ids(llm):
+    rng = random.Random(31)
+    one, two, three = (sentence(rng, 60) for _ in range(3))
+    rows = [
+        (5, one), (5, two), (7, one + " more"), (9, two + " more"), (5, one),
+        (1, three), (None, three + " more"), (None, "alone here now yes"), (None, "alone here now yes"),
+        (None, None), (12, "something else is here"),
+    ]
+    found = near_dedup.near_duplicates(
+        llm.createDataFrame(rows, "doc_id bigint, text string").repartition(3), words=4
+    ).collect()
+    assert len(found) == len(rows)
+    got = sorted({(r.doc_id or 0, r.component_id or 0, r.kept, r.n_shingles) for r in found})
+    assert got == [
+        (0, 0, True, 0), (0, 0, True, 1), (0, 1, False, 58), (1, 1, True, 57), (5, 5, True, 57),
+        (7, 5, False, 58), (9, 5, False, 58), (12, 12, True, 1),
+    ]
+
+
 def test_components_of_long_and_bushy_links(llm):
     links = [(i, i + 1) for i in range(70)] + [(1000, 1000 + i) for i in range(1, 50)] + [(7, 7)]
     random.Random(1).shuffle(links)

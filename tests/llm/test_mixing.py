@@ -7,6 +7,7 @@ from fractions import Fraction
 
 import pytest
 from llm_texts import sentence
+from pyspark.sql import functions as F
 
 from pactline.llm import mixing
 from pactline.llm.common import written
@@ -110,3 +111,11 @@ def test_cut_keeps_whole_words_from_the_start(llm):
         if rest:
             expected.append(re.match(r"(\s*\S+){%d}" % rest, text).group())
         assert sorted(found[i]) == sorted(expected)
+
+
+def test_ranges_of_a_source_of_any_size(llm):
+    last = (1 << 40) - 1
+    keys = [(k, n) for k in (0, last // 2, last) for n in (1, 7, 10**13)]
+    rows = llm.createDataFrame(keys, "k bigint, n bigint")
+    for r in rows.select("k", "n", mixing.range_of(F.col("k"), F.col("n")).alias("r")).collect():
+        assert 0 <= r.r < r.n and abs(r.r - r.k * r.n // (1 << 40)) <= r.n // 10**12
