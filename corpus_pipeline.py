@@ -29,51 +29,51 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts that the classifier rejects go; it learns from the documents' own ``lang``."""
     prepare(spark)
     return language.accept(docs, language.train(docs), *COLUMNS[2:])
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that repeat an id and its text are one document; rows without an id stay.
+    """One document of every group of near-duplicates stays.
 
-    Other texts under a repeated id are documents of their own: each row is
-    searched and judged under a key of its own, and equal rows fold into one.
+    Rows that repeat an id and its text are one document. Other texts under a
+    repeated id, and texts without an id, are documents of their own: each is
+    searched and judged under a key of its own.
     """
     prepare(spark)
     docs = docs.select(*COLUMNS)
-    twice = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
-    if twice.isEmpty():
+    odd = docs.groupBy("doc_id").count().where("count > 1 or doc_id is null")
+    if odd.isEmpty():
         found = near_dedup.near_duplicates(docs, words=5, percent=80)
-        dropped = found.where("not kept and doc_id is not null").select("doc_id").distinct()
-        return docs.join(dropped, "doc_id", "left_anti")
-    named, unnamed = docs.where("doc_id is not null"), docs.where("doc_id is null")
+        return docs.join(found.where("not kept").select("doc_id"), "doc_id", "left_anti")
     digest = F.coalesce(F.sha2(F.col("text").cast("string"), 256), F.lit("")).alias("_digest")
     rest = F.min(F.struct(*COLUMNS[2:], "text")).alias("_rest")
-    rows = named.groupBy("doc_id", digest).agg(rest)
     # Keys follow the ids, so that the smallest id of a group stays.
-    rows = rows.repartitionByRange("doc_id", "_digest").sortWithinPartitions("doc_id", "_digest")
-    rows = rows.select("doc_id", "_rest.*", F.monotonically_increasing_id().alias("_key"))
-    rows = written(rows, "keyed")
+    rows = near_dedup.keys_of(docs.groupBy("doc_id", digest).agg(rest))
+    rows = written(rows.select("doc_id", "_rest.*", "_key"), "keyed")
     found = near_dedup.near_duplicates(
         rows.select(F.col("_key").alias("doc_id"), "text"), words=5, percent=80
     )
     dropped = found.where("not kept").select(F.col("doc_id").alias("_key"))
-    rest = rows.join(dropped, "_key", "left_anti")
-    return rest.select(*COLUMNS).union(unnamed)
+    return rows.join(dropped, "_key", "left_anti").select(*COLUMNS)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold an item of ``benchmark`` go."""
     prepare(spark)
     return decontamination.decontaminate(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources come to their target weights; a repeated document is a row per epoch."""
     prepare(spark)
     sized = written(mixing.sizes(docs), "sizes")
     return mixing.mix(docs.select(*COLUMNS), sized)
 
 
 def write_token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of every text in files; returns where each document's ids lie in them."""
     prepare(spark)
     path = shared_folder(spark, "llm-token-files")
     token_files.write_tokens(docs, path, tokenizer())
