@@ -1,4 +1,4 @@
-"""Benchmark decontamination: every near-verbatim item, and its cosine in a latent space.
+"""Benchmark decontamination: latent semantic retrieval, and every near-verbatim item.
 
 1. ``idf_weights``: inverse document frequency of words (lower case, signs at
    their ends removed, hashed to ``WIDTH`` places), counted over all documents.
@@ -6,19 +6,22 @@
    ``BLOCK`` words; a randomised SVD of their TF-IDF matrix gives ``RANK``
    directions. Tasks send partial products per place, so the driver holds
    ``WIDTH`` x ``RANK`` numbers at most, whatever the number of passages.
-3. ``leaks``: every document is cut into overlapping passages in the same way.
-   Whoever keeps ``SHARE`` of an item's n words, at least m, keeps k of any
-   n - m + k of them. So candidates are the passages with at least k of the
-   item's n - m + k rarest words around them: no item that step 4 would accept is
-   left out, whatever its length and the number of items.
-4. A candidate is a leak if the longest common subsequence of the item's words
+3. Search by cosine: every document is cut into overlapping passages in the same
+   way, and each is projected. A passage at ``COSINE`` or more to an item's
+   passage, both projections scaled to length one, is a candidate: so an item in
+   other words and another order is found, as long as it speaks of the same.
+4. Search by rare words, which is exact: whoever keeps ``SHARE`` of an item's n
+   words, at least m, keeps k of any n - m + k of them. So the passages with at
+   least k of the item's n - m + k rarest words around them are candidates too: no
+   near copy is left out, whatever its length and the number of items.
+5. A candidate is a leak if the longest common subsequence of the item's words
    and the document's words around the passage covers ``SURE`` of the item; or
    ``SHARE`` of it, in one unbroken run or with ``ANSWER`` of the item's answer
    (its last sentence, at least ``ANSWER_WORDS`` words). So changed, dropped and
    inserted words do not hide an item, nor does a changed or missing answer.
-5. ``cosine`` tells how near a leak's passage is to the item in the latent space,
-   both projections scaled to length one. It decides nothing, as a benchmark of
-   many passages does not fit into ``RANK`` directions.
+   Where the common subsequence is shorter, down to ``LOOSE``, a candidate of the
+   cosine search is a leak if it keeps ``KEPT`` of the answer in one place and,
+   in any order, ``HELD`` of the item's words by their weight: a paraphrase.
 
 Items are taken in blocks of ``ITEMS``, each against all documents.
 
@@ -34,6 +37,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -47,13 +51,19 @@ from pactline.llm.words import Slice, SpanHasher, find_words, gram_hashes, slice
 WIDTH = 1 << 16
 BLOCK = 16
 RANK = 256
+COSINE = 0.55
+ENERGY = 0.35
 ITEMS = 5_000
 LEAST = 8
 SHARE = 0.7
 SURE = 0.85
 ANSWER = 0.5
 ANSWER_WORDS = 4
+LOOSE = 0.3
+KEPT = 0.85
+HELD = 0.7
 _POWER = 2  # rounds of the range finder
+_PASSAGES = 2_048  # compared with all passages of items at once
 _POSTS = 1 << 20  # words of documents met in items, looked at together
 _SENTENCE = re.compile(r"[.!?]+\s+|\n+")
 
@@ -83,6 +93,7 @@ class Index(NamedTuple):
     weights: np.ndarray
     rank: np.ndarray  # place -> row of ``basis``, or -1
     basis: np.ndarray
+    weighed: np.ndarray  # ``basis`` times its places' weights
     vectors: np.ndarray
     owners: np.ndarray
     items: list[Item]
@@ -313,6 +324,7 @@ def build_index(items: DataFrame, weights: np.ndarray) -> Index | None:
         weights.astype(np.float32),
         rank,
         dense,
+        dense * weights[np.flatnonzero(rank >= 0), None].astype(np.float32),
         _unit(np.concatenate(vectors)),
         np.concatenate(owners),
         found,
@@ -342,6 +354,24 @@ def _unbroken(item: Item, near: np.ndarray) -> bool:
     return any(item.words[i : i + run].tobytes() in words for i in range(size - run + 1))
 
 
+def _paraphrase(item: Item, near: np.ndarray, weights: np.ndarray) -> bool:
+    """Whether the words keep the answer in one place, and most of the item in any order."""
+    mine, times = np.unique(item.words, return_counts=True)
+    theirs, there = np.unique(near, return_counts=True)
+    at = np.minimum(np.searchsorted(theirs, mine), len(theirs) - 1)
+    both = np.where(theirs[at] == mine, np.minimum(times, there[at]), 0)
+    weight = weights[_places(mine)]
+    if (both * weight).sum() < HELD * (times * weight).sum():
+        return False
+    size = len(item.answer)
+    room = size + size // 2
+    need = KEPT * size
+    return any(
+        lcs(item.answer, near[i : i + room]) >= need
+        for i in np.flatnonzero(np.isin(near, item.answer)).tolist()
+    )
+
+
 def _in_runs(sizes: np.ndarray) -> np.ndarray:
     """0, 1, 2 ... within each run of these sizes."""
     return np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
@@ -370,6 +400,43 @@ def _met(at: np.ndarray, item: np.ndarray, coded: Coded, index: Index):
     return np.repeat(row, sizes), np.repeat(item, sizes), passage
 
 
+def _retrieved(coded: Coded, index: Index):
+    """Row, item and passage (counted within the row) of all that are near in the latent space.
+
+    Passages with less than ``ENERGY`` of their weight on words of the benchmark
+    are no paraphrase of an item and are not projected. A passage's projection is
+    the sum of its two blocks'; at unit length the norm of its vector goes out.
+    """
+    first, last, row = _passages(coded)
+    rank, weight = index.rank[coded.places], index.weights[coded.places] ** 2
+    count = coded.block_firsts[-1]
+    whole = np.bincount(coded.block, weight, count)
+    inside = np.bincount(coded.block, np.where(rank >= 0, weight, 0), count)
+    two = first < last
+    share = inside[first] + two * inside[last]
+    some = np.flatnonzero(share >= ENERGY * (whole[first] + two * whole[last]))
+    if not len(some):
+        return
+    first, last, row, two = first[some], last[some], row[some], two[some]
+    wanted = np.zeros(count, dtype=bool)
+    wanted[first] = wanted[last] = True
+    token = np.flatnonzero((rank >= 0) & wanted[coded.block])
+    place = np.cumsum(wanted) - 1
+    blocks = np.zeros((int(wanted.sum()), index.basis.shape[1]), dtype=np.float32)
+    for i in range(0, len(token), 1 << 14):
+        at = token[i : i + (1 << 14)]
+        block = place[coded.block[at]]
+        heads = np.flatnonzero(np.diff(block, prepend=-1))
+        blocks[block[heads]] += np.add.reduceat(index.weighed[rank[at]], heads, axis=0)
+    for i in range(0, len(first), _PASSAGES):
+        a, b = place[first[i : i + _PASSAGES]], place[last[i : i + _PASSAGES]]
+        flat = blocks[a] + np.where(two[i : i + _PASSAGES, None], blocks[b], np.float32(0))
+        at, near = np.nonzero(_unit(flat) @ index.vectors.T >= COSINE)
+        nth = first[i + at] - coded.block_firsts[row[i + at]]
+        found = np.stack([row[i + at], index.owners[near], nth], axis=1)
+        yield from np.unique(found, axis=0).tolist()
+
+
 def _candidates(coded: Coded, index: Index):
     """Row, item and passage (counted within the row) of all that may be leaks."""
     if not len(index.keys):
@@ -443,7 +510,8 @@ def _finder(shared):
                     continue
                 best: dict[tuple[int, int], tuple[float, float, list[int]]] = {}
                 tried: set[tuple[int, int, int]] = set()
-                for row, at, passage in _candidates(coded, index):
+                retrieved = {tuple(x) for x in _retrieved(coded, index)}
+                for row, at, passage in chain(retrieved, _candidates(coded, index)):
                     item = index.items[at]
                     size = len(item.words)
                     middle = coded.firsts[row] + passage * BLOCK
@@ -454,10 +522,19 @@ def _finder(shared):
                     tried.add((low, high, at))
                     near = coded.keys[low:high]
                     share = lcs(item.words, near) / size
-                    if share < SHARE:
+                    if share < LOOSE:
                         continue
                     answer = lcs(item.answer, near) / max(1, len(item.answer))
-                    if share >= SURE or answer >= ANSWER or _unbroken(item, near):
+                    if share < SHARE:
+                        leak = (
+                            size >= LEAST
+                            and answer >= KEPT
+                            and (row, at, passage) in retrieved
+                            and _paraphrase(item, near, index.weights)
+                        )
+                    else:
+                        leak = share >= SURE or answer >= ANSWER or _unbroken(item, near)
+                    if leak:
                         known = best.get((row, at), (0.0, 0.0, []))
                         if (share, answer) > known[:2]:
                             best[row, at] = (share, answer, [passage])

@@ -5,12 +5,14 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_texts import docs_frame, sentence
 
 from pactline.llm import decontamination, language, lattice, lm_scores, toxicity
 from pactline.llm.common import hash_sample
 from pactline.llm.queries import tokenizer
+from pactline.llm.words import slices
 
 
 def words_of(text):
@@ -281,6 +283,57 @@ def test_no_item_of_a_large_benchmark_is_lost(llm):
     assert all(0 <= r["cosine"] < 1.001 for r in found)
 
 
+def reworded(rng, text):
+    """The sentences but the last in another order, and their words in another order."""
+    *parts, answer = text.split(". ")
+    parts = [" ".join(rng.sample(part.split(), len(part.split()))) for part in parts]
+    return ". ".join([*rng.sample(parts, len(parts)), answer])
+
+
+def test_paraphrases_with_the_answer_kept_are_found(llm):
+    rng = random.Random(77)
+    words = sorted({w for _ in range(40) for w in sentence(rng, 100).split() if len(w) > 3})
+    items, docs, less = [], [], 0
+    for i in range(60):
+        sizes = [rng.randint(5, 9) for _ in range(rng.randint(2, 4))]
+        said = [" ".join(rng.choices(words, k=n)) for n in (*sizes, 7)]
+        items.append((i, ". ".join(said) + "."))
+        text = reworded(rng, items[-1][1])
+        known = decontamination._item(0, items[-1][1]).words
+        less += decontamination.lcs(known, decontamination._item(0, text).words) < 0.7 * len(known)
+        ends = [" ".join(rng.choices(words, k=rng.randint(20, 200))) for _ in range(2)]
+        docs.append((i, f"{ends[0]} {text} {ends[1]}"))
+    clean = [(1000 + i, " ".join(rng.choices(words, k=300))) for i in range(200)]
+    # An answer alone, and an item without its answer, are no paraphrase.
+    clean += [(2000 + i, f"{clean[i][1]} {t.split('. ')[-1]}") for i, t in items[:30]]
+    found = decontamination.leaks(
+        llm.createDataFrame(docs + clean, "doc_id bigint, text string").repartition(3),
+        llm.createDataFrame(items, "item_id bigint, text string"),
+    ).collect()
+    pairs = {(r.doc_id, r.item_id) for r in found}
+    assert less > 50
+    assert all(a == b for a, b in pairs) and len(pairs) >= 54
+    assert sum(r.lcs_share < 0.7 for r in found) >= 45
+
+
+def test_directions_are_those_of_an_exact_decomposition(llm):
+    rng = random.Random(12)
+    items = [(i, sentence(rng, 40)) for i in range(60)]
+    frame = llm.createDataFrame(items, "item_id bigint, text string").repartition(3)
+    part = next(slices(pa.array([t for _, t in items], pa.large_string())))
+    coded = decontamination._coded(part)
+    weights = np.random.default_rng(1).uniform(1, 5, decontamination.WIDTH)
+    row, place, value, rows = decontamination._matrix(coded, weights)
+    exact = np.zeros((rows, decontamination.WIDTH), dtype=np.float64)
+    exact[row, place] = value
+    places = np.unique(coded.places)
+    rank, directions = decontamination.basis(frame, places, weights, most=20)
+    best = (np.linalg.svd(exact[:, places], compute_uv=False)[:20] ** 2).sum()
+    held = ((exact[:, places] @ directions) ** 2).sum()
+    assert (rank[places] == np.arange(len(places))).all() and held > 0.9 * best
+    assert np.allclose(directions.T @ directions, np.eye(20), atol=1e-4)
+
+
 def test_short_items_are_found_whole(llm):
     rng = random.Random(21)
     vocabulary = list(dict.fromkeys(sentence(rng, 3_000).split()))
