@@ -8,6 +8,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# A whole date, then maybe a time and an offset.
+_ISO = r"^\d{4}-\d\d-\d\d(T\d\d:\d\d(:\d\d(\.\d{1,9})?)?(Z|[+-]\d\d(:?\d\d)?)?)?$"
 _EPOCH_NTZ = "timestamp_ntz'1970-01-01 00:00:00'"
 
 
@@ -36,10 +38,12 @@ def from_micros(column: Column, dtype: T.DataType) -> Column:
 def iso_timestamp(text: Column) -> Column:
     """An ISO date and time as a TIMESTAMP; without an offset it counts as UTC.
 
-    NULL where the text is no such time. The session's time zone must be UTC, as
+    NULL where the text is no such time: a time without a date, a year alone and
+    names of time zones are none. The session's time zone must be UTC, as
     ``configure`` sets it.
     """
-    return F.try_to_timestamp(F.regexp_replace(F.trim(text), "^(\\d{4}-\\d\\d-\\d\\d) ", "$1T"))
+    joined = F.regexp_replace(F.trim(text), "^(\\d{4}-\\d\\d-\\d\\d) ", "$1T")
+    return F.when(joined.rlike(_ISO), F.try_to_timestamp(joined))
 
 
 def to_micros(length: timedelta) -> int:

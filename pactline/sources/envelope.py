@@ -11,12 +11,15 @@ from pyspark.sql.streaming import DataStreamReader
 
 from pactline.errors import InputError
 from pactline.functions.values import is_well_formed, parse_document, strip
+from pactline.session import materialize
 
 # Defaults of the publisher.
 TOPIC, CLIENT_ID = "telemetry-events", "pactline-producer"
 
-_TEXT = r'"(?:[^"\\]|\\.)*"'
-_ENVELOPE = rf'^\{{"topic": {_TEXT}, "client_id": {_TEXT}, "event": (.*)\}}$'
+# Possessive, so that a text of any length takes no stack; (?s), as an event may
+# hold any line separator.
+_TEXT = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+_ENVELOPE = rf'(?s)^\{{"topic": {_TEXT}, "client_id": {_TEXT}, "event": (.*)\}}$'
 
 
 def wrap_lines(
@@ -91,14 +94,14 @@ def publish(
     """Append envelopes of JSON lines to a topic folder; 0 publishes all.
 
     A line that is not JSON never becomes an envelope; it goes to
-    ``<path>_rejected``. Blank lines are no events, and ``max_records`` counts
-    the events that are published. Returns what the write itself counted:
+    ``<path>_rejected``. Blank lines are no events. ``max_records`` counts the
+    events that are published; broken lines before the last of them are counted
+    and kept as well, and those behind it are not attempted. Returns what the write itself counted:
     ``attempted``, ``published`` and ``failed``.
     """
     judged = _judged(lines, line)
     if max_records > 0:
-        # The limit ends the scan early, so the lines behind it are not attempted.
-        judged = judged.where("_good").limit(max_records)
+        judged = _up_to(judged, max_records)
     seen = Observation()
     wrap_lines(judged.observe(seen, *_counters()).where("_good"), topic, client_id).write.mode(
         "append"
@@ -109,6 +112,28 @@ def publish(
     return counted
 
 
+def _up_to(judged: DataFrame, most: int) -> DataFrame:
+    """The lines up to the last of ``most`` good ones, broken lines among them included.
+
+    Lines are judged once and written with their place: task and row. One count
+    per task tells the task in which the limit falls, and only that task's rows
+    are put in order. Lines count in the order in which tasks scan them.
+    """
+    places = {"_task": F.spark_partition_id(), "_row": F.monotonically_increasing_id()}
+    held = materialize(judged.withColumns(places), "judged", measure=False).df
+    counts = held.where("_good").groupBy("_task").agg(F.count(F.lit(1)).alias("n"))
+    before = 0
+    for task, n in sorted(map(tuple, counts.collect())):  # one row per task of the scan
+        if before + n >= most:
+            good = held.where((F.col("_task") == task) & F.col("_good")).select("_row")
+            last = good.orderBy("_row").limit(most - before).agg(F.max("_row")).first()[0]
+            inside = (F.col("_task") < task) | ((F.col("_task") == task) & (F.col("_row") <= last))
+            held = held.where(inside)
+            break
+        before += n
+    return held.drop("_task", "_row")
+
+
 def publish_to_kafka(lines: DataFrame, servers: str, topic: str, client_id: str = CLIENT_ID) -> None:
     """Send envelopes to a Kafka topic, where the session has that connector."""
     if not servers.strip():

@@ -36,11 +36,16 @@ def bronze_keeps_every_line(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def publish_limited(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The limit counts published events, not blank or broken lines."""
+    """The limit counts published events; broken lines on the way are counted and kept."""
     folder = p.shared_folder(spark, "topic")
-    done = envelope.publish(mixed_lines(spark, sf_dir), folder, max_records=100)
+    lines = table(spark, sf_dir, "events").orderBy("event_id").select(
+        F.expr(MIXED_LINE).alias("value")
+    )
+    done = envelope.publish(lines, folder, max_records=100)
     written = spark.read.text(folder).agg(F.count(F.lit(1)).alias("envelopes"))
-    return written.withColumns({k: F.lit(done[k]) for k in ("published", "failed")})
+    rejected = spark.read.text(f"{folder}_rejected").agg(F.count(F.lit(1)).alias("rejected"))
+    counted = written.crossJoin(F.broadcast(rejected))  # one row each
+    return counted.withColumns({k: F.lit(v) for k, v in done.items()})
 
 
 def publish_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,18 +57,25 @@ def publish_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.union(rejected).withColumns({k: F.lit(v) for k, v in done.items()})
 
 
+LONG_TOPIC = 'odd "topic" ' + "\\x" * 20_000
+
+
 def envelope_text_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whole event texts survive, with trailing zeros, large numbers and quotes."""
+    """Whole event texts survive: trailing zeros, large numbers, quotes, line separators.
+
+    The topic is 40,000 characters long, half of them to be escaped.
+    """
     folder = p.shared_folder(spark, "topic")
     lines = table(spark, sf_dir, "events").select(
         F.concat(
             F.lit('{"id": '), "event_id", F.lit(', "price": '), "event_id",
             F.lit('.10, "big": 12345678901234567890.'), "event_id",
-            F.lit(', "far": 1e400, "text": "a \\"}, b"}'),
+            F.lit(', "far": 1e400, "text": "a \\"}, b'), F.expr("'\\u2028 \\u0085'"), F.lit('"}'),
         ).alias("value")
     )
-    envelope.publish(lines, folder, 'odd "topic"', "loader")
-    return envelope.unwrap(spark.read.text(folder))
+    envelope.publish(lines, folder, LONG_TOPIC, "loader")
+    events = envelope.unwrap(spark.read.text(folder))
+    return events.withColumn("topic", F.md5("topic"))
 
 
 def dedupe_null_order(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,9 +132,18 @@ def lag_of_nothing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.lag_summary(lagged.where("event_id < 0")).select("total_events", "p99_lag_ms")
 
 
+# Texts that look like a time but have no whole date, or name a zone.
+NO_TIMES = ["12:30:00", "T10:00", "2026", "2026-01", "2026-01-01T10:00:00 America/New_York"]
+
+
 def raw_event_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lag of raw records, whose event time is ISO text or broken."""
-    events = p.materialize(p.with_event_time(dirty_records(spark, sf_dir)), "timed").df
+    odd = F.get(F.array(*map(F.lit, NO_TIMES)), (F.col("n") % 41).cast("int"))
+    time = F.concat(F.lit('"event_time": "'), odd, F.lit('"'))
+    broken = F.regexp_replace("value", F.lit('"event_time": "[^"]*"'), time)
+    lines = dirty_lines(spark, sf_dir).withColumn("value", F.coalesce(broken, "value"))
+    records = p.raw_records(lines, order_by="n")
+    events = p.materialize(p.with_event_time(records), "timed").df
     late_by = F.expr(f"make_dt_interval(0, 0, 0, ({DELAY_MS.replace('event_id', 'n')}) / 1000)")
     arrived = F.coalesce("event_timestamp", F.lit("2000-01-01").cast("timestamp")) + late_by
     lagged = p.with_lag(events.withColumn("ingestion_timestamp", arrived))
@@ -201,17 +222,24 @@ ORACLE = {
 select line, count(*) over () as rows_read,
   count(*) filter (not json_valid(j) or j[1] <> '{{') over () as rows_bad
 from mixed where j <> ''""",
-    "publish_limited": f"""with {_MIXED}
-select least(100, count(*) filter (json_valid(j))) as envelopes,
-  least(100, count(*) filter (json_valid(j))) as published, 0 as failed from mixed""",
+    "publish_limited": f"""with judged as (
+  select event_id, trim({MIXED_LINE}) as j from events where trim({MIXED_LINE}) <> ''),
+ranked as (select *, count(*) filter (json_valid(j)) over (order by event_id) as good from judged),
+sent as (select * from ranked where good < 100 or (good = 100 and json_valid(j)))
+select count(*) filter (json_valid(j)) as envelopes,
+  count(*) filter (not json_valid(j)) as rejected, count(*) as attempted,
+  count(*) filter (json_valid(j)) as published, count(*) filter (not json_valid(j)) as failed
+from sent""",
     "publish_rejects": f"""with {_MIXED}
 select j as value, json_valid(j) as good, count(*) over () as attempted,
   count(*) filter (json_valid(j)) over () as published,
   count(*) filter (not json_valid(j)) over () as failed
 from mixed where j <> ''""",
-    "envelope_text_kept": """select 'odd "topic"' as topic, 'loader' as client_id,
+    "envelope_text_kept": """select md5(concat('odd "topic" ', repeat(concat(chr(92), 'x'), 20000)))
+    as topic, 'loader' as client_id,
   concat('{"id": ', event_id, ', "price": ', event_id, '.10, "big": 12345678901234567890.',
-    event_id, ', "far": 1e400, "text": "a \\"}, b"}') as value from events""",
+    event_id, ', "far": 1e400, "text": "a \\"}, b', chr(8232), ' ', chr(133), '"}') as value
+from events""",
     "dedupe_null_order": """with placed as (
   select *, case when doc_id % 7 > 0 then doc_id // 3 end as place from documents),
 seen as (select *, count(*) over (partition by text, lang) as n,
@@ -233,10 +261,10 @@ select s as window_start, count(*) as total_events from starts group by s""",
     "lag_of_nothing": """select cast(0 as bigint) as total_events,
   cast(0 as double) as p99_lag_ms""",
     "raw_event_lag": f"""with {_RAW},
-measured as (select {_LAG} as lag_us from raw where t is not null),
+measured as (select {_LAG} as lag_us from raw where t is not null and n % 41 >= {len(NO_TIMES)}),
 {_summary("", 5000000, "measured")}
 select s.*, e.* from summary s, (select count(*) as events,
-  count(*) filter (t is null) as unmeasured_events from raw) e""",
+  count(*) filter (t is null or n % 41 < {len(NO_TIMES)}) as unmeasured_events from raw) e""",
     "raw_late_events": f"""with {_RAW}, shifted as (
   select n, n // 500 as b, case when n % 37 = 0 then t - interval 2 days else t end as t from raw),
 latest as (select b, max(t) as m from shifted group by b),
