@@ -58,13 +58,24 @@ from pactline.records import Records, raw_records, typed_records
 from pactline.session import configure, materialize, shared_folder, spread
 from pactline.sinks.bronze import BronzeSink, enrich, write_bronze
 from pactline.sinks.reports import emit_metrics, emit_report
-from pactline.sources.inferred import infer_schema, read_with_schema
+from pactline.sources.inferred import (
+    field_schema,
+    infer_merged_schema,
+    infer_schema,
+    merged_schema,
+    read_with_schema,
+)
 from pactline.sources.lines import read_jsonl, read_lines, require_valid, scan_counts
 from pactline.streaming.bronze import bronze_stream
 from pactline.streaming.contract_split import contract_stream
 from pactline.streaming.contract_watch import contract_watch
 from pactline.streaming.dedupe import dedupe_all, dedupe_stream
 from pactline.streaming.late import late_rows, late_side, on_time_side, split_late, split_log
-from pactline.streaming.sla import closed_window_times, sla_stream
+from pactline.streaming.sla import (
+    closed_window_times,
+    rank_error,
+    sla_sketch_stream,
+    sla_stream,
+)
 
 __all__ = [name for name, value in list(globals().items()) if getattr(value, "__module__", "").startswith("pactline.")]

@@ -180,3 +180,58 @@ def test_union_sources(spark):
     )
     assert rows(both) == [(1, "x", None), (2, None, 0.5)]
     assert reading(1)["source"] == "metrics-simulator"
+
+
+def test_schema_of_all_records(spark, jsonl):
+    path = jsonl([
+        {"a": 1, "b": "x", "c": {"k": 1}, "n": None}, {"a": 1.5, "b": None, "c": {"z": [1]}},
+        {"a": 2, "d": True, "odd `name`": "y"}, {}, "not json", "[1]", "  ",
+        {"b": 3, "c": {"k": 2}},
+    ])
+    fields = p.field_schema(p.read_jsonl(spark, path))
+    found = {r.field: r for r in fields.collect()}
+    assert {r.records for r in found.values()} == {5}
+    assert (found["b"].type, found["b"].kinds) == ("VARIANT", ["int", "null", "str"])
+    assert found["a"].present == 3 and found["a"].type.startswith("DECIMAL")
+    assert (found["n"].type, found["n"].nulls, found["d"].present) == ("VOID", 1, 1)
+    read = p.read_with_schema(spark, path, p.infer_merged_schema(spark, path))
+    rows_ = [r for r in read.collect() if r.a is not None]
+    assert sorted(float(r.a) for r in rows_) == [1.0, 1.5, 2.0]
+    assert [r["odd `name`"] for r in rows_ if r.d] == ["y"]
+    assert sorted((r.c.k or 0, r.c.z or []) for r in read.collect() if r.c) == [
+        (0, [1]), (1, []), (2, [])]
+    with pytest.raises(p.InputError):
+        p.infer_merged_schema(spark, path, most=2)
+
+
+def test_publish_limit_counts_broken_lines(spark, tmp_path):
+    path = str(tmp_path / "topic")
+    lines = ["{bad", '{"a": 1}', "bad", "", '{"a": 2}', '{"a": 3}', "bad too"]
+    frame = spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1)
+    assert envelope.publish(frame, path, max_records=2) == {
+        "attempted": 4, "published": 2, "failed": 2}
+    assert rows(spark.read.text(path + "_rejected")) == [("bad",), ("{bad",)]
+    spread_out = frame.union(frame).repartition(3)
+    counted = envelope.publish(spread_out, str(tmp_path / "more"), max_records=5)
+    assert counted["published"] == 5 and spark.read.text(str(tmp_path / "more")).count() == 5
+    assert envelope.publish(frame, str(tmp_path / "all"), max_records=99)["attempted"] == 6
+
+
+def test_event_of_an_envelope_with_separators_and_a_long_topic(spark, tmp_path):
+    event = '{"a": 1.10, "t": "x\u2028y\x85z"}'
+    frame = spark.createDataFrame([(event,)], "value string")
+    envelope.publish(frame, str(tmp_path / "t"), "q\\" * 30_000)
+    (row,) = envelope.unwrap(spark.read.text(str(tmp_path / "t"))).collect()
+    assert row.value == event and row.topic == "q\\" * 30_000
+
+
+def test_times_need_a_whole_date(spark):
+    from pactline.functions.clock import iso_timestamp
+
+    good = ["2026-01-01", " 2026-01-01T10:00 ", "2026-01-01 10:00:00", "2026-01-01T10:00:00.5Z",
+            "2026-01-01T10:00:00+05:30"]
+    bad = ["12:30:00", "T10:00", "2026", "2026-01", "2026-13-01", "2026-01-01T10:00 America/New_York",
+           "", None, "2026-01-01T"]
+    frame = spark.createDataFrame([(x,) for x in good + bad], "t string")
+    got = [r[0] is not None for r in frame.select(iso_timestamp(F.col("t"))).collect()]
+    assert got == [True] * len(good) + [False] * len(bad)

@@ -152,3 +152,29 @@ def test_windows_with_wide_and_negative_lags(spark):
         assert (r.total_events, r.p50_lag_ms, r.p99_lag_ms, r.max_lag_ms) == (
             n, held[n // 2] / 1000, held[int(n * 0.99)] / 1000, held[-1] / 1000
         )
+
+
+@pytest.mark.parametrize("shape", ["even", "steps", "heavy", "same", "negative"])
+def test_sketch_ranks_are_within_the_bound(spark, tmp_path, shape):
+    n, k = 6000, 128
+    lag = {
+        "even": F.col("id"),
+        "steps": F.col("id") % 7,
+        "heavy": F.expr("cast(exp(id / 400.0) as bigint)"),
+        "same": F.lit(5).cast("bigint"),
+        "negative": -F.col("id") * F.col("id"),
+    }[shape]
+    at = F.timestamp_seconds(F.lit(1_700_000_130) + F.col("id") % 60).alias("event_timestamp")
+    made = spark.range(n).select(at, (lag * 1000).alias("lag_us"))
+    end = spark.range(1).select(
+        F.timestamp_seconds(F.lit(1_700_010_000)).alias("event_timestamp"), F.lit(0).cast("bigint").alias("lag_us")
+    )
+    made.union(end).repartition(4).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(made.schema).parquet(str(tmp_path / "in"))
+    p.sla_sketch_stream(stream, str(tmp_path / "out"), k=k).awaitTermination()
+    (row,) = spark.read.parquet(str(tmp_path / "out" / "metrics")).collect()
+    lags = sorted(r[0] / 1000 for r in made.select("lag_us").collect())
+    assert (row.total_events, row.max_lag_ms) == (n, lags[-1])
+    for part, found in ((0.5, row.p50_lag_ms), (0.99, row.p99_lag_ms)):
+        room = 3 * p.rank_error(k) * n + 1
+        assert sum(x < found for x in lags) - room <= part * n <= sum(x <= found for x in lags) + room

@@ -14,6 +14,7 @@ from workload.feeds import (
     BOUNDARY_TS,
     CONTRACTS,
     DELAY_MS,
+    KIND,
     LINES_SQL,
     MIXED_LINE,
     OPS,
@@ -79,6 +80,29 @@ def read_with_inferred_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.read_with_schema(spark, _props_folder(spark, sf_dir))
 
 
+def infer_merged_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Type, presence and conflicts of every field of the dirty feed, and reading with it.
+
+    ``read`` counts the rows whose field is not null when the feed is read with
+    the merged schema: those that hold a value, so no type loses one.
+    """
+    folder = p.shared_folder(spark, "feed")
+    dirty_lines(spark, sf_dir).select("value").write.text(folder)
+    fields = p.field_schema(p.read_jsonl(spark, folder))
+    rows = p.read_with_schema(spark, folder, p.merged_schema(fields))
+    # A null inside a VARIANT column is a value of its own.
+    held = {
+        c: F.col(c).isNotNull() & ~F.is_variant_null(c) if t == "variant" else F.col(c).isNotNull()
+        for c, t in rows.dtypes
+    }
+    counts = rows.agg(*(F.count_if(x).alias(c) for c, x in held.items()))
+    read = counts.unpivot([], counts.columns, "field", "read")
+    return fields.join(F.broadcast(read), "field").select(  # one row per field
+        "field", "type", F.array_join("kinds", ",").alias("kinds"), "present", "nulls", "records",
+        "read",
+    )
+
+
 def bronze_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = p.enrich(table(spark, sf_dir, "events").select("event_id", "event_type"))
     stamped = F.col("_bronze_ingestion_ts").isNotNull().alias("stamped")
@@ -154,6 +178,49 @@ def stream_sla_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.withColumns(times).drop("batch_id")
 
 
+SKETCH = 64
+
+
+def stream_sla_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics per day from sketches, and whether their ranks are within the bound.
+
+    The bound holds with 99 % confidence per number; three times as much is
+    asked for here, which no run exceeds.
+    """
+    folder, day = p.shared_folder(spark, "sketch"), timedelta(days=1)
+    lag = F.expr(f"({DELAY_MS}) * 1000").alias("lag_us")
+    ts = F.expr(f"cast({BOUNDARY_TS} as timestamp)").alias("event_timestamp")
+    events = _event_stream(spark, sf_dir).select(ts, lag)
+    p.sla_sketch_stream(events, folder, width=day, k=SKETCH).awaitTermination()
+    metrics = spark.read.parquet(f"{folder}/metrics")
+    timed = p.closed_window_times(
+        table(spark, sf_dir, "events").select(ts, lag), "event_timestamp", day
+    )
+    met = metrics.join(timed.select("window_end", "lag_us"), "window_end")
+    ms = F.col("lag_us") / 1000.0
+    ranks = met.groupBy("window_end").agg(
+        *(
+            F.struct(
+                F.count_if(ms < F.col(f"{p_}_lag_ms")).alias("below"),
+                F.count_if(ms <= F.col(f"{p_}_lag_ms")).alias("upto"),
+            ).alias(p_)
+            for p_ in ("p50", "p99")
+        )
+    )
+    room = F.col("total_events") * 3 * p.rank_error(SKETCH) + 1
+    near = [
+        (
+            (F.col(f"{name}.below") <= F.col("total_events") * part + room)
+            & (F.col(f"{name}.upto") >= F.col("total_events") * part - room)
+        ).alias(f"{name}_near")
+        for name, part in (("p50", 0.5), ("p99", 0.99))
+    ]
+    return metrics.join(ranks, "window_end").select(
+        F.col("window_end").cast("timestamp_ntz").alias("window_end"),
+        "total_events", "avg_lag_ms", "max_lag_ms", "sla_violations", *near,
+    )
+
+
 def stream_window_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metrics per hour from two streams, events and ingest batches, with batches per second."""
     folder = p.shared_folder(spark, "sla")
@@ -260,6 +327,7 @@ QUERIES = {
     "envelope_rows": envelope_rows,
     "infer_first_record_schema": infer_first_record_schema,
     "read_with_inferred_schema": read_with_inferred_schema,
+    "infer_merged_schema": infer_merged_schema,
     "bronze_enrich": bronze_enrich,
     "bronze_write_stats": bronze_write_stats,
     "bronze_ingest_batch": bronze_ingest_batch,
@@ -267,6 +335,7 @@ QUERIES = {
     "stream_ingest_log": stream_ingest_log,
     "stream_contract_split": stream_contract_split,
     "stream_sla_windows": stream_sla_windows,
+    "stream_sla_sketch": stream_sla_sketch,
     "stream_window_batches": stream_window_batches,
     "stream_late_rows": stream_late_rows,
     "stream_dedupe": stream_dedupe,
@@ -301,6 +370,19 @@ select concat('STRUCT<event_id: ', a.spark, ', event_type: ', b.spark, ', value:
 from typed join names a on a.duck = typed.a join names b on b.duck = typed.b
   join names c on c.duck = typed.c""",
     "read_with_inferred_schema": "select event_id, event_type, value from events",
+    "infer_merged_schema": f"""with {LINES_SQL},
+named as (select unnest(json_keys(j)) as field, j from lines),
+kinds as (select field, {KIND} as kind, n from (select field, j, count(*) as n
+  from named group by all)),
+sums as (select field, cast(sum(n) as bigint) as present,
+    cast(coalesce(sum(n) filter (kind = 'null'), 0) as bigint) as nulls,
+    list_sort(list(distinct kind)) as seen,
+    count(distinct case when kind in ('int', 'float') then 'number' when kind <> 'null' then kind end)
+      as families
+  from kinds group by field)
+select field, case when families > 1 then 'VARIANT' when list_contains(seen, 'bool') then 'BOOLEAN'
+    else 'STRING' end as type, array_to_string(seen, ',') as kinds, present, nulls,
+  (select count(*) from lines) as records, present - nulls as read from sums""",
     "bronze_enrich": """select event_id, event_type, 'kafka-mock' as _data_source,
   true as stamped from events""",
     "bronze_write_stats": """select count(*) as rows_found, count(*) as rows_written,
@@ -339,6 +421,17 @@ select window_start, window_start + interval 1 hour as window_end, total_events,
   total_events / 3600 as throughput_events_per_sec
 from summary where window_start + interval 1 hour
   <= (select max(event_timestamp) from timed) - interval 10 minutes""",
+    "stream_sla_sketch": f"""with {TIMED_SQL}, starts as (
+  select lag_us, time_bucket(interval 1 day, event_timestamp) as s from timed
+  union all
+  select lag_us, event_timestamp - interval 1 day from timed
+  where event_timestamp = time_bucket(interval 1 day, event_timestamp))
+select s + interval 1 day as window_end, count(*) as total_events,
+  cast(sum(lag_us) as double) / count(*) / 1000 as avg_lag_ms, max(lag_us) / 1000 as max_lag_ms,
+  count(*) filter (lag_us > 5000000) as sla_violations, true as p50_near, true as p99_near
+from starts where s + interval 1 day
+  <= (select max(event_timestamp) from timed) - interval 10 minutes
+group by s""",
     "stream_window_batches": f"""with {TIMED_SQL}, starts as (
   select lag_us, time_bucket(interval 1 hour, event_timestamp) as s from timed
   union all
