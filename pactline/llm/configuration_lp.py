@@ -156,12 +156,19 @@ def best_fit(counts: np.ndarray, capacity: int) -> list[tuple[Configuration, int
 
 
 def pack(counts: np.ndarray, capacity: int) -> list[tuple[Configuration, int]]:
-    """Whole bins for all items: the program's solution, rounded in the better of two ways.
+    """Whole bins for all items: the program's solution, rounded in the best of several ways.
 
-    What rounding leaves over is packed by best fit.
+    Fractions are carried on or left over, and of the bins either all are kept or
+    those without a gap. What is left over is packed by best fit.
     """
     solution, ways = solve(counts, capacity), []
     for carry in (False, True):
         bins, left = _whole(solution, counts, carry)
         ways.append(bins + best_fit(left, capacity))
+        full = [(key, times) for key, times in bins if sum(n * c for n, c in key) == capacity]
+        rest = counts.copy()
+        for key, times in full:
+            for n, c in key:
+                rest[n] -= c * times
+        ways.append(full + best_fit(rest, capacity))
     return min(ways, key=lambda bins: sum(times for _, times in bins))

@@ -63,7 +63,7 @@ LOOSE = 0.3
 KEPT = 0.85
 HELD = 0.7
 _POWER = 2  # rounds of the range finder
-_PASSAGES = 2_048  # compared with all passages of items at once
+_PASSAGES = 1_024  # projected, or compared with all passages of items, at once
 _POSTS = 1 << 20  # words of documents met in items, looked at together
 _SENTENCE = re.compile(r"[.!?]+\s+|\n+")
 
@@ -423,11 +423,12 @@ def _retrieved(coded: Coded, index: Index):
     token = np.flatnonzero((rank >= 0) & wanted[coded.block])
     place = np.cumsum(wanted) - 1
     blocks = np.zeros((int(wanted.sum()), index.basis.shape[1]), dtype=np.float32)
-    for i in range(0, len(token), 1 << 14):
-        at = token[i : i + (1 << 14)]
-        block = place[coded.block[at]]
-        heads = np.flatnonzero(np.diff(block, prepend=-1))
-        blocks[block[heads]] += np.add.reduceat(index.weighed[rank[at]], heads, axis=0)
+    begin = np.searchsorted(place[coded.block[token]], np.arange(len(blocks) + 1))
+    for i in range(0, len(blocks), _PASSAGES):
+        low, held = begin[i : i + _PASSAGES + 1][:-1], np.diff(begin[i : i + _PASSAGES + 1])
+        for nth in range(int(held.max())):  # the nth known word of all these blocks
+            have = np.flatnonzero(held > nth)
+            blocks[i + have] += index.weighed[rank[token[low[have] + nth]]]
     for i in range(0, len(first), _PASSAGES):
         a, b = place[first[i : i + _PASSAGES]], place[last[i : i + _PASSAGES]]
         flat = blocks[a] + np.where(two[i : i + _PASSAGES, None], blocks[b], np.float32(0))
