@@ -4,8 +4,9 @@ The value at 0-based index ``floor(n * fraction)`` of each sorted group is
 found in steps. The first counts values per coarse interval and finds the
 interval that holds the wanted index; the next look inside that interval only,
 at finer ones and then at single values. What a task sorts is a list of at most
-2**20 intervals of one group beyond the first step, whatever the range of the
-values and the number of rows, even if one group holds most of them.
+2**DIGIT intervals of one group, whatever the range of the values and the number
+of rows, even if one group holds most of them. The range is known from the
+first pass: a narrow one needs one step, or two.
 
 The input is evaluated once: its narrow rows are written and all steps read
 those, so values that change from reading to reading, such as the current time,
@@ -16,15 +17,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Observation, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from pactline.session import broadcast_if, materialize
-
-# Intervals of the steps span 2**bits values. Of microseconds the coarsest are
-# twelve days long, those of the second step about one second.
-STEPS = (40, 20, 0)
+from pactline.session import broadcast_if, materialize, shared_folder
 
+# Bits of a value that one step finds.
+DIGIT = 16
 
 MERGE = {"sum": F.sum, "max": F.max}
 
@@ -48,12 +47,10 @@ def with_ranks(
     group = (F.struct(*by) if by else F.col(value) * 0).alias("_group")
     times = (F.lit(1) if weight is None else F.col(weight)).cast("bigint")
     extra = [expression.alias(name) for name, _, expression in totals]
-    rows = materialize(
-        df.select(group, F.col(value).alias("_value"), times.alias("_n"), *extra),
-        "rank-rows",
-        measure=False,
-    ).df
-    coarse = rows.groupBy("_group", _interval(STEPS[0])).agg(
+    rows, low, high = _ranged(df.select(group, F.col(value).alias("_value"), times.alias("_n"), *extra))
+    wide = max((high - low).bit_length() - DIGIT, 0)
+    rows = rows.withColumn("_value", F.col("_value") - low)
+    coarse = rows.groupBy("_group", _interval(wide)).agg(
         F.sum("_n").alias("_n"), *(MERGE[how](name).alias(name) for name, how, _ in totals)
     )
     in_group = Window.partitionBy("_group")
@@ -82,10 +79,14 @@ def with_ranks(
     )
     few = groups.small(len(fractions))
     wanted = groups.df.select("_group", F.inline("_targets"))
-    for wide, fine in zip(STEPS, STEPS[1:]):
-        wanted = materialize(_refine(rows, wanted, few, wide, fine), "ranks", measure=False).df
+    while wide:
+        fine = max(wide - DIGIT, 0)
+        wanted, wide = _refine(rows, wanted, few, wide, fine), fine
     picked = wanted.groupBy("_group").agg(
-        *(F.max(F.when(F.col("_name") == name, F.col("_interval"))).alias(name) for name in fractions)
+        *(
+            F.max(F.when(F.col("_name") == name, F.col("_interval") + low)).alias(name)
+            for name in fractions
+        )
     )
     names = [name for name, *_ in totals]
     return (
@@ -95,6 +96,16 @@ def with_ranks(
     )
 
 
+def _ranged(rows: DataFrame) -> tuple[DataFrame, int, int]:
+    """The rows from a table of their own, with their least and largest value."""
+    seen, spark = Observation(), rows.sparkSession
+    path = shared_folder(spark, "rank-rows")
+    ends = F.min("_value").alias("low"), F.max("_value").alias("high")
+    rows.observe(seen, *ends).write.parquet(path)
+    found = seen.get
+    return spark.read.schema(rows.schema).parquet(path), found.get("low") or 0, found.get("high") or 0
+
+
 def _interval(bits: int) -> Column:
     return F.shiftright("_value", bits).alias("_interval")
 
