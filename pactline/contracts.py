@@ -6,10 +6,10 @@ turned into Column expressions, so checking costs no join and no UDF.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 from pathlib import Path
-from typing import Any
+from typing import Any, NamedTuple
 
 import yaml
 from pyspark.sql import types as T
@@ -85,30 +85,7 @@ class Contract:
     @classmethod
     def from_mapping(cls, raw: Any, where: str = "contract") -> Contract:
         """Build a contract from parsed YAML, refusing a definition with errors."""
-        spec = _mapping(raw, where)
-        missing = sorted(
-            {"contract_name", "version", "dataset_name", "schema"} - spec.keys()
-        )
-        if missing:
-            raise ContractError(f"{where}: missing {', '.join(missing)}")
-        columns = _items(spec["schema"], "schema")
-        if not columns:
-            raise ContractError(f"{where}: schema has no fields")
-        source = spec.get("source_system")
-        return cls(
-            name=str(spec["contract_name"]),
-            version=str(spec["version"]),
-            dataset=str(spec["dataset_name"]),
-            fields=tuple(_field(c, f"schema[{i}]") for i, c in enumerate(columns)),
-            rules=tuple(
-                _rule(r, f"quality_rules[{i}]")
-                for i, r in enumerate(_items(spec.get("quality_rules"), "quality_rules"))
-            ),
-            source_system=None if source is None else str(source),
-            max_lag_ms=_freshness(spec.get("freshness")),
-            description=str(spec.get("description", "")),
-            owners=tuple(str(o) for o in _items(spec.get("owners"), "owners")),
-        )
+        return _built(cls, _CONTRACT, raw, where)
 
 
 def load_contract(path: str | Path) -> Contract:
@@ -147,69 +124,123 @@ def as_contracts(contracts: Contract | Iterable[Contract]) -> list[Contract]:
     return found
 
 
-def _mapping(raw: Any, where: str) -> Mapping[str, Any]:
-    if not isinstance(raw, Mapping):
-        raise ContractError(f"{where}: a mapping is needed")
-    return raw
+# How a definition is written: for every object the keys it may have, what
+# becomes of their values, and what stands for a key that is left out.
+_NEEDED = object()
 
 
-def _items(raw: Any, where: str) -> list[Any]:
-    if raw is None:
-        return []
-    if not isinstance(raw, list):
-        raise ContractError(f"{where}: a list is needed")
-    return raw
+class _Key(NamedTuple):
+    """One key of an object of the format, and the argument it gives."""
 
-
-def _flag(spec: Mapping[str, Any], key: str, default: bool, where: str) -> bool:
-    value = spec.get(key, default)
-    if not isinstance(value, bool):
-        raise ContractError(f"{where}: {key} must be true or false")
-    return value
+    key: str
+    argument: str
+    read: Callable[[Any, str], Any]
+    default: Any = _NEEDED
 
 
-def _number(value: Any, where: str) -> float:
-    try:
-        return float(value)
-    except (TypeError, ValueError) as error:
-        raise ContractError(f"{where}: {value!r} is not a number") from error
-
-
-def _field(raw: Any, where: str) -> Field:
-    spec = _mapping(raw, where)
-    name, kind = (str(spec.get(key, "")).strip() for key in ("name", "type"))
-    if not (name and kind):
-        raise ContractError(f"{where}: name and type are needed")
-    return Field(
-        name, kind, _flag(spec, "nullable", True, where), str(spec.get("description", ""))
+def _built(kind: type, keys: tuple[_Key, ...], raw: Any, where: str) -> Any:
+    """An object from a mapping with these keys; others are ignored."""
+    if not isinstance(raw, Mapping):
+        raise ContractError(f"{where}: a mapping is needed")
+    absent = [k.key for k in keys if k.default is _NEEDED and k.key not in raw]
+    if absent:
+        raise ContractError(f"{where}: missing {', '.join(absent)}")
+    return kind(
+        **{
+            k.argument: k.read(raw[k.key], f"{where}: {k.key}") if k.key in raw else k.default
+            for k in keys
+        }
     )
 
 
-def _rule(raw: Any, where: str) -> Rule:
-    spec = _mapping(raw, where)
-    name = str(spec.get("field", "")).strip()
-    if not name:
-        raise ContractError(f"{where}: field is needed")
-    ratio = spec.get("max_null_ratio")
-    if ratio is not None:
-        ratio = _number(ratio, where)
-        if not 0.0 <= ratio <= 1.0:
-            raise ContractError(f"{where}: max_null_ratio must lie between 0 and 1")
-    return Rule(
-        name,
-        ratio,
-        _flag(spec, "required", False, where),
-        _flag(spec, "allow_duplicates", True, where),
-    )
+def _text(value: Any, where: str) -> str:
+    return str(value)
+
+
+def _name(value: Any, where: str) -> str:
+    if value is None or not str(value).strip():
+        raise ContractError(f"{where} is empty")
+    return str(value).strip()
+
+
+def _flag(value: Any, where: str) -> bool:
+    if value is not True and value is not False:
+        raise ContractError(f"{where} is neither true nor false")
+    return value
 
 
-def _freshness(raw: Any) -> float | None:
-    if raw is None:
-        return None
-    spec = _mapping(raw, "freshness")
-    if "max_lag_ms" not in spec:
-        raise ContractError("freshness: max_lag_ms is needed")
-    limit = _number(spec["max_lag_ms"], "freshness")
-    if not limit > 0:
-        raise ContractError("freshness: max_lag_ms must be above zero")
-    return limit
+def _number(within: Callable[[float], bool], allowed: str) -> Callable[[Any, str], float]:
+    def read(value: Any, where: str) -> float:
+        try:
+            number = float(value)
+        except (TypeError, ValueError) as error:
+            raise ContractError(f"{where}: {value!r} is not a number") from error
+        if not within(number):
+            raise ContractError(f"{where} is not {allowed}")
+        return number
+
+    return read
+
+
+def _maybe(read: Callable[[Any, str], Any], otherwise: Any = None) -> Callable[[Any, str], Any]:
+    """A value that may also be written as null."""
+    return lambda value, where: otherwise if value is None else read(value, where)
+
+
+def _listed(read: Callable[[Any, str], Any]) -> Callable[[Any, str], tuple]:
+    def each(value: Any, where: str) -> tuple:
+        if not isinstance(value, list):
+            raise ContractError(f"{where} is no list")
+        return tuple(read(v, f"{where}[{n}]") for n, v in enumerate(value))
+
+    return each
+
+
+def _object(kind: type, *keys: _Key) -> Callable[[Any, str], Any]:
+    return lambda value, where: _built(kind, keys, value, where)
+
+
+def _some(read: Callable[[Any, str], tuple]) -> Callable[[Any, str], tuple]:
+    def filled(value: Any, where: str) -> tuple:
+        found = read(value, where)
+        if not found:
+            raise ContractError(f"{where} is empty")
+        return found
+
+    return filled
+
+
+_FIELD = _object(
+    Field,
+    _Key("name", "name", _name),
+    _Key("type", "type", _name),
+    _Key("nullable", "nullable", _flag, True),
+    _Key("description", "description", _text, ""),
+)
+_RULE = _object(
+    Rule,
+    _Key("field", "field", _name),
+    _Key(
+        "max_null_ratio",
+        "max_null_ratio",
+        _maybe(_number(lambda x: 0 <= x <= 1, "in 0 to 1")),
+        None,
+    ),
+    _Key("required", "required", _flag, False),
+    _Key("allow_duplicates", "allow_duplicates", _flag, True),
+)
+_LIMIT = _object(
+    lambda limit: limit,
+    _Key("max_lag_ms", "limit", _number(lambda x: x > 0, "above zero")),
+)
+_CONTRACT = (
+    _Key("contract_name", "name", _text),
+    _Key("version", "version", _text),
+    _Key("dataset_name", "dataset", _text),
+    _Key("schema", "fields", _some(_maybe(_listed(_FIELD), ()))),
+    _Key("quality_rules", "rules", _maybe(_listed(_RULE), ()), ()),
+    _Key("source_system", "source_system", _maybe(_text), None),
+    _Key("freshness", "max_lag_ms", _maybe(_LIMIT), None),
+    _Key("description", "description", _text, ""),
+    _Key("owners", "owners", _maybe(_listed(_text), ()), ()),
+)

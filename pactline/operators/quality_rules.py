@@ -113,6 +113,7 @@ def duplicate_findings(
 ) -> DataFrame:
     """Broken no-duplicates rules, with the first three duplicate values."""
     samples = duplicate_samples(records, as_contracts(contracts), route)
+    # The name, expectation and message of the reports.
     return samples.select(
         "dataset",
         F.col("place").alias("position"),
@@ -145,6 +146,7 @@ def freshness_findings(df: DataFrame, contract: Contract, lag_ms: str = "lag_ms"
 
 
 def freshness_finding(contract: Contract, observed: Column) -> Column:
+    # Fixed value: the message of the reports.
     message = F.lit("Observed ingestion lag exceeded freshness threshold")
     return _finding(
         contract.dataset,
@@ -160,6 +162,7 @@ def freshness_finding(contract: Contract, observed: Column) -> Column:
 
 def _null_rules(i: int, j: int, rule: Rule, nulls: Column) -> list[tuple]:
     """(step, rule, broken, expected, observed, message) of a rule's null checks."""
+    # The names, expectations and messages of the reports.
     checks: list[tuple] = []
     if rule.required:
         message = F.format_string(
