@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pactline.contracts import Contract, Field, as_contracts
 from pactline.functions import kinds
 from pactline.operators.schema_rules import kind_counts
-from pactline.records import DOCUMENT, LINE, Records, falls_under, unfold
+from pactline.records import DOCUMENT, Records, falls_under, unfold
 
 NUMERIC = ("integer", "float")
 
@@ -26,7 +26,8 @@ def unexpected_fields(
     if records.typed:
         return _unexpected_columns(records, chosen, route)
     df, _ = records.with_kinds([], chosen)
-    df = df.withColumn("_keys", F.json_object_keys(LINE))
+    # From the document that is parsed already; its keys are in order.
+    df = df.withColumn("_keys", F.map_keys(_members()))
     rows = []
     for c in chosen:
         unknown = F.array_except("_keys", _texts(c.field_names))
@@ -44,6 +45,11 @@ def unexpected_fields(
     )
 
 
+def _members() -> Column:
+    """The record's members by key."""
+    return F.try_variant_get(F.col(DOCUMENT), "$[0]", "map<string,variant>")
+
+
 def rename_candidates(
     records: Records, contracts: Contract | Iterable[Contract], route: bool = True
 ) -> DataFrame:
@@ -56,7 +62,7 @@ def rename_candidates(
         raise ValueError("rename candidates need raw records, whose keys can vary")
     chosen = as_contracts(contracts)
     df, seen = records.with_kinds([n for c in chosen for n in c.field_names], chosen)
-    whole = F.try_variant_get(F.col(DOCUMENT), "$[0]", "map<string,variant>")
+    whole = _members()
     rows = []
     for i, c in enumerate(chosen):
         gone = F.array_compact(
