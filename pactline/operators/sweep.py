@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pactline.session import materialize
 
 # Bits of a lag that one step of the percentiles finds.
-DIGIT = 10
+DIGIT = 12
 # Nodes of windows that stay in the plan; more are read from a table.
 LISTED = 20_000
 
