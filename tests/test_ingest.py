@@ -225,6 +225,16 @@ def test_event_of_an_envelope_with_separators_and_a_long_topic(spark, tmp_path):
     assert row.value == event and row.topic == "q\\" * 30_000
 
 
+def test_topic_folder_is_smaller_than_its_topics(spark, tmp_path):
+    frame = spark.range(300).select(F.concat(F.lit('{"id": '), "id", F.lit("}")).alias("value"))
+    folder, topic = tmp_path / "t", "q\\" * 30_000
+    envelope.publish(frame.coalesce(1), str(folder), topic)
+    assert sum(f.stat().st_size for f in folder.iterdir()) < 1_000_000 < 300 * len(topic)
+    back = envelope.unwrap(spark.read.text(str(folder))).collect()
+    assert {r.topic for r in back} == {topic}
+    assert sorted(r.value for r in back) == sorted(f'{{"id": {n}}}' for n in range(300))
+
+
 def test_times_need_a_whole_date(spark):
     from pactline.functions.clock import iso_timestamp
 

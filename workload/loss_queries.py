@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import pactline as p
+from pactline.session import spread
 from pactline.sources import envelope
 from workload.feeds import (
     DELAY_MS,
@@ -66,7 +67,7 @@ def envelope_text_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
     The topic is 40,000 characters long, half of them to be escaped.
     """
     folder = p.shared_folder(spark, "topic")
-    lines = table(spark, sf_dir, "events").select(
+    lines = spread(table(spark, sf_dir, "events")).select(
         F.concat(
             F.lit('{"id": '), "event_id", F.lit(', "price": '), "event_id",
             F.lit('.10, "big": 12345678901234567890.'), "event_id",
