@@ -25,7 +25,12 @@ from pactline.session import broadcast_if, materialize, shared_folder
 # Bits of a value that one step finds.
 DIGIT = 16
 
-MERGE = {"sum": F.sum, "max": F.max}
+def wide_sum(column: str) -> Column:
+    """A sum that leaves the range of BIGINT without an error."""
+    return F.sum(F.col(column).cast("decimal(38,0)"))
+
+
+MERGE = {"sum": F.sum, "wide_sum": wide_sum, "max": F.max}
 
 
 def with_ranks(
@@ -39,8 +44,8 @@ def with_ranks(
     """One row per group with ``n``, the values at the fractions, and totals.
 
     ``value`` is a BIGINT column without nulls. ``weight`` says how often a row
-    counts. ``totals`` lists further (name, ``sum`` or ``max``, expression)
-    aggregates, which share the first pass over the data.
+    counts. ``totals`` lists further (name, ``sum``, ``wide_sum`` or ``max``,
+    expression) aggregates, which share the first pass over the data.
     """
     # A struct as group key keeps groups whose name is null. Without groups the
     # key is 0 for every row, but no literal: that would turn joins into products.

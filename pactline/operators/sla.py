@@ -86,13 +86,14 @@ def lag_summary(
 ) -> DataFrame:
     """Events, average, maximum, p50, p99, violations and rate per group.
 
-    The lags are summed as integers and divided once, so the result does not
-    depend on the order of the rows.
+    The lags are summed as integers, of any size, and divided once, so the result
+    does not depend on the order of the rows.
     """
     times = F.lit(1) if weight is None else F.col(weight)
+    lags = F.col("lag_us") if weight is None else F.col("lag_us").cast("decimal(20,0)") * times
     late = F.when(breaks_sla(sla_ms), times).otherwise(F.lit(0))
     totals = [
-        ("lag_sum", "sum", F.col("lag_us") * times),
+        ("lag_sum", "wide_sum", lags),
         ("lag_max", "max", F.col("lag_us")),
         ("sla_violations", "sum", late.cast("bigint")),
     ]
@@ -102,7 +103,7 @@ def lag_summary(
     found = ranked.select(
         *by,
         F.col("n").alias("total_events"),
-        (F.col("lag_sum") / F.col("n") / 1000.0).alias("avg_lag_ms"),
+        (F.col("lag_sum").cast("double") / F.col("n") / 1000.0).alias("avg_lag_ms"),
         _ms(F.col("lag_max")).alias("max_lag_ms"),
         *(_ms(F.col(p)).alias(f"{p}_lag_ms") for p in PERCENTILES),
         "sla_violations",
@@ -209,7 +210,7 @@ def window_metrics(
         "window_end",
         "total_events",
         "total_batches",
-        (F.col("lag_sum") / F.col("total_events") / 1000.0).alias("avg_lag_ms"),
+        (F.col("lag_sum").cast("double") / F.col("total_events") / 1000.0).alias("avg_lag_ms"),
         _ms(F.col("lag_max")).alias("max_lag_ms"),
         *(_ms(F.col(p)).alias(f"{p}_lag_ms") for p in PERCENTILES),
         "sla_violations",

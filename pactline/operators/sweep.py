@@ -64,7 +64,7 @@ def sweep(
     late = F.col("lag_us") > F.lit(sla_ms * 1000.0)
     sums = nodes.groupBy("_level", "_node").agg(
         F.sum("_n").alias("total_events"),
-        F.sum(F.col("lag_us") * F.col("_n")).alias("lag_sum"),
+        F.sum(F.col("lag_us").cast("decimal(20,0)") * F.col("_n")).alias("lag_sum"),
         F.max("lag_us").alias("lag_max"),
         F.sum(F.when(late, F.col("_n")).otherwise(0)).alias("sla_violations"),
     )

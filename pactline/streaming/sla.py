@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pactline.functions.clock import from_micros, to_micros
+from pactline.operators.ranks import wide_sum
 from pactline.operators.sla import (
     EVENT_TS,
     PERCENTILES,
@@ -153,7 +154,7 @@ def sla_sketch_stream(
         .groupBy(F.window("window_time", f"{step} microseconds"))
         .agg(
             F.count(F.lit(1)).alias("total_events"),
-            F.sum("lag_us").alias("_sum"),
+            wide_sum("lag_us").alias("_sum"),
             F.max("lag_us").alias("_max"),
             F.count_if(late).alias("sla_violations"),
             F.kll_sketch_agg_bigint("lag_us", F.lit(k)).alias("_sketch"),
@@ -164,7 +165,7 @@ def sla_sketch_stream(
         F.col("window.start").alias("window_start"),
         F.col("window.end").alias("window_end"),
         "total_events",
-        (F.col("_sum") / F.col("total_events") / 1000.0).alias("avg_lag_ms"),
+        (F.col("_sum").cast("double") / F.col("total_events") / 1000.0).alias("avg_lag_ms"),
         (F.col("_max") / 1000.0).alias("max_lag_ms"),
         *(
             (F.kll_sketch_get_quantile_bigint("_sketch", F.lit(part)) / 1000.0).alias(name)

@@ -34,6 +34,21 @@ def test_percentile_is_the_element_at_the_floor(spark):
     assert four.p50_lag_ms == 3.0
 
 
+def test_lags_whose_sum_is_no_bigint(spark):
+    """Five years each, so that some 60,000 of them leave the range of a long."""
+    lag, n = 5 * 365 * 86_400 * 10**6, 100_000
+    df = spark.range(n).select(F.lit(lag).cast("bigint").alias("lag_us"))
+    row = p.lag_summary(df).head()
+    assert (row.total_events, row.avg_lag_ms, row.max_lag_ms) == (n, lag / 1000, lag / 1000)
+    weighted = spark.createDataFrame([(lag, n), (-lag, 1)], "lag_us bigint, times bigint")
+    row = p.lag_summary(weighted, weight="times").head()
+    assert (row.total_events, row.avg_lag_ms) == (n + 1, lag * (n - 1) / (n + 1) / 1000)
+    at = df.withColumn("event_timestamp", F.lit(NOON))
+    hour = timedelta(hours=1)
+    windows = p.window_metrics(at, batches(spark), [(NOON, NOON + hour)]).head()
+    assert (windows.total_events, windows.avg_lag_ms) == (n, lag / 1000)
+
+
 def test_violations_are_strict(spark):
     row = p.sla_violations(events(spark, [500, 1500, 2000, 900, 1000]), sla_ms=1000).head()
     assert (row.sla_violations, row.sla_violation_rate) == (2, 0.4)
