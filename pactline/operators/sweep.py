@@ -22,8 +22,9 @@ from pyspark.sql import functions as F
 
 from pactline.session import materialize
 
-# Bits of a lag that one step of the percentiles finds.
-DIGIT = 12
+# Bits of a lag that one step of the percentiles finds. A step meets each node of
+# each window with 2**DIGIT counts at most, whatever the number of events.
+DIGIT = 6
 # Nodes of windows that stay in the plan; more are read from a table.
 LISTED = 20_000
 
@@ -155,6 +156,8 @@ def _percentiles(
     )
     targets = totals.select(*span, F.inline(ranks))
     pieces = covered.select(*span, "_level", "_node")
+    # The join makes many rows of few, so its tasks are not left to the size of its input.
+    tasks = nodes.sparkSession.sparkContext.defaultParallelism
     before = None
     while before != 0:
         bits = wide if before is None else max(before - DIGIT, 0)
@@ -165,8 +168,8 @@ def _percentiles(
         else:
             counts = nodes.groupBy(*keys, F.shiftright("_lag", before).alias("_wide"), interval)
             keys = [*keys, "_wide"]
-        counts = counts.agg(F.sum("_n").alias("_n"))
-        met = targets.join(pieces, span).join(counts, keys)
+        sought = targets.join(pieces, span).repartition(tasks, *keys)
+        met = sought.join(counts.agg(F.sum("_n").alias("_n")), keys)
         met = met.groupBy(*span, "_name", "_index", "_interval").agg(F.sum("_n").alias("_n"))
         order = Window.partitionBy(*span, "_name").orderBy("_interval")
         upto = F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))

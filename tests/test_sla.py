@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import pactline as p
 from pactline import session
-from pactline.operators import ranks, sla
+from pactline.operators import ranks, sla, sweep
 
 NOON = datetime(2025, 8, 23, 12)
 EVENT = "event_id string, event_timestamp timestamp, ingestion_timestamp timestamp"
@@ -49,6 +49,14 @@ def test_lags_whose_sum_is_no_bigint(spark):
     assert (windows.total_events, windows.avg_lag_ms) == (n, lag / 1000)
 
 
+def test_windows_meet_few_counts_in_many_tasks(spark, capsys):
+    """A window's node comes with some counts, not with thousands, nor all in one task."""
+    windows = [(NOON, NOON + timedelta(seconds=n)) for n in range(1, 40)]
+    p.window_metrics(events(spark, range(40)), batches(spark), windows).explain()
+    assert "REPARTITION_BY_NUM" in capsys.readouterr().out
+    assert 1 << sweep.DIGIT <= 64
+
+
 def test_violations_are_strict(spark):
     row = p.sla_violations(events(spark, [500, 1500, 2000, 900, 1000]), sla_ms=1000).head()
     assert (row.sla_violations, row.sla_violation_rate) == (2, 0.4)
