@@ -74,7 +74,8 @@ def contract_watch(
         if batch_id > 0:
             news = news.union(_known(spark, folder, batch_id - 1))
         news = news.groupBy(*by).agg(F.max("records").alias("records"))
-        news.coalesce(1).write.mode("overwrite").parquet(f"{folder}/known/{batch_id}")
+        # Not coalesce: one task would then hold the counts of all shuffle partitions at once.
+        news.repartition(1).write.mode("overwrite").parquet(f"{folder}/known/{batch_id}")
         known = _known(spark, folder, batch_id)
         shapes = known.where(F.col("rule_id") == _SHAPE)
         shapes = shapes.select(

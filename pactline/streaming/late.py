@@ -63,7 +63,11 @@ def split_late(
         entry = (
             batch_id, watermark, max(known, default=None), found.get("rows", 0), found.get("late", 0),
         )
-        log = spark.createDataFrame([entry], LOG).coalesce(1)
+        # Literals, as a row from Python would cost a worker and half a second per batch.
+        kept = zip(T.StructType.fromDDL(LOG).fieldNames(), entry, strict=True)
+        log = spark.range(1, numPartitions=1).select(
+            *(F.lit(n).cast("bigint").alias(name) for name, n in kept)
+        )
         log.write.mode("overwrite").parquet(f"{folder}/log/{batch_id}")
 
     return (

@@ -7,6 +7,7 @@ from feed_records import call, drifted, reading, rows
 from pyspark.sql import functions as F
 
 import pactline as p
+from workload import contract_queries, source_queries
 
 NOON = datetime(2026, 1, 1, 12)
 
@@ -77,3 +78,53 @@ def test_every_key_is_delivered_once_however_late(spark, tmp_path):
     got = sorted(((r.id, r.other, r.ts) for r in found.collect()), key=str)
     assert got == sorted(((k, o, NOON + timedelta(hours=h)) for k, o, h in keys), key=str)
     assert found.where("kind = 'late'").count() > 10
+
+
+def made_events(spark, tmp_path, n=70):
+    """A table of events, 25 minutes apart, with the columns of the test tables."""
+    events = spark.range(n).select(
+        F.col("id").alias("event_id"),
+        (F.lit(NOON) + F.make_dt_interval(mins=(F.col("id") * 25).cast("int")))
+        .cast("timestamp_ntz").alias("ts"),
+        (F.col("id") % 7).alias("user_id"),
+        F.when(F.col("id") % 2 == 0, "click").otherwise("buy").alias("event_type"),
+        (F.col("id") / 4).alias("value"),
+        F.concat(F.lit('{"k": '), "id", F.lit("}")).alias("props"),
+    )
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    return events
+
+
+def test_larger_feed_has_more_micro_batches(spark, tmp_path, monkeypatch):
+    """Files of a size, and no task that holds the counts of all shuffle partitions."""
+    made_events(spark, tmp_path)
+    monkeypatch.setattr(source_queries, "FILE_LINES", 5)
+    frame, joined = type(spark.range(1)), []
+    old = frame.coalesce
+
+    def coalesce(self, n):
+        joined.append(self.rdd.getNumPartitions())
+        return old(self, n)
+
+    monkeypatch.setattr(frame, "coalesce", coalesce)
+    found = source_queries.stream_contract_cumulative(spark, str(tmp_path))
+    assert len(joined) == 4 and max(joined) == 1  # 14 files, 4 at a time
+    assert rows(found) == rows(contract_queries.contract_report_all(spark, str(tmp_path)))
+
+
+def test_large_micro_batch_of_late_rows_has_several_files(spark, tmp_path, monkeypatch):
+    events = made_events(spark, tmp_path)
+    monkeypatch.setattr(source_queries, "MICRO_BATCHES", 3)
+    monkeypatch.setattr(source_queries, "FILE_ROWS", 6)
+    found = source_queries.stream_late_rows(spark, str(tmp_path)).collect()
+    folder = spark.conf.get("spark.checkpoint.dir")
+    files = [
+        len([f for f in names if f.endswith(".parquet")])
+        for place, _, names in os.walk(folder)
+        if place.endswith("/events") and os.path.basename(os.path.dirname(place)).startswith("late-")
+    ]
+    assert files == [12]  # 70 rows, 3 micro-batches, 4 files each
+    # Hours are closed at both ends: an event on one counts twice.
+    on_hours = sum(n % 97 == 0 or n * 25 % 60 == 0 for n in range(events.count()))
+    assert sum(r.events for r in found) == events.count() + on_hours
+    assert not any(r.many_batches for r in found)

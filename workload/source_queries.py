@@ -128,10 +128,10 @@ def bronze_ingest_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.run_summary(p.ingest_log(spark, log))
 
 
-def _line_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The dirty feed as a stream of JSON lines in eight files."""
+def _line_stream(spark: SparkSession, sf_dir: str, files: int = 8) -> DataFrame:
+    """The dirty feed as a stream of JSON lines in eight files, or more."""
     folder = p.shared_folder(spark, "feed")
-    dirty_lines(spark, sf_dir).repartition(8, "n").select("value").write.text(folder)
+    dirty_lines(spark, sf_dir).repartition(files, "n").select("value").write.text(folder)
     return spark.readStream.option("maxFilesPerTrigger", 4).text(folder)
 
 
@@ -240,6 +240,8 @@ def stream_window_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 MICRO_BATCHES = 104
+# Rows of a file from which on a micro-batch of the late rows has more files than one.
+FILE_ROWS = 50_000
 
 
 def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -255,11 +257,12 @@ def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr(f"cast({BOUNDARY_TS} as timestamp)").alias("event_timestamp"),
         F.expr(f"({DELAY_MS}) * 1000").alias("lag_us"),
     )
-    events.repartitionByRange(MICRO_BATCHES, "event_timestamp", "event_id").write.parquet(
-        f"{folder}/events"
-    )
+    # A file is read by one task, so a large micro-batch has several.
+    each = max(1, -(-events.count() // (MICRO_BATCHES * FILE_ROWS)))
+    order = ["event_timestamp", "event_id"]
+    events.repartitionByRange(MICRO_BATCHES * each, *order).write.parquet(f"{folder}/events")
     hour = timedelta(hours=1)
-    source = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
+    source = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", each)
     stream = source.parquet(f"{folder}/events")
     p.sla_stream(stream, folder, width=hour, keep_late=True).awaitTermination()
     timed = p.closed_window_times(stream, "event_timestamp", hour)
@@ -311,10 +314,18 @@ def stream_dedupe_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/rows").select("event_id", "event_type")
 
 
+# Lines of a file from which on the cumulative stream has more files than eight.
+FILE_LINES = 1_000_000
+
+
 def stream_contract_cumulative(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The report after the last micro-batch of a stream, over all it has brought."""
+    """The report after the last micro-batch of a stream, over all it has brought.
+
+    Files, and so micro-batches, stay of one size however large the feed is.
+    """
     folder = p.shared_folder(spark, "watch")
-    p.contract_watch(_line_stream(spark, sf_dir), CONTRACTS, folder).awaitTermination()
+    files = max(8, -(-table(spark, sf_dir, "events").count() // FILE_LINES))
+    p.contract_watch(_line_stream(spark, sf_dir, files), CONTRACTS, folder).awaitTermination()
     reports = spark.read.parquet(f"{folder}/report")
     last = reports.agg(F.max("batch_id").alias("batch_id"))
     return reports.join(F.broadcast(last), "batch_id").drop("batch_id")  # one row
