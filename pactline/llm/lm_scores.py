@@ -3,9 +3,8 @@
 1. ``word_counts``: every training word and its count (one row per word).
 2. Pieces come from a public vocabulary, which is not trained. Its file orders
    the pieces; that order is the first weight of each. Expectation-maximisation
-   over all segmentations turns the weights into probabilities: ``ROUNDS`` on at
-   most ``SAMPLE`` words, to be near, and then a round over every training word.
-   A word counts once there, as the lattice spells words that are new or rare.
+   over all segmentations turns the weights into probabilities, in ``ROUNDS``
+   rounds over every training word. A word counts once there, as the lattice spells words that are new or rare.
 3. A word's probability is the lattice's sum over all its arcs: one whole-word
    arc with its count less a discount, and all segmentations into pieces, which
    share what the discount frees (absolute discounting, the discount from the
@@ -38,8 +37,8 @@ from pactline.llm.common import texts, written
 from pactline.llm.words import Slice, SpanHasher, find_words, slices
 
 FREQUENT = 1 << 16
-SAMPLE = 20_000
-ROUNDS = 8
+ROUNDS = 9
+_GATHERED = 1 << 16  # words a task works on at once
 _HELD = 500_000  # distinct words a task gathers before it sends them
 
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -115,10 +114,23 @@ def _bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (part.data, part.offsets) if part else (np.zeros(0, np.uint8), np.zeros(1, np.int64))
 
 
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows in larger batches, as words of one length are worked on together."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.num_rows
+        if size >= _GATHERED:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+    if size:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def _expecter(pieces: lattice.Pieces):
     def expect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(len(pieces.logs))
-        for batch in batches:
+        for batch in _gathered(batches):
             data, offsets = _bytes_of(batch.column("word"))
             total += lattice.expected_counts(data, offsets, np.ones(len(offsets) - 1), pieces)
         place = np.flatnonzero(total)
@@ -129,26 +141,21 @@ def _expecter(pieces: lattice.Pieces):
     return expect
 
 
-def learn_pieces(
-    counts: DataFrame, path: str, sample: int = SAMPLE, rounds: int = ROUNDS
-) -> lattice.Pieces:
-    """Probabilities of the vocabulary's pieces in the training words.
+def learn_pieces(counts: DataFrame, path: str, rounds: int = ROUNDS) -> lattice.Pieces:
+    """Probabilities of the vocabulary's pieces in the training words, all of them in every round.
 
-    The driver receives at most ``sample`` words, chosen by hash, and one number per piece.
+    The driver receives one number per piece and round.
     """
     pieces = lattice.load_pieces(path)
-    some = counts.select("word").orderBy(F.xxhash64("word"), "word").limit(sample).collect()
-    if not some:
-        return pieces
-    data, offsets = lattice._joined(sorted(r["word"].encode() for r in some))
     for _ in range(rounds):
-        found = lattice.expected_counts(data, offsets, np.ones(len(some)), pieces)
-        pieces = lattice.from_counts(pieces, found)
-    sums = counts.select("word").mapInArrow(_expecter(pieces), "piece bigint, n double")
-    total = np.zeros(len(pieces.logs))
-    for r in sums.groupBy("piece").agg(F.sum("n").alias("n")).collect():
-        total[r["piece"]] = r["n"]
-    return lattice.from_counts(pieces, total)
+        sums = counts.select("word").mapInArrow(_expecter(pieces), "piece bigint, n double")
+        found = sums.groupBy("piece").agg(F.sum("n").alias("n")).toArrow()
+        if not found.num_rows:
+            return pieces
+        total = np.zeros(len(pieces.logs))
+        total[found.column("piece").to_numpy()] = found.column("n").to_numpy()
+        pieces = lattice.from_counts(pieces, total)
+    return pieces
 
 
 def train(training: DataFrame, path: str, frequent: int = FREQUENT) -> Model:
@@ -277,7 +284,7 @@ def _speller(model: Model):
     fixed = model._replace(counts=None, frequent=[])
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _gathered(batches):
             data, offsets = _bytes_of(batch.column("word"))
             n = batch.column("seen").to_numpy()
             logs = lattice.word_logs(data, offsets, fixed.pieces)

@@ -124,6 +124,19 @@ def test_scores_without_training(llm, odd, empty):
     assert lm_scores.score(empty, model).collect() == []
 
 
+def test_pieces_are_learned_from_all_words_in_every_round(llm):
+    rng, path = random.Random(8), tokenizer("piece_bpe_32k.model")
+    words = sorted({"".join(rng.choices("abdeilnorstu", k=rng.randint(4, 8))) for _ in range(24_000)})
+    assert len(words) > 20_000
+    data, offsets = lattice._joined([w.encode() for w in words])
+    wanted = lattice.load_pieces(path)
+    for _ in range(lm_scores.ROUNDS):
+        found = lattice.expected_counts(data, offsets, np.ones(len(words)), wanted)
+        wanted = lattice.from_counts(wanted, found)
+    counts = llm.createDataFrame([(w, 1) for w in words], "word string, n bigint").repartition(3)
+    assert lm_scores.learn_pieces(counts, path).logs == pytest.approx(wanted.logs)
+
+
 def chain_by_hand(score, transition):
     """P(toxic) of every token of one text, over all taggings."""
     total, toxic = 0.0, np.zeros(len(score))
