@@ -5,7 +5,9 @@ character. The pattern that cuts byte-level BPE texts into pieces always cuts
 there and never looks back, so a chunk's ids do not depend on its neighbours.
 Each different chunk goes through the library once per worker; its ids are
 found again by a 128-bit hash, and memory is bounded. Texts with white space
-outside ASCII, or whose hashes meet, are encoded as a whole.
+outside ASCII, or whose hashes meet, are encoded as a whole. New chunks are put
+together for the library as a text would hold them, and their ids are cut apart
+by the bytes they stand for, as a call for each chunk costs as much as its ids.
 """
 
 from __future__ import annotations
@@ -19,7 +21,9 @@ import numpy as np
 from pactline.llm.words import SPACE, Slice, span_hashes
 
 # Bytes of chunks' hashes and ids a worker remembers; it starts anew beyond that.
-REMEMBERED = 24 << 20
+REMEMBERED = 32 << 20
+# Chunks that go through the library as one text.
+JOINED = 256
 # White space that is not ASCII's six, as Unicode has it.
 _WIDE_SPACE = re.compile(
     "[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
@@ -51,6 +55,9 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        names = map(self.tokenizer.id_to_token, range(self.tokenizer.get_vocab_size()))
+        # A character of a byte-level token is one byte.
+        self.widths = np.array([len(name or "") for name in names], dtype=np.int64)
         self._forget()
 
     def _forget(self) -> None:
@@ -68,6 +75,29 @@ class Encoder:
         flat = np.fromiter(chain.from_iterable(found), np.uint32, int(counts.sum()))
         return counts, flat
 
+    def _encode_chunks(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Chunks' order here, ids of each and all ids: first those that can stand in a row.
+
+        They begin with white space and end without, so the text of several is
+        cut where they meet.
+        """
+        fits = np.fromiter(
+            (t[0] in " \t\n\r\v\f" and not t[-1].isspace() for t in texts), bool, len(texts)
+        )
+        order = np.argsort(~fits, kind="stable")
+        row = [texts[i] for i in order[: fits.sum()].tolist()]
+        parts = ["".join(row[i : i + JOINED]) for i in range(0, len(row), JOINED)]
+        _, flat = self._encode(parts)
+        ends = np.cumsum(np.fromiter((len(t.encode()) for t in row), np.int64, len(row)))
+        bytes_upto = np.cumsum(self.widths[flat])
+        cuts = np.searchsorted(bytes_upto, ends) + 1
+        if len(row) and (cuts[-1] != len(flat) or not np.array_equal(bytes_upto[cuts - 1], ends)):
+            counts, flat = self._encode(row)  # not a byte-level vocabulary
+        else:
+            counts = np.diff(cuts, prepend=0)
+        more, rest = self._encode([texts[i] for i in order[len(row) :].tolist()])
+        return order, np.concatenate([counts, more]), np.concatenate([flat, rest])
+
     @property
     def nbytes(self) -> int:
         return sum(x.nbytes for x in (self.keys, self.proofs, self.places, self.begins, self.ids))
@@ -75,11 +105,12 @@ class Encoder:
     def _learn(self, keys: np.ndarray, proofs: np.ndarray, texts: list[str]) -> None:
         if self.nbytes > REMEMBERED:
             self._forget()
-        counts, flat = self._encode(texts)
+        order, counts, flat = self._encode_chunks(texts)
         if self.ids.dtype == np.uint16 and len(flat) and flat.max() >= 1 << 16:
             self.ids = self.ids.astype(np.uint32)
         at = np.searchsorted(self.keys, keys)
-        places = np.arange(len(keys)) + len(self.begins) - 1
+        places = np.empty(len(keys), dtype=np.int64)
+        places[order] = np.arange(len(keys)) + len(self.begins) - 1
         self.keys = np.insert(self.keys, at, keys)
         self.proofs = np.insert(self.proofs, at, proofs)
         self.places = np.insert(self.places, at, places)

@@ -36,6 +36,22 @@ def test_simple8b_packs_small_values_together():
     assert len(words) == 5 + 5 + 2  # two full blocks and the rest of the third
 
 
+def test_new_chunks_share_calls_of_the_library(reference):
+    import pyarrow as pa
+
+    from pactline.llm.words import slices
+
+    words = [f"{'abcdefgh'[n % 8]}{n}é" for n in range(3000)]
+    texts = [" ".join(words), "\t".join(reversed(words)) + " \t", " \x85 a  b", "", "c\x1c d\n\n e"]
+    coder, sent = Encoder(tokenizer()), []
+    alone = coder._encode
+    coder._encode = lambda texts: sent.extend(texts) or alone(texts)
+    (part,) = slices(pa.array(texts))
+    ids, counts = coder.encode(part)
+    assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [reference(t) for t in texts]
+    assert len(sent) < 100
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.text(alphabet="ab' 1\n\t!é 　\x1c日<|>", max_size=40), max_size=8))
 def test_chunks_encode_like_whole_texts(reference, texts):
