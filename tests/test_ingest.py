@@ -1,4 +1,5 @@
 import json
+import time
 from datetime import datetime, timedelta
 
 import pytest
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 
 import pactline as p
 from pactline.sources import envelope
+from workload import loss_queries
 
 
 def test_infer_schema(spark, jsonl):
@@ -235,6 +237,58 @@ def test_topic_folder_is_smaller_than_its_topics(spark, tmp_path):
     assert sorted(r.value for r in back) == sorted(f'{{"id": {n}}}' for n in range(300))
 
 
+def test_unwrapping_by_a_sample_changes_nothing(spark):
+    head = '{"topic": "a\\\\ \\"b", "client_id": "c\\u00e9 é", "event": '
+    odd = '{"topic": "a\\q", "client_id": "c", "event": '
+    tails = ['{"a": 1.10}}', '"x\u2028y\x85z", "more": 1}', "1", "{bad}", "{bad}}", "}", "", "é}\u2028",
+             '{"topic": "z"}, "topic": "z", "client_id": "y"}', "[1, 2]} behind", '{"a": "}"}}  ',
+             "1}}", '{"a": {"event": 2.0}}, "event": 3}']
+    lines = [h + t for h in (head, odd, head.replace("c\\", "d\\"), head + " ") for t in tails]
+    lines += [head.replace(": ", ":") + "1.0}", '{"event": 1.0, "topic": "t"}', head[:-9], "", None]
+    frame = spark.createDataFrame([(n, x) for n, x in enumerate(lines)], "n int, line string")
+
+    def found(**like):
+        read = envelope.unwrap(frame.orderBy("n").coalesce(1), "line", **like).collect()
+        return [tuple(r) for r in read]
+
+    plain = found()
+    assert plain[0] == ('a\\ "b', "cé é", '{"a": 1.10}') and plain[3][0] is None
+    for sample in [None, "", "no envelope", head, head + "{bad", odd + "1}", *lines[:3]]:
+        assert found(sample=sample) == plain
+
+
+def test_long_topics_are_not_parsed_line_by_line(spark):
+    topic = "q\\" * 30_000
+    events = spark.range(0, 4_000, 1, 4).select(F.col("id").cast("string").alias("value"))
+    lines = envelope.wrap_lines(events, topic)
+    sample = lines.first()["value"]
+
+    def seconds(**like):
+        began = time.perf_counter()
+        unwrapped = envelope.unwrap(lines, **like)
+        assert unwrapped.where(F.col("topic") == topic).agg(F.sum("value")).head()[0] == 7_998_000
+        return time.perf_counter() - began
+
+    seconds(sample=sample)
+    assert 2 * min(seconds(sample=sample) for _ in range(2)) < seconds()
+
+
+def test_envelopes_of_one_row_group_are_shared_out(spark, tmp_path):
+    spark.range(200).select(F.col("id").alias("event_id")).coalesce(1).write.parquet(
+        str(tmp_path / "events.parquet")
+    )
+    small = {"spark.sql.files.maxPartitionBytes": "100", "spark.sql.files.openCostInBytes": "0"}
+    try:
+        for key, value in small.items():
+            spark.conf.set(key, value)
+        kept = loss_queries.envelope_text_kept(spark, str(tmp_path))
+        files = kept.groupBy(F.input_file_name()).count().collect()
+    finally:
+        for key in small:
+            spark.conf.unset(key)
+    assert len(files) > 4 and sum(r["count"] for r in files) == 200
+
+
 def test_times_need_a_whole_date(spark):
     from pactline.functions.clock import iso_timestamp
 

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import pactline as p
-from pactline.session import spread
 from pactline.sources import envelope
 from workload.feeds import (
     DELAY_MS,
@@ -67,7 +66,9 @@ def envelope_text_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
     The topic is 40,000 characters long, half of them to be escaped.
     """
     folder = p.shared_folder(spark, "topic")
-    lines = spread(table(spark, sf_dir, "events")).select(
+    # 60 KB a line from a few bytes, so these are shared out however the table is split.
+    tasks = 2 * spark.sparkContext.defaultParallelism
+    lines = table(spark, sf_dir, "events").repartition(tasks).select(
         F.concat(
             F.lit('{"id": '), "event_id", F.lit(', "price": '), "event_id",
             F.lit('.10, "big": 12345678901234567890.'), "event_id",
@@ -75,7 +76,9 @@ def envelope_text_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("value")
     )
     envelope.publish(lines, folder, LONG_TOPIC, "loader")
-    events = envelope.unwrap(spark.read.text(folder))
+    envelopes = spark.read.text(folder)
+    first = envelopes.first()
+    events = envelope.unwrap(envelopes, sample=first and first["value"])
     return events.withColumn("topic", F.md5("topic"))
 
 
