@@ -347,10 +347,10 @@ def lcs(left: np.ndarray, right: np.ndarray) -> int:
     return len(left) - state.bit_count()
 
 
-def _unbroken(item: Item, near: np.ndarray) -> bool:
-    """Whether ``SHARE`` of the item stands in the words in one run."""
+def _unbroken(item: Item, near: np.ndarray, share: float = SHARE) -> bool:
+    """Whether this share of the item stands in the words in one run."""
     size = len(item.words)
-    run, words = math.ceil(SHARE * size - 1e-9), near.tobytes()
+    run, words = math.ceil(share * size - 1e-9), near.tobytes()
     return any(item.words[i : i + run].tobytes() in words for i in range(size - run + 1))
 
 
@@ -533,6 +533,8 @@ def _finder(shared):
                             and (row, at, passage) in retrieved
                             and _paraphrase(item, near, index.weights)
                         )
+                    elif size < LEAST:
+                        leak = _unbroken(item, near, 1.0)
                     else:
                         leak = share >= SURE or answer >= ANSWER or _unbroken(item, near)
                     if leak:
